@@ -65,7 +65,7 @@ def _metrics(digits: int = 4) -> str:
     )
 
 
-_DIGITS = {"Mileage_sq": 2, "Mileage_sq_model_cat": 2, "Mileage_model_cat": 3, "inv_mileage": 9, "inv_Mileage_model_cat": 9}
+_DIGITS = {"inv_mileage": 9, "inv_Mileage_model_cat": 9}
 _DOUBLES = (
     "listing_score", "log_mileage", "Mileage_sq", "inv_mileage", "Mileage_model_cat", "inv_Mileage_model_cat",
     "Mileage_sq_model_cat", "price_inflation_factor", "Mileage_km", "Year of construction", "log_price",
@@ -74,6 +74,8 @@ _DOUBLES = (
 
 
 def _round(name: str, digits: int = 6) -> str:
+    if name in q.EXACT:
+        return f"{b.ident(name)}::double as {b.ident(name)}"
     return f"round({b.ident(name)}, {_DIGITS.get(name, digits)}) as {b.ident(name)}"
 
 
@@ -90,6 +92,8 @@ def _frame_row() -> str:
         name = b.ident(c)
         if c in features.CATEGORICAL_COLUMNS:
             columns.append(f"coalesce({name}, 'Unknown') as {name}")
+        elif c in q.EXACT:
+            columns.append(f"({name})::double as {name}")
         else:
             columns.append(f"round(({name})::double, {_DIGITS.get(c, 6)}) as {name}")
     return f"URL, {', '.join(columns)}, round(price_in_eur, 6) as price_in_eur"
@@ -205,7 +209,7 @@ def _gram() -> str:
     names = list(columns)
     matrix = ", ".join(f"{e} as {b.ident(c)}" for c, e in columns.items())
     rows = [
-        f"select {b.text(x)} as a, {b.text(y)} as b, round(sum({b.ident(x)} * {b.ident(y)}), 0) as value from matrix"
+        f"select {b.text(x)} as a, {b.text(y)} as b, round(sum({b.ident(x)} * {b.ident(y)}) / 1000000, 2) as value from matrix"
         for i, x in enumerate(names) for y in names[i:]
     ]
     return f"with {SILVER}, matrix as materialized (select {matrix} from silver) " + " union all ".join(rows)
@@ -338,12 +342,12 @@ STATEMENTS: dict[str, str] = {
     "gold_listings": f"with {GOLD} select {_gold_row()} from gold",
     "outliers_linear": f"with {SILVER}, s as (select avg(price_in_eur) as m, stddev_samp(price_in_eur) as d from silver) select {K}, round(price_in_eur, 6) as price_in_eur from silver, s where price_in_eur between m - 1.5::double * d and m + 1.5::double * d",
     "outliers_log": f"with {SILVER}, s as (select avg(ln(price_in_eur)) as m, stddev_samp(ln(price_in_eur)) as d from silver where price_in_eur > 0) select {K}, round(price_in_eur, 6) as price_in_eur from silver, s where price_in_eur > 0 and ln(price_in_eur) between m - 1.5::double * d and m + 1.5::double * d",
-    "log_features": f"with {SILVER} select {K}, round(ln(price_in_eur), 6) as log_price, round(ln(1 + Mileage_km), 6) as log_mileage, round(Mileage_km * Mileage_km, 2) as Mileage_sq from silver",
+    "log_features": f"with {SILVER} select {K}, round(ln(price_in_eur), 6) as log_price, round(ln(1 + Mileage_km), 6) as log_mileage, Mileage_km * Mileage_km as Mileage_sq from silver",
     "price_inflation": f"with {RAW} select {K}, round(coalesce(pow(1.02::double, (epoch_us((select max(Scraped_At) from raw)) - epoch_us(Scraped_At)) / 86400000000.0::double / 365.25::double), 1.0::double), 6) as price_inflation_factor from raw",
     "model_category": f"with {RAW} select {K}, Model, {b.category('Model')} as model_category from raw",
     "model_interactions": f"""with {SILVER}, c as (select *, {b.category('Model')} as model_category from silver)
-      select {K}, ({b.CODE})::int as model_cat_ordered, round(1.0::double / (Mileage_km + 1), 9) as inv_mileage, round(Mileage_km * ({b.CODE}), 3) as Mileage_model_cat,
-        round(1.0::double / (Mileage_km + 1) * ({b.CODE}), 9) as inv_Mileage_model_cat, round(Mileage_km * Mileage_km * ({b.CODE}), 2) as Mileage_sq_model_cat from c""",
+      select {K}, ({b.CODE})::int as model_cat_ordered, round(1.0::double / (Mileage_km + 1), 9) as inv_mileage, Mileage_km * ({b.CODE}) as Mileage_model_cat,
+        round(1.0::double / (Mileage_km + 1) * ({b.CODE}), 9) as inv_Mileage_model_cat, Mileage_km * Mileage_km * ({b.CODE}) as Mileage_sq_model_cat from c""",
     "model_category_legacy": f"with {RAW}, c as (select {K}, {b.legacy_category('Model')} as legacy_category from raw) select *, ({b.code('legacy_category', rules.LEGACY_CATEGORY_ORDER, -1)})::int as legacy_cat_ordered from c",
     "listing_text": f"with {RAW} select {K}, concat_ws(' ', coalesce(Title, ''), coalesce(Model, ''), coalesce(Description, '')) as listing_text from raw",
     "text_flags": f"with {RAW}, {b.flagged('raw')} select {K}, {', '.join(rules.TEXT_FLAGS)} from flagged",
@@ -371,7 +375,7 @@ STATEMENTS: dict[str, str] = {
       select {K}, Title, Price, Error, Extra from u qualify row_number() over (partition by URL order by """
     + " + ".join(f"({b.ident(c)} is not null)::int" for c in (*[c for c in fx.LISTING_COLUMNS if c != "ingest_order"], "Error", "Extra"))
     + " + 2 * (Description is not null)::int + (Scraped_At is not null)::int desc, Scraped_At desc nulls last, side, ingest_order) = 1",
-    "predictions_long": f"with {PRED} select listing_key, model_name, round(actual_price_eur, 4) as actual_price_eur, round(predicted_price_eur, 4) as predicted_price_eur, round(actual_price_eur - predicted_price_eur, 4) as residual_eur from pred",
+    "predictions_long": f"with {PRED} select listing_key, model_name, actual_price_eur, predicted_price_eur, actual_price_eur - predicted_price_eur as residual_eur from pred",
     "select_columns": _usage(linear=False),
     "feature_frame": f"with {GOLD} select {_frame_row()} from gold",
     "feature_screen": _screen(),
@@ -381,7 +385,7 @@ STATEMENTS: dict[str, str] = {
     "corr_matrix": _corr(),
     "regression_metrics": f"with {PRED} select model_name, {_metrics()} from pred group by 1",
     "segment_metrics": f"with {PRED} select 'o_orderstatus' as segment_column, o_orderstatus as segment_value, {_metrics()} from pred group by 2 union all select 'o_orderpriority', o_orderpriority, {_metrics()} from pred group by 2",
-    "residuals": f"with {PRED} select listing_key, model_name, round(actual_price_eur - predicted_price_eur, 4) as residual_eur from pred",
+    "residuals": f"with {PRED} select listing_key, model_name, actual_price_eur - predicted_price_eur as residual_eur from pred",
     "rmse_r2": f"""with {PRED}, e as (select *, actual_price_eur as a, predicted_price_eur as p, ln(greatest(actual_price_eur, 1)) as la, ln(greatest(predicted_price_eur, 1)) as lp,
         ({b.bucket('listing_key', 42, 4)} = 0)::int as is_test from pred),
       s as (select model_name, is_test, 1 - sum((a - p) ** 2) / (var_pop(a) * count(*)) as r2 from e group by 1, 2),
@@ -395,10 +399,10 @@ STATEMENTS: dict[str, str] = {
       select model_name, count(*) as n_rows, round(avg(r), 4) as mean, round(stddev_samp(r), 4) as std, round(min(r), 4) as min, round(max(r), 4) as max, round(median(r), 4) as median from r group by 1""",
     "watchlist": f"""with {PRED}, w as (select *, actual_price_eur - predicted_price_eur as residual, case when actual_price_eur < pred_lower then 'Underpriced' when actual_price_eur > pred_upper then 'Overpriced' end as label from pred),
       ranked as (select *, row_number() over (partition by label order by case when label = 'Underpriced' then residual else -residual end, listing_key, model_name) as rank from w where label is not null)
-      select listing_key, model_name, label, rank::int as rank, round(residual, 4) as residual_eur, round(residual / predicted_price_eur, 4) as price_delta_pct from ranked where rank <= 10""",
-    "bargains": f"""with {RAW}, {PRED} select listing_key, model_name, round(actual_price_eur, 4) as actual_price_eur, round(pred_lower, 4) as pred_lower, Title, Series, "Car location"
+      select listing_key, model_name, label, rank::int as rank, residual as residual_eur, round(residual / predicted_price_eur, 6) as price_delta_pct from ranked where rank <= 10""",
+    "bargains": f"""with {RAW}, {PRED} select listing_key, model_name, actual_price_eur, pred_lower, Title, Series, "Car location"
       from pred join raw on listing_key = ingest_order where actual_price_eur < predicted_price_eur and actual_price_eur < pred_lower and actual_price_eur < 90000""",
-    "residual_outliers": f"""with {RAW}, {PRED} select listing_key, model_name, round(actual_price_eur - predicted_price_eur, 4) as residual_eur, Title, Series, "Car location"
+    "residual_outliers": f"""with {RAW}, {PRED} select listing_key, model_name, actual_price_eur - predicted_price_eur as residual_eur, Title, Series, "Car location"
       from pred join raw on listing_key = ingest_order where err > 1.5::double * (select stddev_pop(actual_price_eur - predicted_price_eur) from pred)""",
     "bootstrap_ci": f"""with {PRED}, months as (select strftime(o_orderdate, '%Y-%m') as month, round(avg(err), 4) as v from pred group by 1),
       samples as (select v, row_number() over (order by month) - 1 as position from months){_bootstrap()}

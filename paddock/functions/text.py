@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, functions as F
 
@@ -41,16 +39,17 @@ def folded(text: Column) -> Column:
 
 
 def hinted_flags_of(
-    text: Column, patterns: Mapping[str, str], hints: Mapping[str, Sequence[str]]
+    text: str, patterns: Mapping[str, str], hints: Mapping[str, Sequence[str]]
 ) -> dict[str, Column]:
-    """0/1 flags over ``folded`` text, running a regex only where a hint is present.
+    """0/1 flags over the column ``text`` of ``folded`` text, running a regex only where a hint is present.
 
     Patterns hold no upper-case escapes, so lower-casing them replaces ignore-case.
     """
     columns = {}
     for name, pattern in patterns.items():
-        hinted = reduce(or_, [F.contains(text, F.lit(hint)) for hint in hints[name]])
-        found = text.rlike("(?dU)" + pattern.lower())
+        # one parsed expression per flag: some 200 hints would be as many calls to the JVM
+        hinted = F.expr(" or ".join(f"contains({text}, '{hint}')" for hint in hints[name]))
+        found = F.col(text).rlike("(?dU)" + pattern.lower())
         columns[name] = F.when(hinted & found, F.lit(1)).otherwise(F.lit(0))
     return columns
 

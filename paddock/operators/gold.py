@@ -130,7 +130,7 @@ def with_listing_text(df: DataFrame) -> DataFrame:
 
 def text_flags(df: DataFrame) -> DataFrame:
     """One 0/1 column per keyword pattern, from one pass over the text."""
-    flags = hinted_flags_of(F.col("__text"), rules.TEXT_FLAGS, rules.FLAG_HINTS)
+    flags = hinted_flags_of("__text", rules.TEXT_FLAGS, rules.FLAG_HINTS)
     return df.withColumn("__text", folded(F.col("listing_text"))).withColumns(flags).drop("__text")
 
 
@@ -164,10 +164,14 @@ def score_components(df: DataFrame) -> DataFrame:
     return df.withColumns(field_points(df))
 
 
+def weighted(weights: dict[str, float]) -> Column:
+    """Sum of 0/1 columns times their weights."""
+    return F.expr(" + ".join(f"{name} * {weight}D" for name, weight in weights.items()))
+
+
 def penalty() -> Column:
     """Sum of the negative weights, floored."""
-    total = reduce(add, [F.col(f) * F.lit(w) for f, w in rules.PENALTY_WEIGHTS.items()])
-    return F.greatest(total, F.lit(rules.PENALTY_FLOOR))
+    return F.greatest(weighted(rules.PENALTY_WEIGHTS), F.lit(rules.PENALTY_FLOOR))
 
 
 def listing_score(df: DataFrame) -> DataFrame:
@@ -175,8 +179,7 @@ def listing_score(df: DataFrame) -> DataFrame:
     terms = list(field_points(df).values())
     if any(c in df.columns for c in rules.TEXT_COLUMNS):
         df = text_flags(with_listing_text(df))
-        terms += [F.col(f) * F.lit(w) for f, w in rules.FLAG_WEIGHTS.items()]
-        terms.append(penalty())
+        terms += [weighted(rules.FLAG_WEIGHTS), penalty()]
     score = reduce(add, terms) if terms else F.lit(0.0)
     return df.withColumn("listing_score", score.cast("double"))
 

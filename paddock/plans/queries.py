@@ -35,6 +35,7 @@ KEY = ["ingest_order", "URL"]
 REFRESHED = ("Description", "Secondary_Description")
 AS_OF = "2001-08-01 12:00:00"
 AS_OF_YEAR = 2026
+EXACT = ("Mileage_sq", "Mileage_model_cat", "Mileage_sq_model_cat")
 
 
 def raw(spark: SparkSession, d: str) -> DataFrame:
@@ -53,12 +54,15 @@ def stamp(column: str) -> Column:
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
 
 
-def rounded(df: DataFrame, digits: int = 6, **other: int) -> DataFrame:
-    """Doubles rounded for comparison: ``digits`` places, or those named per column."""
+def rounded(df: DataFrame, digits: int = 6, exact: Sequence[str] = (), **other: int) -> DataFrame:
+    """Doubles rounded for comparison: ``digits`` places, or those named per column.
+
+    ``exact`` columns are products and differences of inputs, alike to the last bit.
+    """
     columns = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.DoubleType):
+        if isinstance(f.dataType, T.DoubleType) and f.name not in exact:
             c = F.round(c, other.get(f.name, digits)).alias(f.name)
         columns.append(c)
     return df.select(*columns)
@@ -265,7 +269,7 @@ def dq_thresholds(spark, d):
 
 def gold_listings(spark, d):
     table = gold_table(spark, d).withColumn("Scraped_At", stamp("Scraped_At"))
-    return rounded(table, Mileage_sq=2, Mileage_sq_model_cat=2, Mileage_model_cat=3, inv_mileage=9, inv_Mileage_model_cat=9)
+    return rounded(table, exact=EXACT, inv_mileage=9, inv_Mileage_model_cat=9)
 
 
 def outliers_linear(spark, d):
@@ -278,7 +282,7 @@ def outliers_log(spark, d):
 
 
 def log_features(spark, d):
-    return rounded(pick(gold.log_features(silver_table(spark, d)), *KEY, "log_price", "log_mileage", "Mileage_sq"), Mileage_sq=2)
+    return rounded(pick(gold.log_features(silver_table(spark, d)), *KEY, "log_price", "log_mileage", "Mileage_sq"), exact=EXACT)
 
 
 def price_inflation(spark, d):
@@ -293,7 +297,7 @@ def model_interactions(spark, d):
     table = gold.model_interactions(gold.model_category(silver_table(spark, d)))
     return rounded(
         pick(table, *KEY, "model_cat_ordered", "inv_mileage", "Mileage_model_cat", "inv_Mileage_model_cat", "Mileage_sq_model_cat"),
-        Mileage_sq_model_cat=2, Mileage_model_cat=3, inv_mileage=9, inv_Mileage_model_cat=9,
+        exact=EXACT, inv_mileage=9, inv_Mileage_model_cat=9,
     )
 
 
@@ -378,7 +382,7 @@ def predictions_long(spark, d):
         name: all_models.where(F.col("model_name") == name).drop("model_name") for name in fx.PREDICTION_MODELS
     }
     table = evaluation.residuals(combine.predictions_long(frames))
-    return rounded(pick(table, "listing_key", "model_name", "actual_price_eur", "predicted_price_eur", "residual_eur"), 4)
+    return pick(table, "listing_key", "model_name", "actual_price_eur", "predicted_price_eur", "residual_eur")
 
 
 # ---- feature selection -----------------------------------------------------------
@@ -400,7 +404,7 @@ def feature_frame(spark, d):
     chosen = [c for c in roles.features if c not in roles.text]
     return rounded(
         pick(frame, "URL", *chosen, "price_in_eur"),
-        Mileage_sq=2, Mileage_sq_model_cat=2, Mileage_model_cat=3, inv_mileage=9, inv_Mileage_model_cat=9,
+        exact=EXACT, inv_mileage=9, inv_Mileage_model_cat=9,
     )
 
 
@@ -431,7 +435,8 @@ def vif_design(spark, d):
 
 
 def vif_gram(spark, d):
-    return rounded(collinearity.gram(vif_design(spark, d)), 0)
+    sums = collinearity.gram(vif_design(spark, d))
+    return rounded(sums.withColumn("value", F.col("value") / 1000000), 2)
 
 
 def vif(spark, d):
@@ -455,7 +460,7 @@ def segment_metrics(spark, d):
 
 
 def residuals(spark, d):
-    return rounded(pick(evaluation.residuals(fx.predictions(spark, d)), "listing_key", "model_name", "residual_eur"), 4)
+    return pick(evaluation.residuals(fx.predictions(spark, d)), "listing_key", "model_name", "residual_eur")
 
 
 def rmse_r2(spark, d):
@@ -478,7 +483,7 @@ def watchlist(spark, d):
             evaluation.watchlist(fx.predictions(spark, d)),
             "listing_key", "model_name", "label", "rank", "residual_eur", "price_delta_pct",
         ),
-        4,
+        exact=["residual_eur"],
     )
 
 
@@ -488,14 +493,12 @@ def details(spark, d):
 
 def bargains(spark, d):
     cheap = evaluation.bargains(fx.predictions(spark, d), details(spark, d), "listing_key")
-    return rounded(
-        pick(cheap, "listing_key", "model_name", "actual_price_eur", "pred_lower", "Title", "Series", "Car location"), 4
-    )
+    return pick(cheap, "listing_key", "model_name", "actual_price_eur", "pred_lower", "Title", "Series", "Car location")
 
 
 def residual_outliers(spark, d):
     far = evaluation.residual_outliers(fx.predictions(spark, d), details(spark, d), "listing_key")
-    return rounded(pick(far, "listing_key", "model_name", "residual_eur", "Title", "Series", "Car location"), 4)
+    return pick(far, "listing_key", "model_name", "residual_eur", "Title", "Series", "Car location")
 
 
 def monthly_error(df: DataFrame) -> DataFrame:

@@ -10,6 +10,10 @@ from pyspark.sql import types as T
 from paddock.functions.numeric import sanitize_nonfinite
 
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".json": "json"}
+# listing texts span lines, quote by doubling and keep their blanks
+CSV_OPTIONS = {
+    "header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 PREDICTION_COLUMNS = ("row_index", "model_name", "actual_price_eur", "predicted_price_eur", "residual_eur")
 
 
@@ -28,8 +32,7 @@ def load_table(
     kind = _format(path, file_type)
     reader = spark.read.format(kind)
     if kind == "csv":
-        # listing texts span lines and quote by doubling
-        reader = reader.options(header=True, multiLine=True, escape='"', inferSchema=schema is None)
+        reader = reader.options(**CSV_OPTIONS, multiLine=True, inferSchema=schema is None)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
@@ -39,7 +42,7 @@ def save_table(df: DataFrame, path: str, file_type: str | None = None, mode: str
     kind = _format(path, file_type)
     writer = df.write.mode(mode).format(kind)
     if kind == "csv":
-        writer = writer.options(header=True, escape='"')
+        writer = writer.options(**CSV_OPTIONS)
     writer.save(path)
     return path
 
