@@ -280,6 +280,20 @@ def _paths() -> str:
     )
 
 
+def _numeric_prep() -> str:
+    numbers = {
+        "Mileage_km": "Mileage_km", "Year of construction": 'try_cast("Year of construction" as double)',
+        "owners_known": "owners_known::double", "price_in_eur": "price_in_eur",
+    }
+    filled = ", ".join(f"coalesce({e}, (select median({e}) from silver)) as x{i}" for i, e in enumerate(numbers.values()))
+    stats = ", ".join(f"avg(x{i}) as m{i}, stddev_pop(x{i}) as s{i}" for i in range(len(numbers)))
+    scaled = ", ".join(
+        f"round((x{i} - m{i}) / case when s{i} = 0 then 1.0::double else s{i} end, 6) as {b.ident(c + '_scaled')}"
+        for i, c in enumerate(numbers)
+    )
+    return f"with {SILVER}, f as (select {K}, {filled} from silver), s as (select {stats} from f) select {K}, {scaled} from f, s"
+
+
 _STATIC = ", ".join(f"('{c}', {r}::double)" for c, r in STATIC_RATES.items())
 
 STATEMENTS: dict[str, str] = {
@@ -459,4 +473,21 @@ STATEMENTS: dict[str, str] = {
     "row_at_offset": f"with {SILVER} select {K}, Title, price_text from silver order by ingest_order limit 1 offset 100",
     "path_leak_scan": _paths(),
     "holdout_split": f"with {SILVER} select {K}, ({b.bucket('URL', 42, 4)} = 0)::int as is_test from silver",
+    "median_baseline": f"""with {SILVER}, sides as (select *, ({b.bucket('URL', 42, 4)} = 0)::int as is_test from silver where price_in_eur is not null)
+      select {K}, round((select median(price_in_eur) from sides where is_test = 0), 6) as predicted_price_eur from sides where is_test = 1""",
+    "numeric_prep": _numeric_prep(),
+    "onehot": f"with {SILVER} " + " union all ".join(
+        f"select {b.text(c + '=')} || coalesce({b.ident(c)}, 'missing') as level, count(*) as n from silver group by 1"
+        for c in ("Series", "Transmission", "Drive", "Car location", "Interior color")
+    ),
+    "tfidf_weights": r"""with words as (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]{2,}') as w from documents),
+      terms as (select doc_id, unnest(w) as term from words
+        union all select doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) from words),
+      counts as (select doc_id, term, count(*) as tf from terms group by 1, 2),
+      vocabulary as (select term, count(*) as df, sum(tf) as total from counts group by 1 having count(*) >= 3 order by total desc, term limit 5000),
+      weighted as (select doc_id, term, (1 + ln(tf)) * (ln((1 + (select count(*) from documents)) / (1 + df)) + 1) as w from counts join vocabulary using (term))
+      select doc_id, term, round(w / sqrt(sum(w * w) over (partition by doc_id)), 6) as weight from weighted""",
+    "log_target_guard": f"with {PRED} select count(*) as n_rows, count(*) filter (actual_price_eur <= 0) as n_non_positive from pred",
+    "geo_mean_blend": f"""with {PRED}, wide as (select listing_key, max(predicted_price_eur) filter (model_name = 'ridge') as a, max(predicted_price_eur) filter (model_name = 'catboost') as b from pred group by 1)
+      select listing_key, round(exp((ln(case when listing_key % 59 = 0 then 1.0::double else greatest(a, 1.0::double) end) + ln(greatest(b, 1.0::double))) / 2), 3) as blend from wide""",
 }
