@@ -26,8 +26,8 @@ LOW_CARDINALITY = 40
 # Every iteration over many text features is a pass over the data: stop once the
 # loss moves by less than this share.
 TOLERANCE, RIDGE_MAX_ITER = 1e-5, 200
-# MLlib solves the normal equations up to this many features.
-_NORMAL_LIMIT = 4096
+# Beyond this many features the k by k normal equations cost more than passes over the data.
+_NORMAL_LIMIT = 512
 
 
 @dataclass(frozen=True)

@@ -100,7 +100,7 @@ def cv_ridge(
     ).fit(data)
     best = min(range(len(alphas)), key=lambda i: fitted.avgMetrics[i])
     return [
-        {"alpha": a, "rmse_mean": m, "rmse_std": s, "is_best": int(i == best)}
+        {"alpha": a, "rmse_mean": float(m), "rmse_std": float(s), "is_best": int(i == best)}
         for i, (a, m, s) in enumerate(zip(alphas, fitted.avgMetrics, fitted.stdMetrics))
     ]
 
