@@ -59,6 +59,13 @@ def blank_to(column: Column, value: str) -> Column:
     return F.when(column.isNull() | (trimmed(column) == ""), F.lit(value)).otherwise(column)
 
 
+# Every character that counts as whitespace at the ends of a text.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def trimmed(column: Column) -> Column:
     """Strip every kind of whitespace from both ends, not only spaces."""
-    return F.regexp_replace(column, r"(?U)^\s+|\s+$", "")
+    return F.btrim(column, F.lit(WHITESPACE))

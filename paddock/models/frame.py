@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paddock.functions.stats import exact_quantiles, hash_bucket, one_row
+from paddock.functions.stats import exact_quantiles, hash_bucket
 from paddock.models.tfidf import TfidfModel, fit_tfidf
 from paddock.operators.features import ColumnRoles
 from paddock.operators.gold import TARGET
@@ -167,29 +167,9 @@ def median_baseline(train: DataFrame, test: DataFrame, target: str = TARGET) ->
 
 
 def numeric_prep(df: DataFrame, columns: Sequence[str], center: bool = True) -> DataFrame:
-    """Median filling and standardising as columns, statistics as scalar subqueries."""
-    medians = exact_quantiles(
-        df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).unpivot([], list(columns), "column", "v"),
-        F.col("v"),
-        {"median": 0.5},
-        ["column"],
-    )
-    per_column = medians.agg(
-        *[F.max(F.when(F.col("column") == c, F.col("median"))).alias(f"m{i}") for i, c in enumerate(columns)]
-    )
-    median = per_column.select(F.struct(*per_column.columns).alias("m")).scalar()
-    filled = df.withColumns(
-        {f"__f{i}": F.coalesce(F.col(f"`{c}`").cast("double"), median[f"m{i}"]) for i, c in enumerate(columns)}
-    )
-    stats = one_row(
-        filled,
-        **{f"{n}{i}": f(f"__f{i}") for i in range(len(columns)) for n, f in (("mean", F.avg), ("std", F.stddev_pop))},
-    )
-    scaled = {}
-    for i, c in enumerate(columns):
-        std = F.when(stats[f"std{i}"] == 0, F.lit(1.0)).otherwise(stats[f"std{i}"])
-        scaled[f"{c}_scaled"] = (F.col(f"__f{i}") - (stats[f"mean{i}"] if center else F.lit(0.0))) / std
-    return filled.withColumns(scaled).drop(*[f"__f{i}" for i in range(len(columns))])
+    """Median filling and standardising as columns; the statistics are a few numbers per column."""
+    scaled = numeric_columns(numeric_stats(df, columns), center)
+    return df.withColumns({f"{c}_scaled": F.expr(e) for c, e in scaled.items()})
 
 
 def onehot_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

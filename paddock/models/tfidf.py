@@ -25,40 +25,44 @@ def with_terms(df: DataFrame, text: str, out: str = "__terms") -> DataFrame:
     return pairs.withColumn(out, F.concat("__words", "__pairs")).drop("__words", "__pairs")
 
 
-def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, tf)."""
-    return (
-        with_terms(df.select(key, text), text)
-        .select(key, F.explode("__terms").alias("term"))
-        .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-
+def vocabulary(df: DataFrame, text: str, max_terms: int = MAX_TERMS, min_df: int = MIN_DF) -> DataFrame:
+    """(term, df, total): the most frequent terms of the corpus, term order deciding ties.
 
-def vocabulary(counts: DataFrame, max_terms: int = MAX_TERMS, min_df: int = MIN_DF) -> DataFrame:
-    """The most frequent terms of the corpus (term order decides ties) with their document frequency.
-
-    At most ``max_terms`` rows, whatever the corpus holds.
+    Every term goes out once per occurrence and once more per row, so one shuffle
+    by term, summed on the map side first, gives both frequencies. At most
+    ``max_terms`` rows, whatever the corpus holds.
     """
-    totals = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
-    return most_frequent(totals, max_terms, min_df)
-
-
-def most_frequent(totals: DataFrame, max_terms: int, min_df: int) -> DataFrame:
+    once = F.transform(F.array_distinct("__terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("df"), F.lit(0).alias("tf")))
+    each = F.transform("__terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("df"), F.lit(1).alias("tf")))
+    totals = (
+        with_terms(df.select(text), text)
+        .select(F.explode(F.concat(once, each)).alias("t"))
+        .groupBy("t.term")
+        .agg(F.sum("t.df").alias("df"), F.sum("t.tf").alias("total"))
+    )
     return totals.where(F.col("df") >= min_df).orderBy(F.col("total").desc(), "term").limit(max_terms)
 
 
 def tfidf_weights(
     df: DataFrame, key: str, text: str, max_terms: int = MAX_TERMS, min_df: int = MIN_DF
 ) -> DataFrame:
-    """(key, term, weight): (1 + ln tf) times smoothed idf, unit length per row of ``df``."""
-    counts = term_counts(df, key, text)
-    terms = vocabulary(counts, max_terms, min_df)
+    """(key, term, weight): (1 + ln tf) times smoothed idf, unit length per row of ``df``.
+
+    Terms outside the vocabulary are dropped by a broadcast join before anything
+    is counted or shuffled.
+    """
+    terms = vocabulary(df, text, max_terms, min_df).select("term", "df")
     n = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    idf = F.ln((1 + n) / (1 + F.col("df"))) + 1.0
-    weighted = counts.join(F.broadcast(terms.select("term", "df")), "term").withColumn(
-        "__w", (1.0 + F.ln("tf")) * idf
+    counts = (
+        with_terms(df.select(key, text), text)
+        .select(key, F.explode("__terms").alias("term"))
+        .join(F.broadcast(terms), "term")
+        .groupBy(key, "term", "df")
+        .agg(F.count(F.lit(1)).alias("tf"))
     )
+    idf = F.ln((1 + n) / (1 + F.col("df"))) + 1.0
+    weighted = counts.withColumn("__w", (1.0 + F.ln("tf")) * idf)
+    # at most max_terms rows per key
     length = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(Window.partitionBy(key)))
     return weighted.select(key, "term", (F.col("__w") / length).alias("weight"))
 
@@ -86,19 +90,7 @@ class TfidfModel:
 
 
 def fit_tfidf(df: DataFrame, text: str, max_terms: int = MAX_TERMS, min_df: int = 1) -> TfidfModel:
-    """Vocabulary and idf of ``df``.
-
-    Every term goes out once per occurrence and once more per row, so one shuffle
-    by term, summed on the map side first, gives both frequencies.
-    """
-    once = F.transform(F.array_distinct("__terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("df"), F.lit(0).alias("tf")))
-    each = F.transform("__terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("df"), F.lit(1).alias("tf")))
-    totals = (
-        with_terms(df.select(text), text)
-        .select(F.explode(F.concat(once, each)).alias("t"))
-        .groupBy("t.term")
-        .agg(F.sum("t.df").alias("df"), F.sum("t.tf").alias("total"))
-    )
-    rows = most_frequent(totals, max_terms, min_df).collect()
+    """Vocabulary and idf of ``df``, both read to the driver."""
+    rows = vocabulary(df, text, max_terms, min_df).collect()
     n = df.count()
     return TfidfModel([r["term"] for r in rows], [float(np.log((1 + n) / (1 + r["df"])) + 1.0) for r in rows])

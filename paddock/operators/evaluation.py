@@ -275,8 +275,10 @@ def histogram(df: DataFrame, bins: dict[str, int]) -> DataFrame:
         .unpivot([], names, "column", "v")
         .where(F.col("v").isNotNull())
     )
-    ranges = one_row(df, **{f"{f}{i}": g(F.col(f"`{c}`").cast("double"))
+    stats = one_row(df, **{f"{f}{i}": g(F.col(f"`{c}`").cast("double"))
                             for i, c in enumerate(names) for f, g in (("lo", F.min), ("hi", F.max))})
+    long = long.withColumn("__ranges", stats)
+    ranges = F.col("__ranges")
     bin_number, low, width = F.lit(None).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("double")
     for i, c in enumerate(names):
         lo, hi, n = ranges[f"lo{i}"], ranges[f"hi{i}"], bins[c]

@@ -35,25 +35,33 @@ def drop_missing_target(df: DataFrame, target: str = TARGET) -> DataFrame:
     return df.where(F.col(target).isNotNull() & ~F.isnan(target))
 
 
-def _spread(df: DataFrame, column: str, use_log: bool) -> tuple[Column, Column]:
+def _log_or_plain(column: str, use_log: bool) -> Column:
     # ln of a non-positive value is NULL: such rows are outside every bound
-    value = F.ln(F.col(column)) if use_log else F.col(column)
-    stats = one_row(df, mean=F.avg(value), std=F.stddev_samp(value), rows=F.count(F.lit(1)))
-    return value, stats
+    return F.ln(F.col(column)) if use_log else F.col(column)
+
+
+def _bounds(df: DataFrame, value: Column, n_std: float) -> Column:
+    """(low, high) around the mean; everything for a table of fewer than two rows."""
+    few, reach = F.count(F.lit(1)) < 2, F.lit(n_std) * F.stddev_samp(value)
+    return one_row(
+        df,
+        low=F.when(few, F.lit(float("-inf"))).otherwise(F.avg(value) - reach),
+        high=F.when(few, F.lit(float("inf"))).otherwise(F.avg(value) + reach),
+    )
 
 
 def remove_outliers(df: DataFrame, column: str, n_std: float = 3.0, use_log: bool = False) -> DataFrame:
     """Rows within ``n_std`` sample standard deviations of the mean, bounds included."""
-    value, stats = _spread(df, column, use_log)
-    mean, reach = stats["mean"], F.lit(n_std) * stats["std"]
-    return df.where((stats["rows"] < 2) | value.between(mean - reach, mean + reach))
+    value = _log_or_plain(column, use_log).cast("double")
+    bounds = _bounds(df, value, n_std)
+    return df.where(F.coalesce(value, F.lit(float("-inf"))).between(bounds["low"], bounds["high"]))
 
 
 def outlier_count(df: DataFrame, column: str = TARGET, n_std: float = 3.0) -> DataFrame:
     """How many values lie beyond ``n_std`` deviations of the log mean, and their share."""
-    value, stats = _spread(df, column, use_log=True)
-    mean, reach = stats["mean"], F.lit(n_std) * stats["std"]
-    outside = F.count_if((value < mean - reach) | (value > mean + reach))
+    value = _log_or_plain(column, use_log=True)
+    bounds = _bounds(df.where(F.col(column) > 0), value, n_std)
+    outside = F.count_if((value < bounds["low"]) | (value > bounds["high"]))
     return df.where(F.col(column) > 0).agg(
         F.count(F.lit(1)).alias("n_prices"),
         outside.alias("n_outliers"),

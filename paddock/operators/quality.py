@@ -110,6 +110,8 @@ def dq_thresholds(df: DataFrame, limits: Mapping[str, float] = THRESHOLDS) -> Da
         km_mean=F.avg(mileage),
         km_std=F.stddev_samp(mileage),
     )
+    df = df.withColumn("__stats", stats)
+    stats = F.col("__stats")
     n = limits["n_std"]
     checks = {
         "price_below_min": price < limits["min_price"],
@@ -119,7 +121,7 @@ def dq_thresholds(df: DataFrame, limits: Mapping[str, float] = THRESHOLDS) -> Da
         "mileage_beyond_sigma": F.abs(mileage - stats["km_mean"]) > n * stats["km_std"],
     }
     reasons = F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in checks.items()]))
-    return df.withColumn("violations", reasons)
+    return df.withColumn("violations", reasons).drop("__stats")
 
 
 def feature_screen(

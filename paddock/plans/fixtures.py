@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from paddock.sources.tables import spread
+
 SHOP_PREFIX = "https://listings.example/en/shop/"
 
 # Model names, at least one per category rule, plus overlaps.
@@ -84,8 +86,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def _listing_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     k = F.col("o_orderkey")
     return orders.join(documents, k == F.col("doc_id"), "left").select(

@@ -51,7 +51,7 @@ def onehot(spark, d):
 
 
 def tfidf_weights(spark, d):
-    return rounded(tfidf.tfidf_weights(fx.table(spark, d, "documents"), "doc_id", "text"))
+    return rounded(tfidf.tfidf_weights(fx.documents(spark, d), "doc_id", "text"))
 
 
 def log_target_guard(spark, d):

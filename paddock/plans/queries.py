@@ -110,7 +110,7 @@ def fx_rate_table(spark, d):
 
 
 def pages_extract(spark, d):
-    found = pages.extract_listings(fx.table(spark, d, "pages"))
+    found = pages.extract_listings(tables.spread(fx.table(spark, d, "pages"), "page_id"))
     return found.select(
         "page_id",
         "Title",
@@ -692,7 +692,7 @@ def path_leak_scan(spark, d):
     styles = ("C:\\Users\\ann\\x", "D:\\data\\AppData\\Local\\Temp", "\\\\NAS_home/share", "/users/ann", "/home/ann/x")
     k = F.col("doc_id")
     style = F.element_at(F.array(*map(F.lit, styles)), (k % len(styles) + 1).cast("int"))
-    documents = fx.table(spark, d, "documents").select(
+    documents = fx.documents(spark, d).select(
         "doc_id", F.when(k % 25 < 5, F.concat_ws(" ", "text", style)).otherwise(F.col("text")).alias("text")
     )
     return hygiene.path_leak_scan(documents, "doc_id", "text")

@@ -47,6 +47,12 @@ def save_table(df: DataFrame, path: str, file_type: str | None = None, mode: str
     return path
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash a table of fewer files than cores over the cores, for text work; larger tables stay as read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
 def write_snapshot(df: DataFrame, path: str, run_ts: str) -> None:
     """Keep ``df`` as the snapshot of ``run_ts`` next to the earlier ones.
 
