@@ -40,9 +40,9 @@ def decode(df: DataFrame, ids: str, ranks: str, text: str = "decoded") -> DataFr
     def scan(packed: list[bytes]) -> dict[str, list[str]]:
         import numpy as np
 
-        from paddock.llm.transducer import StreamDecoder, transducer
+        from paddock.llm.transducer import StreamDecoder, token_bytes
 
-        tokens, out = transducer(ranks).tokens, []
+        tokens, out = token_bytes(ranks), []
         for x in packed:
             decoder, all_ids = StreamDecoder(tokens), np.frombuffer(x, "<u4")
             parts = [decoder.feed(all_ids[i : i + IDS_PER_STEP].tolist()) for i in range(0, len(all_ids), IDS_PER_STEP)]

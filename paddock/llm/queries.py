@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paddock.llm import bpe, token_count
+from paddock.llm import bpe, quality_rules, simhash, token_count
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,8 +37,17 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality_rules.quality_rules(docs, "text", {"doc_id": docs["doc_id"]})
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir), "doc_id", "text")
+
+
 def llm_queries() -> dict:
-    named = (op1_byte_bpe, op2_token_counts)
+    named = (op1_byte_bpe, op2_token_counts, op3_quality_rules, op6_simhash)
     return {q.__name__: q for q in named}
 
 

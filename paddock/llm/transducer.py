@@ -14,8 +14,10 @@ from array import array
 
 ROOT = 0
 START = -1  # no token before the first
-_CACHE_LIMIT = 200_000  # pieces of the younger and of the older generation, and pairs of tokens
-_TABLE_LIMIT = 400_000  # moves; a full table is emptied and filled anew
+_CACHE_LIMIT = 200_000  # pieces of the younger and of the older generation,
+_PAIR_LIMIT = 500_000  # pairs of tokens, and
+_STATE_LIMIT = 200_000  # states; a full table is emptied and filled anew
+_CONFIGURATIONS, _REST = -1, -2  # keys of a state beside the bytes
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -37,12 +39,16 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Transducer:
-    """Merges compiled into states that are made when first reached."""
+    """Merges compiled into states that are made when first reached.
+
+    A state is a dict: byte -> (next state, ids emitted), plus its configurations and what is left to emit
+    if the piece ends there. A configuration is (token before, tokens not emitted yet, node of the trie).
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self._edges: dict[int, int] = {}
+        self._children: list[dict[int, int] | None] = [{}]
         self._ends = [START]
         self._fits: dict[int, bool] = {}
         self._made: dict[int, tuple[int, int] | None] = {}
@@ -51,21 +57,21 @@ class Transducer:
         for token, rank in ranks.items():
             node = ROOT
             for byte in token:
-                key = node << 8 | byte
-                if key not in self._edges:
-                    self._edges[key] = len(self._ends)
+                children = self._children[node]
+                if children is None:
+                    children = self._children[node] = {}
+                if byte not in children:
+                    children[byte] = len(self._ends)
                     self._ends.append(START)
-                node = self._edges[key]
+                    self._children.append(None)
+                node = children[byte]
             self._ends[node] = rank
-        self._inner = {key >> 8 for key in self._edges}
         self._forget()
 
     def _forget(self) -> None:
-        first = ((START, (), ROOT),)
-        self._states = [first]
-        self._numbers = {first: 0}
-        self._moves: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self._finals: dict[int, tuple[int, ...]] = {}
+        configurations = ((START, (), ROOT),)
+        self._first = {_CONFIGURATIONS: configurations}
+        self._states = {configurations: self._first}
 
     def _halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge made this one; none for a single byte."""
@@ -90,7 +96,7 @@ class Transducer:
         """
         known = self._fits.get(before << 20 | token)
         if known is None:
-            if len(self._fits) >= _CACHE_LIMIT:
+            if len(self._fits) >= _PAIR_LIMIT:
                 self._fits.clear()
             if before == START:
                 known = merge(self.tokens[token], self.ranks) == [token]
@@ -113,20 +119,20 @@ class Transducer:
             else:
                 youngest, right = right + 1, right_made[0]
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        edges, ends, fits = self._edges, self._ends, self._fits
-        after = []  # oldest first, so its pending tokens are a prefix of what all others agree on, or more
-        for before, pending, node in self._states[state]:
-            node = edges.get(node << 8 | byte)
+    def _move(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
+        children, ends, fits = self._children, self._ends, self._fits
+        after = []  # oldest first, so nobody has fewer pending tokens than the first
+        for before, pending, node in state[_CONFIGURATIONS]:
+            node = children[node].get(byte)
             if node is None:
                 continue
-            if node in self._inner:
-                after.append((before, pending, node))
             token = ends[node]
             if token != START:
                 fit = fits.get(before << 20 | token)
                 if self.fits(before, token) if fit is None else fit:
                     ended = (token, (*pending, token), ROOT)
+            if children[node] is not None:
+                after.append((before, pending, node))
         after.append(ended)  # one token ends at every position
         emitted = ()
         if after[0][1]:
@@ -138,30 +144,24 @@ class Transducer:
                 emitted = first[:sure]
                 after = [(before, pending[sure:], node) for before, pending, node in after]
         after = tuple(after)
-        number = self._numbers.get(after)
-        if number is None:
-            number = self._numbers[after] = len(self._states)
-            self._states.append(after)
-        self._moves[state << 8 | byte] = move = (number, emitted)
+        known = self._states.get(after)
+        if known is None:
+            known = self._states[after] = {_CONFIGURATIONS: after, _REST: after[-1][1]}
+        state[byte] = move = (known, emitted)
         return move
 
-    def _final(self, state: int) -> tuple[int, ...]:
-        rest = next(pending for _, pending, node in self._states[state] if node == ROOT)
-        self._finals[state] = rest
-        return rest
-
     def ids(self, piece: bytes) -> list[int]:
         """Token ids of one piece, in the order in which they become sure."""
-        if len(self._moves) >= _TABLE_LIMIT:
+        if len(self._states) >= _STATE_LIMIT:
             self._forget()
-        state, out, moves = 0, [], self._moves
+        state, out = self._first, []
         for byte in piece:
-            move = moves.get(state << 8 | byte) or self._move(state, byte)
+            move = state.get(byte) or self._move(state, byte)
             state = move[0]
             if move[1]:
                 out.extend(move[1])
-        rest = self._finals.get(state)
-        out.extend(self._final(state) if rest is None else rest)
+        if piece:
+            out.extend(state[_REST])
         return out
 
     def _miss(self, piece: str) -> bytes:
@@ -190,6 +190,17 @@ def transducer(path: str) -> Transducer:
     return _LOADED[key]
 
 
+_TOKENS: dict[tuple[str, float], dict[int, bytes]] = {}
+
+
+def token_bytes(path: str) -> dict[int, bytes]:
+    """Bytes of each id of a rank file, read once for each Python worker."""
+    key = (path, os.path.getmtime(path))
+    if key not in _TOKENS:
+        _TOKENS[key] = {rank: token for token, rank in read_ranks(path).items()}
+    return _TOKENS[key]
+
+
 def open_bytes(tail: bytes) -> int:
     """How many bytes at the end begin a UTF-8 character that is not complete yet."""
     for back in range(1, min(3, len(tail)) + 1):
