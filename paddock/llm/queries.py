@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paddock.llm import bpe, quality_rules, simhash, token_count
+from paddock.llm import bpe, mixing, quality_rules, simhash, token_count
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -42,12 +42,18 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(docs, "text", {"doc_id": docs["doc_id"]})
 
 
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source")
+    mixed = mixing.mix(docs, "doc_id", "text", "source")
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), "doc_id", "text")
 
 
 def llm_queries() -> dict:
-    named = (op1_byte_bpe, op2_token_counts, op3_quality_rules, op6_simhash)
+    named = (op1_byte_bpe, op2_token_counts, op3_quality_rules, op5_source_mix, op6_simhash)
     return {q.__name__: q for q in named}
 
 
