@@ -2,8 +2,9 @@
 
 A token sequence is the merge result of its bytes exactly if every adjacent pair of tokens
 is the merge result of the pair's own bytes. So one token ends at each position of a text:
-the one that fits its predecessor. The transducer follows all tokens that may still be open
-(its configurations), and hands out a token as soon as every configuration agrees on it.
+the one that fits its predecessor. The transducer follows all tokens that may still be open (its configurations)
+and names the token that ends at each byte; the tokens that every open configuration leads back to are
+settled and handed out.
 """
 
 from __future__ import annotations
@@ -15,9 +16,10 @@ from array import array
 ROOT = 0
 START = -1  # no token before the first
 _CACHE_LIMIT = 200_000  # pieces of the younger and of the older generation,
-_PAIR_LIMIT = 500_000  # pairs of tokens, and
-_STATE_LIMIT = 200_000  # states; a full table is emptied and filled anew
-_CONFIGURATIONS, _REST = -1, -2  # keys of a state beside the bytes
+_PAIR_LIMIT = 300_000  # pairs of tokens, and
+_STATE_LIMIT = 120_000  # states; a full table is emptied and filled anew
+_CONFIGURATIONS = -1  # key of a state beside the bytes
+_LOOK = 512  # bytes after which tokens are settled in long pieces
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -41,8 +43,8 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Transducer:
     """Merges compiled into states that are made when first reached.
 
-    A state is a dict: byte -> (next state, ids emitted), plus its configurations and what is left to emit
-    if the piece ends there. A configuration is (token before, tokens not emitted yet, node of the trie).
+    A state is a dict: byte -> (next state, token that ends there), plus its configurations. A configuration is
+    (token before, node of the trie): a token that may still become longer.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -50,8 +52,11 @@ class Transducer:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self._children: list[dict[int, int] | None] = [{}]
         self._ends = [START]
+        self._depths = [0]
+        self._lengths = {rank: len(token) for token, rank in ranks.items()}
         self._fits: dict[int, bool] = {}
         self._made: dict[int, tuple[int, int] | None] = {}
+        self._states: dict[tuple, dict] = {}
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
         for token, rank in ranks.items():
@@ -63,13 +68,16 @@ class Transducer:
                 if byte not in children:
                     children[byte] = len(self._ends)
                     self._ends.append(START)
+                    self._depths.append(self._depths[node] + 1)
                     self._children.append(None)
                 node = children[byte]
             self._ends[node] = rank
         self._forget()
 
     def _forget(self) -> None:
-        configurations = ((START, (), ROOT),)
+        for state in self._states.values():
+            state.clear()  # states refer to each other in circles
+        configurations = ((START, ROOT),)
         self._first = {_CONFIGURATIONS: configurations}
         self._states = {configurations: self._first}
 
@@ -119,10 +127,10 @@ class Transducer:
             else:
                 youngest, right = right + 1, right_made[0]
 
-    def _move(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
+    def _move(self, state: dict, byte: int) -> tuple[dict, int]:
         children, ends, fits = self._children, self._ends, self._fits
-        after = []  # oldest first, so nobody has fewer pending tokens than the first
-        for before, pending, node in state[_CONFIGURATIONS]:
+        after = []  # oldest first
+        for before, node in state[_CONFIGURATIONS]:
             node = children[node].get(byte)
             if node is None:
                 continue
@@ -130,39 +138,51 @@ class Transducer:
             if token != START:
                 fit = fits.get(before << 20 | token)
                 if self.fits(before, token) if fit is None else fit:
-                    ended = (token, (*pending, token), ROOT)
+                    last = token
             if children[node] is not None:
-                after.append((before, pending, node))
-        after.append(ended)  # one token ends at every position
-        emitted = ()
-        if after[0][1]:
-            pendings = [configuration[1] for configuration in after]
-            first, sure = pendings[0], 0
-            while all(len(p) > sure < len(first) and p[sure] == first[sure] for p in pendings):
-                sure += 1
-            if sure:
-                emitted = first[:sure]
-                after = [(before, pending[sure:], node) for before, pending, node in after]
+                after.append((before, node))
+        after.append((last, ROOT))  # one token ends at every position
         after = tuple(after)
         known = self._states.get(after)
         if known is None:
-            known = self._states[after] = {_CONFIGURATIONS: after, _REST: after[-1][1]}
-        state[byte] = move = (known, emitted)
+            known = self._states[after] = {_CONFIGURATIONS: after}
+        state[byte] = move = (known, last)
         return move
 
+    def _settle(self, state: dict, lasts: list[int], start: int) -> tuple[list[int], int]:
+        """Tokens from ``start`` on that every open configuration agrees on, and where they end."""
+        lengths, depths = self._lengths, self._depths
+        ways = {len(lasts) - depths[node] for _, node in state[_CONFIGURATIONS]}
+        while len(ways) > 1:  # follow the latest back until all have met
+            latest = max(ways)
+            ways.remove(latest)
+            ways.add(latest - lengths[lasts[latest - 1]])
+        end = at = ways.pop()
+        out = []
+        while at > start:
+            out.append(lasts[at - 1])
+            at -= lengths[lasts[at - 1]]
+        return out[::-1], end
+
     def ids(self, piece: bytes) -> list[int]:
-        """Token ids of one piece, in the order in which they become sure."""
+        """Token ids of one piece. After each byte the token that ends there is known; which of them
+        are kept is settled every _LOOK bytes, at the latest at the piece's end."""
         if len(self._states) >= _STATE_LIMIT:
             self._forget()
-        state, out = self._first, []
+        state, lasts, lengths, out, start = self._first, [], self._lengths, [], 0
         for byte in piece:
-            move = state.get(byte) or self._move(state, byte)
-            state = move[0]
-            if move[1]:
-                out.extend(move[1])
-        if piece:
-            out.extend(state[_REST])
-        return out
+            state, last = state.get(byte) or self._move(state, byte)
+            lasts.append(last)
+            if not len(lasts) % _LOOK:
+                sure, start = self._settle(state, lasts, start)
+                out += sure
+        tail, at = [], len(lasts)
+        while at > start:
+            last = lasts[at - 1]
+            tail.append(last)
+            at -= lengths[last]
+        tail.reverse()
+        return out + tail if out else tail
 
     def _miss(self, piece: str) -> bytes:
         known = self._young.get(piece) or self._old.get(piece)
