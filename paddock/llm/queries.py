@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paddock.llm import bpe, mixing, quality_rules, simhash, token_count
+from paddock.llm import bpe, embedding_dedup, mixing, quality_rules, simhash, token_count
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -42,6 +42,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(docs, "text", {"doc_id": docs["doc_id"]})
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding")
+
+
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "source")
     mixed = mixing.mix(docs, "doc_id", "text", "source")
@@ -53,7 +57,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict:
-    named = (op1_byte_bpe, op2_token_counts, op3_quality_rules, op5_source_mix, op6_simhash)
+    named = (op1_byte_bpe, op2_token_counts, op3_quality_rules, op4_embedding_dedup, op5_source_mix, op6_simhash)
     return {q.__name__: q for q in named}
 
 
