@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paddock.llm import bpe, embedding_dedup, mixing, quality_rules, simhash, token_count
+from paddock.llm import bpe, embedding_dedup, mixing, quality_rules, simhash, suffix_dedup, token_count
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,8 +56,27 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), "doc_id", "text")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    digest = F.sha2(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), 256)
+    rows = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), digest.alias("own_sha256"))
+    found = suffix_dedup.repeats(docs, "text")
+    found = found.select(F.lower(F.hex("sha")).alias("own_sha256"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    zero = F.lit(0).cast("long")
+    return rows.join(found, "own_sha256", "left").select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce("n_removed", zero).alias("n_removed"),
+        F.coalesce("n_spans", zero).alias("n_spans"),
+        F.coalesce("kept_sha256", "own_sha256").alias("kept_sha256"),
+    )
+
+
 def llm_queries() -> dict:
-    named = (op1_byte_bpe, op2_token_counts, op3_quality_rules, op4_embedding_dedup, op5_source_mix, op6_simhash)
+    named = (
+        op1_byte_bpe, op2_token_counts, op3_quality_rules, op4_embedding_dedup, op5_source_mix, op6_simhash,
+        op9_suffix_dedup,
+    )
     return {q.__name__: q for q in named}
 
 
