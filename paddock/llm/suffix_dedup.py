@@ -355,7 +355,7 @@ def search_shard(frame, length: int, ranges: int):
         for r in np.unique(bucket):
             low, high = np.searchsorted(bucket, [r, r + 1])
             some = members[np.searchsorted(members["key"], low) : np.searchsorted(members["key"], high)].copy()
-            some["key"] -= low
+            some["key"] -= np.uint32(low)
             rows.append((0, 0, -1, -1, r, int(frame["shard"].iloc[0]), digests[low:high].tobytes(), some.tobytes()))
         out.append(pd.DataFrame(rows, columns=["d1", "d2", "first", "last", "range", "shard", "keys", "members"]))
     return pd.concat(out, ignore_index=True)
