@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paddock.llm import bpe, embedding_dedup, mixing, quality_rules, simhash, suffix_dedup, token_count
+from paddock.llm import bpe, embedding_dedup, mixing, quality_model, quality_rules, simhash, suffix_dedup, token_count
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,6 +56,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), "doc_id", "text")
 
 
+def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     digest = F.sha2(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), 256)
@@ -75,7 +79,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict:
     named = (
         op1_byte_bpe, op2_token_counts, op3_quality_rules, op4_embedding_dedup, op5_source_mix, op6_simhash,
-        op9_suffix_dedup,
+        op8_quality_model, op9_suffix_dedup,
     )
     return {q.__name__: q for q in named}
 
