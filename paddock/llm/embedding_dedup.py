@@ -24,7 +24,7 @@ from paddock.llm.common import components, forest
 from paddock.session import cut_lineage
 
 THRESHOLD = 0.9
-MARGIN = 0.22  # a vector visits the cells whose centroid is at most this less similar than its own
+MARGIN = 0.13  # a vector visits the cells whose centroid is at most this less similar than its own
 MOST_CELLS = 4096
 SAMPLE_PER_CELL = 16  # so at most 65,536 vectors for the fit
 ROUNDS = 8
