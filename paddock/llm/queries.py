@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paddock.llm import bpe, embedding_dedup, mixing, quality_model, quality_rules, simhash, suffix_dedup, token_count
+from paddock.llm import bpe, embedding_dedup, mixing, quality_model, quality_rules, simhash, suffix_dedup, token_count, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -76,10 +76,14 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def llm_queries() -> dict:
     named = (
         op1_byte_bpe, op2_token_counts, op3_quality_rules, op4_embedding_dedup, op5_source_mix, op6_simhash,
-        op8_quality_model, op9_suffix_dedup,
+        op8_quality_model, op9_suffix_dedup, op10_toxicity,
     )
     return {q.__name__: q for q in named}
 
