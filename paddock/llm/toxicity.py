@@ -25,7 +25,7 @@ from paddock.llm.quality_model import fold, sample_of
 TRAIN_ROWS = 16_000
 MOST_FOUND = 320
 MIN_ROWS = 5  # toxic rows in which a found voter must fire
-MIN_SHARE = 0.6  # share of toxic rows among those in which it fires
+MIN_SHARE = 0.9  # share of toxic rows among those in which it fires
 FOLDS, HELD_OUT = 4, 2
 CUT = 0.3
 BEGINNINGS = (4, 5, 6)
@@ -59,8 +59,8 @@ class Voters:
     """Which voters fire in a text."""
 
     def __init__(self, terms: list[str]):
-        self.names = list(dict.fromkeys([*LEXICON, *terms])) + list(PATTERNS)
-        self.words = {t: i for i, t in enumerate(self.names) if t not in PATTERNS and not t.endswith("*")}
+        self.names = list(dict.fromkeys([*LEXICON, *terms])) + [*PATTERNS, "quiet"]
+        self.words = {t: i for i, t in enumerate(self.names[: -len(PATTERNS) - 1]) if not t.endswith("*")}
         self.starts = {t[:-1]: i for i, t in enumerate(self.names) if t.endswith("*")}
         self._firsts = {t[: BEGINNINGS[0]] for t in (*self.words, *self.starts)}
 
@@ -74,15 +74,18 @@ class Voters:
                 out.add(self.words.get(word))
                 out.update(self.starts.get(word[:n]) for n in BEGINNINGS if len(word) > n)
         out.discard(None)
-        first = len(self.names) - len(PATTERNS)
+        first = len(self.names) - len(PATTERNS) - 1
+        if not out:
+            out.add(first + len(PATTERNS))  # no term: a vote for clean
         out.update(first + i for i, pattern in enumerate(PATTERNS.values()) if pattern(text, lower))
         return sorted(out)
 
 
-def label_model(fires: np.ndarray, given: np.ndarray, rounds: int = 12) -> np.ndarray:
+def label_model(fires: np.ndarray, given: np.ndarray, rounds: int = 6) -> np.ndarray:
     """Posterior probability of the toxic class for each row of ``fires`` (rows x voters, 0 or 1).
 
-    ``given`` are the noisy labels that the rates start from; they vote like the others.
+    A voter that doesn't fire abstains. ``given`` are the noisy labels that the rates start from; they vote in
+    every row.
     """
     votes = np.column_stack([fires, given]).astype(np.float64)
     posterior = np.clip(given.astype(np.float64), 0.05, 0.95)
@@ -96,18 +99,20 @@ def label_model(fires: np.ndarray, given: np.ndarray, rounds: int = 12) -> np.nd
             scale = np.sqrt(rate * (1 - rate))
             sides.append((total / len(votes), rate, covariance / np.outer(scale, scale)))
         (share, toxic, corr1), (_, clean, corr0) = sides
-        # the part of a voter that others repeat within a class is no further evidence
+        # a voter that others fired in the row repeat within a class is so much less evidence
         shared = np.clip(np.maximum(corr1, corr0), 0, 1)
         np.fill_diagonal(shared, 0.0)
-        own = 1.0 / (1.0 + np.where(shared > 0.3, shared, 0.0).sum(axis=0))
-        fired, silent = own * np.log(toxic / clean), own * np.log((1 - toxic) / (1 - clean))
-        odds = np.log(share / (1 - share)) + votes @ fired + (1 - votes) @ silent
+        shared[-1] = shared[:, -1] = 0.0  # the label is no part of the text
+        own = votes / (1.0 + votes @ np.where(shared > 0.3, shared, 0.0))
+        fired = np.log(toxic / clean)
+        against = np.log((1 - toxic[-1]) / (1 - clean[-1]))
+        odds = np.log(share / (1 - share)) + own @ fired + (1 - votes[:, -1]) * against
         posterior = 1.0 / (1.0 + np.exp(-np.clip(odds, -30, 30)))
         posterior = np.clip(posterior, 1e-4, 1 - 1e-4)
     return posterior
 
 
-def linear(fires: np.ndarray, target: np.ndarray, ridge: float = 0.5, rounds: int = 25) -> np.ndarray:
+def linear(fires: np.ndarray, target: np.ndarray, ridge: float = 0.1, rounds: int = 25) -> np.ndarray:
     """Logistic regression on soft labels by Newton's method; the last weight is the intercept, unpenalised."""
     rows = np.column_stack([fires, np.ones(len(fires))]).astype(np.float64)
     penalty = np.full(rows.shape[1], ridge)
