@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paddock.llm import bpe, embedding_dedup, mixing, quality_model, quality_rules, simhash, suffix_dedup, token_count, toxicity
+from paddock.llm import bpe, embedding_dedup, lm_scoring, mixing, quality_model, quality_rules, simhash, suffix_dedup, token_count, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 1024
 
 
@@ -56,6 +57,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), "doc_id", "text")
 
 
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(documents(spark, sf_dir), "doc_id", "text", PIECES)
+
+
 def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -83,7 +88,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict:
     named = (
         op1_byte_bpe, op2_token_counts, op3_quality_rules, op4_embedding_dedup, op5_source_mix, op6_simhash,
-        op8_quality_model, op9_suffix_dedup, op10_toxicity,
+        op7_lm_scores, op8_quality_model, op9_suffix_dedup, op10_toxicity,
     )
     return {q.__name__: q for q in named}
 
