@@ -85,10 +85,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # lies beside the package
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def llm_queries() -> dict:
     named = (
         op1_byte_bpe, op2_token_counts, op3_quality_rules, op4_embedding_dedup, op5_source_mix, op6_simhash,
-        op7_lm_scores, op8_quality_model, op9_suffix_dedup, op10_toxicity,
+        op7_lm_scores, op8_quality_model, op9_suffix_dedup, op10_toxicity, pipeline,
     )
     return {q.__name__: q for q in named}
 

@@ -27,39 +27,48 @@ SEED = 42
 SHINGLE = 3
 RADIUS = 3
 TILE = 2048  # fingerprints in a tile, on average at most
+WIDE_TILE = 8192
 QUARTERS, SIDE = 4, 17  # a quarter has 0 to 16 bits set
 _ROWS = 256  # rows of a tile compared at once
 
 
-def fingerprint(text: bytes, size: int = SHINGLE) -> int:
-    """Signed 64-bit fingerprint: a bit is set if it is set in over half the shingles' hashes."""
+def fingerprint(text: bytes, size: int = SHINGLE, seeds: tuple[int, ...] = (SEED,)) -> bytes:
+    """64 bits for each seed: a bit is set if it is set in over half the shingles' hashes."""
     import numpy as np
     import xxhash
 
     words = text.lower().split()  # bytes: A-Z only, and the ASCII blanks only
     if not words:
-        return 0
+        return bytes(8 * len(seeds))
     shingles = list(map(b" ".join, zip(*[words[i:] for i in range(size)]))) if len(words) >= size else [b" ".join(words)]
-    counts = np.zeros(64, np.int64)
+    counts = np.zeros((len(seeds), 64), np.int64)
     for start in range(0, len(shingles), 1 << 16):
         part = shingles[start : start + (1 << 16)]
-        digests = b"".join([xxhash.xxh64_digest(s, SEED) for s in part])
-        counts += np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * counts > len(shingles)).tobytes(), "big", signed=True)
+        for row, seed in zip(counts, seeds):
+            digests = b"".join([xxhash.xxh64_digest(s, seed) for s in part])
+            row += np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * counts > len(shingles), axis=1).tobytes()
 
 
 def fingerprints(df: DataFrame, text: Column, keep: dict[str, Column], size: int = SHINGLE) -> DataFrame:
-    """The columns of ``keep`` and the fingerprint of each text as ``fp``."""
-    return scanned(df, lambda texts: {"fp": [fingerprint(x, size) for x in texts]}, text, "fp long", keep)
+    """The columns of ``keep`` and the fingerprint of each text as a signed number ``fp``."""
+    return scanned(df, lambda texts: {"fp": [int.from_bytes(fingerprint(x, size), "big", signed=True) for x in texts]}, text, "fp long", keep)
+
+
+def wide_fingerprints(df: DataFrame, text: Column, keep: dict[str, Column], size: int, seeds: tuple[int, ...]) -> DataFrame:
+    """The columns of ``keep`` and the fingerprint of each text as bytes ``fp``, 8 for each seed."""
+    return scanned(df, lambda texts: {"fp": [fingerprint(x, size, seeds) for x in texts]}, text, "fp binary", keep)
 
 
 def hits(left, right, radius: int):
-    """Index pairs of fingerprints within the radius; arrays of unsigned 64-bit integers."""
+    """Index pairs of fingerprints within the radius; a row of unsigned 64-bit integers for each fingerprint."""
     import numpy as np
 
     found = [np.empty((0, 2), np.int64)]
     for start in range(0, len(left), _ROWS):
-        apart = np.bitwise_count(left[start : start + _ROWS, None] ^ right[None, :])
+        apart = np.bitwise_count(left[start : start + _ROWS, None, 0] ^ right[None, :, 0])
+        for word in range(1, left.shape[1]):
+            apart += np.bitwise_count(left[start : start + _ROWS, None, word] ^ right[None, :, word])
         near = np.argwhere(apart <= radius)
         near[:, 0] += start
         found.append(near)
@@ -102,7 +111,7 @@ def links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
             for left, other in zip(batch.column(0), batch.column(1)):
                 # views of the batch's memory
                 left, other = (x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in (left, other))
-                near = hits(left, other, radius)
+                near = hits(left[:, None], other[:, None], radius)
                 if len(near):
                     nodes, at = np.unique(np.concatenate([left[near[:, 0]], other[near[:, 1]]]), return_inverse=True)
                     root = forest(at[: len(near)], at[len(near) :], len(nodes))
@@ -115,10 +124,52 @@ def links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
     return compared.select("fps", "other_fps").mapInArrow(compare, "a long, b long").distinct()
 
 
-def grouped(marked: DataFrame, id_column: str, radius: int = RADIUS) -> DataFrame:
+def wide_links(classes: DataFrame, radius: int, width: int) -> DataFrame:
+    """As ``links``, for fingerprints of any width and radii of many bits.
+
+    Such a radius leaves few tile pairs to skip, so tiles are large and go by the count of all bits.
+    """
+    # the bits of a byte string: of its hexadecimal digits, each counted by its value
+    digits = F.hex("fp")
+    bits = sum((F.lit(n) * F.regexp_count(digits, F.lit(f"[{d}]")) for n, d in ((1, "1248"), (2, "3569AC"), (3, "7BDE"), (4, "F"))), F.lit(0))
+    keyed = classes.select("fp", bits.cast("int").alias("key"))
+    # a row for each count of bits
+    parts = cut_lineage(keyed.groupBy("key").agg(F.ceil(F.count("*") / WIDE_TILE).cast("int").alias("parts")))
+    tiles = keyed.join(F.broadcast(parts), "key").groupBy("key", F.pmod(F.xxhash64("fp"), "parts").cast("int").alias("part"))
+    tiles = cut_lineage(tiles.agg(F.array_join(F.sort_array(F.collect_list(F.hex("fp"))), "").alias("fps")).withColumn("fps", F.unhex("fps")))
+    names = tiles.select("key", "part")
+    # names of tiles only; their number squared is what the method compares
+    others = names.toDF("other", "other_part")
+    near = names.join(F.broadcast(others), (F.col("other") >= F.col("key")) & (F.col("other") <= F.col("key") + radius))
+    pairs = near.where("other > key or other_part >= part")
+    right = tiles.toDF("other", "other_part", "other_fps")
+    compared = pairs.join(tiles, ["key", "part"]).join(right, ["other", "other_part"]).select("fps", "other_fps")
+
+    def compare(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for left, other in zip(batch.column(0), batch.column(1)):
+                left, other = (np.frombuffer(x.as_buffer(), f"S{width}") for x in (left, other))
+                near = hits(left.view(np.uint64).reshape(len(left), -1), other.view(np.uint64).reshape(len(other), -1), radius)
+                near = near[left[near[:, 0]] != other[near[:, 1]]]
+                if len(near):
+                    nodes, at = np.unique(np.concatenate([left[near[:, 0]], other[near[:, 1]]]), return_inverse=True)
+                    root = forest(at[: len(near)], at[len(near) :], len(nodes))
+                    linked = np.flatnonzero(root != np.arange(len(nodes)))
+                    whole = lambda values: pa.array([v.ljust(width, b"\0") for v in values.tolist()], pa.binary())
+                    yield pa.RecordBatch.from_arrays([whole(nodes[linked]), whole(nodes[root[linked]])], names=["a", "b"])
+
+    # comparing takes long for its few bytes, so pairs are dealt out one by one
+    spread = compared.repartition(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2)
+    return spread.mapInArrow(compare, "a binary, b binary").distinct()
+
+
+def grouped(marked: DataFrame, id_column: str, link) -> DataFrame:
     """Group of each fingerprint: (fp, root, component_id), component_id the smallest id of the group's rows."""
     classes = cut_lineage(marked.groupBy("fp").agg(F.min(f"`{id_column}`").alias("least")))
-    roots = components(links(classes, radius))
+    roots = components(link(classes))
     rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return rooted.select("fp", "root").join(least, "root").select("fp", "root", "component_id")
@@ -127,19 +178,24 @@ def grouped(marked: DataFrame, id_column: str, radius: int = RADIUS) -> DataFram
 def near_duplicates(df: DataFrame, id_column: str, text: str, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(id, fingerprint as 16 hex digits, component_id) of each row."""
     marked = cut_lineage(fingerprints(df, F.col(f"`{text}`"), {id_column: F.col(f"`{id_column}`")}, size))
-    groups = grouped(marked, id_column, radius)
+    groups = grouped(marked, id_column, lambda classes: links(classes, radius))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return marked.join(groups.select("fp", "component_id"), "fp").select(f"`{id_column}`", digits, "component_id")
 
 
-def one_of_each_group(df: DataFrame, id_column: str, text: str, size: int, radius: int = RADIUS) -> DataFrame:
+def one_of_each_group(df: DataFrame, id_column: str, text: str, size: int = 5, seeds: tuple[int, ...] = (42, 43), likeness: float = 0.8) -> DataFrame:
     """The rows of ``df`` without near-duplicates: of each group the smallest id stays (of equal ids the
-    smallest text hash, of equal rows one). Columns stay as they are; texts are shuffled once."""
+    smallest text hash, of equal rows one). Texts are linked if at least ``likeness`` of the bits of their
+    fingerprints agree; at 128 bits unrelated texts don't. Columns stay as they are; texts are shuffled once.
+    Texts without a word are one group, null ones included.
+    """
     mark, place = fresh("text_hash", df), fresh("place_in_group", df)
+    width = 8 * len(seeds)
+    radius = int(8 * width * (1 - likeness) + 1e-9)
     hashed = df.withColumn(mark, F.xxhash64(utf8(text)))
     keep = {id_column: F.col(f"`{id_column}`"), mark: F.col(mark)}
-    marked = cut_lineage(fingerprints(hashed, F.col(f"`{text}`"), keep, size))
-    groups = grouped(marked, id_column, radius).select("fp", "root")
+    marked = cut_lineage(wide_fingerprints(hashed, F.col(f"`{text}`"), keep, size, seeds))
+    groups = grouped(marked, id_column, lambda classes: wide_links(classes, radius, width)).select("fp", "root")
     # structs compare field by field; a null id comes last
     first = F.min(F.struct(F.col(f"`{id_column}`").isNull().alias("none"), F.col(f"`{id_column}`").alias("id"), F.col(mark).alias("hash")))
     stays = marked.join(groups, "fp").groupBy("root").agg(first.alias("first")).select("first.id", "first.hash").distinct()
