@@ -92,8 +92,11 @@ def closest_sum(sizes: list[int], counts: list[int], budget: int) -> list[int]:
 def fit_budget(sizes: list[int], counts: list[int], budget: int) -> list[int]:
     """How many documents of each size (ascending, above 0) to take for ``budget`` words."""
     total = sum(s * c for s, c in zip(sizes, counts))
-    if budget >= total:
-        return list(counts)
+    if not budget:
+        return [0] * len(sizes)
+    if 2 * budget > total:  # what is left out is the smaller part, and easier to fit
+        left_out = fit_budget(sizes, counts, max(0, total - budget))
+        return [c - n for c, n in zip(counts, left_out)]
     taken = [c * budget // total for c in counts]
     rest = budget - sum(s * t for s, t in zip(sizes, taken))
     # nearest to their next document first, then large ones, until the programme's window is reached
@@ -112,6 +115,8 @@ def fit_budget(sizes: list[int], counts: list[int], budget: int) -> list[int]:
     if rest <= WINDOW:
         extra = closest_sum(sizes, [c - t for c, t in zip(counts, taken)], rest)
         taken = [t + e for t, e in zip(taken, extra)]
+    if budget <= WINDOW and sum(s * t for s, t in zip(sizes, taken)) < budget:
+        return closest_sum(sizes, counts, budget)  # few documents: no shares first
     return taken
 
 
