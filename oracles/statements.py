@@ -12,6 +12,11 @@ from paddock.sources.rates import STATIC_RATES
 
 K = "ingest_order, URL"
 STAMP = "strftime(Scraped_At, '%Y-%m-%d %H:%M:%S') as Scraped_At"
+# The numeric columns of linear models.
+LINEAR_COLUMNS = (
+    "Mileage_km", "Year of construction", "listing_score", "owners_known", "is_fully_restored",
+    "Paint-to-Sample (PTS)", "log_mileage", "Mileage_sq", "price_inflation_factor",
+)
 RAW, CRAWLS, SILVER, GOLD, PRED, REG = b.RAW, b.CRAWLS, b.SILVER, b.GOLD, b.PRED, b.REGISTRY
 
 HASH = "md5(concat_ws(chr(31), coalesce({0}.Description, ''), coalesce({0}.Mileage, ''), coalesce({0}.Price, ''), '', coalesce({0}.Title, '')))"
@@ -107,7 +112,7 @@ def _usage(linear: bool) -> str:
         role = "numeric" if c in numeric else "categorical" if c in categorical else "text"
         filled = f"count({b.ident(c)})" if role == "numeric" else "count(*)"
         if linear:
-            used = int(c in categorical or c in features.LINEAR_NUMERIC_COLUMNS)
+            used = int(c in categorical or c in LINEAR_COLUMNS)
             rows.append(f"select {b.text(c)} as feature, {used} as used_by_linear, {filled} as n_filled from gold")
         else:
             rows.append(f"select {b.text(c)} as feature, {b.text(role)} as role, {filled} as n_filled from gold")
@@ -317,6 +322,10 @@ STATEMENTS: dict[str, str] = {
     "row_hash": f"with {RAW} select {K}, {HASH.format('raw')} as Data_Hash from raw",
     "field_changes": f"with {PAIRS} select o.URL as URL, changes from pairs where o.URL is not null and n.URL is not null",
     "upsert_listings": f"with {PAIRS} select {_upsert_columns()}, case when action = 'keep' then old_hash else new_hash end as Data_Hash, action from pairs",
+    "upsert_typed": f"""with {PAIRS}, years as (select *, try_cast(o."Year of construction" as int) as old_year, try_cast(n."Year of construction" as int) as new_year from pairs)
+      select case when action = 'keep' then o.ingest_order else n.ingest_order end as ingest_order, case when action = 'keep' then o.URL else n.URL end as URL,
+        case when action = 'keep' then old_year else new_year end as "Year of construction", case when action <> 'keep' and new_year is null then n."Year of construction" end as uncast_year,
+        case when action = 'keep' then old_hash else new_hash end as Data_Hash, action from years""",
     "typed_overwrite": f"""with {CRAWLS} select {K}, try_cast("Year of construction" as int) as "Year of construction", try_cast("Number of vehicle owners" as double) as "Number of vehicle owners",
       case when try_cast("Year of construction" as int) is null then "Year of construction" end as uncast_year, ("Year of construction" = 'unknown')::int as n_uncast from nxt""",
     "change_log": f"with {PAIRS} select n.URL as URL, coalesce(changes, 'hash-only update') as Changes, '{q.AS_OF}' as Date from pairs where action = 'replace'",
@@ -417,7 +426,7 @@ STATEMENTS: dict[str, str] = {
     "bargains": f"""with {RAW}, {PRED} select listing_key, model_name, actual_price_eur, pred_lower, Title, Series, "Car location"
       from pred join raw on listing_key = ingest_order where actual_price_eur < predicted_price_eur and actual_price_eur < pred_lower and actual_price_eur < 90000""",
     "residual_outliers": f"""with {RAW}, {PRED} select listing_key, model_name, actual_price_eur - predicted_price_eur as residual_eur, Title, Series, "Car location"
-      from pred join raw on listing_key = ingest_order where err > 1.5::double * (select stddev_pop(actual_price_eur - predicted_price_eur) from pred)""",
+      from pred join raw on listing_key = ingest_order where err > 1.5::double * (select stddev_pop(other.actual_price_eur - other.predicted_price_eur) from pred other where other.model_name = pred.model_name)""",
     "bootstrap_ci": f"""with {PRED}, months as (select strftime(o_orderdate, '%Y-%m') as month, round(avg(err), 4) as v from pred group by 1),
       samples as (select v, row_number() over (order by month) - 1 as position from months){_bootstrap()}
       select round(quantile_cont(mean, 0.025), 3) as ci_low, round(quantile_cont(mean, 0.975), 3) as ci_high from means""",
@@ -432,8 +441,8 @@ STATEMENTS: dict[str, str] = {
       select count(*) as n_prices, count(*) filter (l < m - 1.5::double * d or l > m + 1.5::double * d) as n_outliers, round(count(*) filter (l < m - 1.5::double * d or l > m + 1.5::double * d) / count(*), 6) as outlier_share from p, s""",
     "histogram": _histogram(),
     "leaderboard": f"with {PRED}, m as (select model_name, {_metrics()}, avg(err) as raw_mae from pred group by 1) select * exclude (raw_mae), rank() over (order by raw_mae)::int as rank from m",
-    "sigma_interval": f"""with {PRED}, s as (select stddev_samp(ln(actual_price_eur) - ln(predicted_price_eur)) as d from pred where actual_price_eur > 0)
-      select listing_key, model_name, round(exp(ln(predicted_price_eur) - 1.645::double * d), 3) as pred_lower, round(exp(ln(predicted_price_eur) + 1.645::double * d), 3) as pred_upper from pred, s""",
+    "sigma_interval": f"""with {PRED}, s as (select model_name, stddev_samp(ln(actual_price_eur) - ln(predicted_price_eur)) as d from pred where actual_price_eur > 0 group by 1)
+      select listing_key, model_name, round(exp(ln(predicted_price_eur) - 1.645::double * d), 3) as pred_lower, round(exp(ln(predicted_price_eur) + 1.645::double * d), 3) as pred_upper from pred join s using (model_name)""",
     "registry_append": f"""with {REG}, stored as (select * from offered where mae_eur < 20 qualify row_number() over (partition by run_id, model_name order by insert_order) = 1),
       more as (select * from offered where mae_eur >= 10 and (run_id, model_name) not in (select (run_id, model_name) from stored) qualify row_number() over (partition by run_id, model_name order by insert_order) = 1)
       select run_id, model_name, round(mae_eur, 6) as mae_eur, round(median_ae, 6) as median_ae, round(mape, 6) as mape, round(within_10, 6) as within_10, round(within_15, 6) as within_15, (select max(id) + 1 from runs) as next_run_id

@@ -23,27 +23,41 @@ def hash_bucket(key: Column, seed: int, buckets: int) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % F.lit(buckets)
 
 
-# Steps per e-fold of magnitude in the quantile histogram. A double spans about
-# 1420 e-folds, so one group never has more than ~6 million cells, and ordinary
-# data some ten thousand.
+# Cells of the quantile histogram: steps between two powers of two. A double has
+# some 2100 powers of either sign, so one group never has more than ~17 million
+# cells, and ordinary data some ten thousand. Small numbers have as many as large.
 _STEPS = 4096
 
 
+def _cell(value: Column) -> Column:
+    """Number of the cell of a double that is no NaN, in the order of the values.
+
+    The power of two and the steps above it. The power is put right where the
+    logarithm was rounded over it, so the order holds at powers of two as well.
+    """
+    size = F.abs(value)
+    guess = F.floor(F.log2(size))
+    power = guess + F.when(size >= F.pow(F.lit(2.0), guess + 1), 1).when(size < F.pow(F.lit(2.0), guess), -1).otherwise(0)
+    steps = F.floor((size / F.pow(F.lit(2.0), power) - 1.0) * _STEPS)
+    number = (power + 1100) * _STEPS + F.least(F.greatest(steps, F.lit(0)), F.lit(_STEPS - 1)) + 1
+    finite = F.when(size < F.lit(2.0**-1000), F.lit(1)).when(size == float("inf"), F.lit(1 << 30)).otherwise(number)
+    return F.coalesce(F.when(value == 0, F.lit(0)).otherwise(finite * F.signum(value)).cast("bigint"), F.lit(0).cast("bigint"))
+
+
 def exact_quantiles(
     df: DataFrame, value: Column, quantiles: Mapping[str, float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per group, without gathering a group.
 
     1. equal values collapse to (value, count) on the map side;
-    2. a histogram over logarithmic cells finds, by running totals over the few
+    2. a histogram over cells of equal relative width finds, by running totals over the few
        cells, which cell holds each wanted rank;
     3. only values in those cells are ordered to pick the ranks.
     """
     by = list(by)
-    magnitude = F.signum("__v") * F.log1p(F.abs("__v")) * _STEPS
     # never NULL, so the join below infers no extra filter and both uses of
     # ``counts`` share one shuffle
-    cell = F.coalesce(F.floor(F.least(F.greatest(magnitude, F.lit(-1e9)), F.lit(1e9))), F.lit(0))
+    cell = _cell(F.col("__v"))
     counts = (
         df.select(*[F.col(f"`{c}`").alias(f"__g{i}") for i, c in enumerate(by)],
                   value.cast("double").alias("__v"))

@@ -150,20 +150,24 @@ def bargains(df: DataFrame, listings: DataFrame, key: str, limit: float = BARGAI
     return cheap.join(listings, key)
 
 
-def residual_outliers(df: DataFrame, listings: DataFrame, key: str, n_std: float = OUTLIER_STD) -> DataFrame:
-    """Listings whose residual exceeds ``n_std`` population deviations, with their details."""
+def residual_outliers(
+    df: DataFrame, listings: DataFrame, key: str, n_std: float = OUTLIER_STD, by: Sequence[str] = ("model_name",)
+) -> DataFrame:
+    """Listings whose residual exceeds ``n_std`` population deviations of its group (one model), with their details."""
     r = residuals(df)
-    std = one_row(r, std=F.stddev_pop("residual_eur"))["std"]
-    return r.where(F.abs("residual_eur") > F.lit(n_std) * std).join(listings, key)
+    spread = r.groupBy(*by).agg(F.stddev_pop("residual_eur").alias("__std"))
+    far = join_groups(r, spread, by).where(F.abs("residual_eur") > F.lit(n_std) * F.col("__std")).drop("__std")
+    return far.join(listings, key)
 
 
-def sigma_interval(df: DataFrame, actual: str = ACTUAL, predicted: str = PREDICTED, z: float = INTERVAL_Z) -> DataFrame:
-    """Interval of ``z`` sample deviations of the log residual around the log prediction."""
+def sigma_interval(
+    df: DataFrame, actual: str = ACTUAL, predicted: str = PREDICTED, z: float = INTERVAL_Z, by: Sequence[str] = ("model_name",)
+) -> DataFrame:
+    """Interval of ``z`` sample deviations of the group's (one model's) log residual around the log prediction."""
     log_p = F.ln(F.col(predicted))
-    std = one_row(df.where(F.col(actual) > 0), std=F.stddev_samp(F.ln(F.col(actual)) - log_p))["std"]
-    return df.withColumns(
-        {"pred_lower": F.exp(log_p - F.lit(z) * std), "pred_upper": F.exp(log_p + F.lit(z) * std)}
-    )
+    spread = df.where(F.col(actual) > 0).groupBy(*by).agg(F.stddev_samp(F.ln(F.col(actual)) - log_p).alias("__std"))
+    reach = F.lit(z) * F.col("__std")
+    return join_groups(df, spread, by).withColumns({"pred_lower": F.exp(log_p - reach), "pred_upper": F.exp(log_p + reach)}).drop("__std")
 
 
 def bootstrap_mean_ci(

@@ -34,12 +34,11 @@ CATEGORICAL_COLUMNS = (
     "Exterior color", "Country", "Transmission", "Drive", "Ready to drive", "Car location",
 )
 TEXT_COLUMNS = ("listing_text", "Description")
-# What a linear model still uses of the numeric columns; the flags
-# and interactions are left out as redundant with the score and the categories.
-LINEAR_NUMERIC_COLUMNS = (
-    "Mileage_km", "Year of construction", "listing_score", "owners_known", "is_fully_restored",
-    "Paint-to-Sample (PTS)", "log_mileage", "Mileage_sq", "price_inflation_factor",
-)
+# What a linear model leaves out as redundant with the score and the categories:
+# the text flags, and (fixed values) interactions and binary flags.
+INTERACTION_COLUMNS = ("model_cat_ordered", "inv_mileage", "Mileage_model_cat", "inv_Mileage_model_cat", "Mileage_sq_model_cat")
+BINARY_FLAGS = ("state_yes", "state_Rear drive", "matching_yes")
+NOT_LINEAR = frozenset((*rules.TEXT_FLAGS, *INTERACTION_COLUMNS, *BINARY_FLAGS))
 
 
 @dataclass(frozen=True)
@@ -60,7 +59,7 @@ class ColumnRoles:
         return [*self.tabular, *self.text]
 
     def for_linear(self) -> ColumnRoles:
-        return replace(self, numeric=tuple(c for c in self.numeric if c in LINEAR_NUMERIC_COLUMNS))
+        return replace(self, numeric=tuple(c for c in self.numeric if c not in NOT_LINEAR))
 
     def without_text(self) -> ColumnRoles:
         return replace(self, text=())

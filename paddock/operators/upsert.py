@@ -16,6 +16,7 @@ from paddock.functions.text import trimmed
 HASHED_FIELDS = ("Title", "Price", "Mileage", "Description", "Secondary_Description")
 EMPTY_PRICES = ("reserved", "", "n/a")
 _SEPARATOR = "\u001f"
+UNCAST = "uncast_values"
 
 
 def new_listing_keys(seen: DataFrame, known: DataFrame, key: str = "URL") -> DataFrame:
@@ -100,21 +101,32 @@ def upsert_listings(
     """Stored table after a crawl, with the ``action`` taken per row.
 
     A replaced row is the scraped row as a whole: what the scrape lacks becomes
-    NULL, or keeps the stored value with ``fill_missing``.
+    NULL, or keeps the stored value with ``fill_missing``. Scraped values take the
+    stored types; text that does not fit becomes NULL and is kept in the map
+    ``uncast_values``, which is there if any type differs. Hashes and changes
+    compare the scraped text.
     """
     pairs = _paired(old, new, key)
     kept = F.col("__action") == "keep"
-    columns = []
+    columns, failures = [], []
     for c in [*old.columns, *[c for c in new.columns if c not in old.columns]]:
-        if c == "Data_Hash":
+        if c in ("Data_Hash", UNCAST):
             continue
         before = F.col(f"o.`{c}`") if c in old.columns else F.lit(None)
         after = F.col(f"n.`{c}`") if c in new.columns else F.lit(None)
+        if c in old.columns and c in new.columns and old.schema[c].dataType != new.schema[c].dataType:
+            scraped, after = after, fitted(after, old.schema[c].dataType)
+            failures.append(_uncast(c, scraped, after))
         if fill_missing:
             after = F.when(F.col("__action") == "replace", F.coalesce(after, before)).otherwise(after)
         columns.append(F.when(kept, before).otherwise(after).alias(c))
     old_hash = F.col("o.Data_Hash") if "Data_Hash" in old.columns else content_hash(old, side="o")
     digest = F.when(kept, old_hash).otherwise(content_hash(new, side="n"))
+    if failures or UNCAST in old.columns:
+        empty = F.lit(None).cast("map<string,string>")
+        before = F.col(f"o.`{UNCAST}`") if UNCAST in old.columns else empty
+        after = F.map_from_entries(F.array_compact(F.array(*failures))) if failures else empty
+        columns.append(F.when(kept, before).otherwise(after).alias(UNCAST))
     return pairs.select(*columns, digest.alias("Data_Hash"), F.col("__action").alias("action"))
 
 
@@ -140,6 +152,20 @@ def change_log(old: DataFrame, new: DataFrame, as_of: str, key: str = "URL") ->
     )
 
 
+def fitted(column: Column, dtype: T.DataType) -> Column:
+    """A value in another type, NULL where it does not fit."""
+    if isinstance(dtype, T.IntegralType):
+        return column.try_cast("double").try_cast(dtype)
+    if isinstance(dtype, T.TimestampType):
+        return F.try_to_timestamp(column.cast("string"))
+    return column.try_cast(dtype)
+
+
+def _uncast(name: str, scraped: Column, value: Column) -> Column:
+    lost = scraped.isNotNull() & value.isNull()
+    return F.when(lost, F.struct(F.lit(name).alias("key"), scraped.cast("string").alias("value")))
+
+
 def typed_overwrite(new: DataFrame, target: T.StructType) -> DataFrame:
     """Scraped columns in the stored types.
 
@@ -154,21 +180,11 @@ def typed_overwrite(new: DataFrame, target: T.StructType) -> DataFrame:
         if dtype is None or new.schema[c].dataType == dtype:
             columns.append(column)
             continue
-        if isinstance(dtype, T.IntegralType):
-            value = column.try_cast("double").try_cast(dtype)
-        elif isinstance(dtype, T.TimestampType):
-            value = F.try_to_timestamp(column.cast("string"))
-        else:
-            value = column.try_cast(dtype)
+        value = fitted(column, dtype)
         columns.append(value.alias(c))
-        failures.append(
-            F.when(
-                column.isNotNull() & value.isNull(),
-                F.struct(F.lit(c).alias("key"), column.cast("string").alias("value")),
-            )
-        )
+        failures.append(_uncast(c, column, value))
     if failures:
-        columns.append(F.map_from_entries(F.array_compact(F.array(*failures))).alias("uncast_values"))
+        columns.append(F.map_from_entries(F.array_compact(F.array(*failures))).alias(UNCAST))
     return new.select(*columns)
 
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from paddock.sources.tables import spread
 
 SHOP_PREFIX = "https://listings.example/en/shop/"
 
@@ -87,11 +86,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def _listing_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+    orders = table(spark, sf_dir, "orders")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     k = F.col("o_orderkey")
     return orders.join(documents, k == F.col("doc_id"), "left").select(

@@ -110,7 +110,7 @@ def fx_rate_table(spark, d):
 
 
 def pages_extract(spark, d):
-    found = pages.extract_listings(tables.spread(fx.table(spark, d, "pages"), "page_id"))
+    found = pages.extract_listings(fx.table(spark, d, "pages"))
     return found.select(
         "page_id",
         "Title",
@@ -137,6 +137,15 @@ def upsert_listings(spark, d):
     return result.withColumn("Scraped_At", stamp("Scraped_At"))
 
 
+def upsert_typed(spark, d):
+    """The crawl written into a table that stores years as numbers."""
+    year = "Year of construction"
+    stored = fx.listings_prev(spark, d).withColumn(year, upsert.fitted(F.col(f"`{year}`"), T.IntegerType()))
+    result = upsert.upsert_listings(stored, fx.listings_next(spark, d))
+    uncast = F.element_at("uncast_values", year).alias("uncast_year")
+    return result.select(*KEY, F.col(f"`{year}`"), uncast, "Data_Hash", "action")
+
+
 def typed_overwrite(spark, d):
     target = T.StructType(
         [
@@ -706,7 +715,7 @@ def plain_queries() -> dict[str, Query]:
     """Queries without a fitted model."""
     named: Sequence[Query] = (
         src_read_formats, latest_snapshot, fx_rate_table, pages_extract, new_listing_keys, row_hash,
-        field_changes, upsert_listings, typed_overwrite, change_log, keep_last_by_key,
+        field_changes, upsert_listings, upsert_typed, typed_overwrite, change_log, keep_last_by_key,
         refresh_descriptions, card_model_pick, parse_price, parse_price_legacy, dedupe_url,
         drop_shop_links, mileage_extract, mileage_impute, mileage_km, clean_condition, derived_flags,
         standardize_series, price_in_eur, silver_listings, legacy_filters, legacy_usage,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -29,20 +30,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` into the shared folder named by ``spark.checkpoint.dir``.
 
     Model fits read their frame many times; a reliable checkpoint keeps an
-    executor loss from replaying the whole job. A folder of our own is set only
-    where the session names none (tests, local runs).
+    executor loss from replaying the whole job. A local session that names no
+    folder gets one of its own; on a cluster that is an error, as executors
+    would write to different disks.
     """
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", ""):
-        context = spark.sparkContext
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="paddock-checkpoint-"))
+    context = spark.sparkContext
+    if not spark.conf.get("spark.checkpoint.dir", "") and context.getCheckpointDir() is None:
+        context.setCheckpointDir(_local_folder(spark, "checkpoint"))
     return df.checkpoint(eager=True)
 
 
+def _local_folder(spark: SparkSession, name: str) -> str:
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix=f"paddock-{name}-")
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for written tables: in the cluster's shared folder, else a local one."""
     shared = spark.conf.get("spark.checkpoint.dir", "")
     if shared:
         return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"paddock-{name}-")
+    return _local_folder(spark, name)

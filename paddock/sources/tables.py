@@ -26,13 +26,20 @@ def _format(path: str, file_type: str | None) -> str:
 
 
 def load_table(
-    spark: SparkSession, path: str, file_type: str | None = None, schema: T.StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    file_type: str | None = None,
+    schema: T.StructType | str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Table at ``path``; csv and json should come with a schema, else Spark reads them twice."""
+    """Table at ``path``; csv and json should come with a schema, else Spark reads them twice.
+
+    ``multi_line`` reads csv fields with line breaks; such a file cannot be split between tasks.
+    """
     kind = _format(path, file_type)
     reader = spark.read.format(kind)
     if kind == "csv":
-        reader = reader.options(**CSV_OPTIONS, multiLine=True, inferSchema=schema is None)
+        reader = reader.options(**CSV_OPTIONS, multiLine=multi_line, inferSchema=schema is None)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
@@ -47,12 +54,6 @@ def save_table(df: DataFrame, path: str, file_type: str | None = None, mode: str
     return path
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash a table of fewer files than cores over the cores, for text work; larger tables stay as read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
-
-
 def write_snapshot(df: DataFrame, path: str, run_ts: str) -> None:
     """Keep ``df`` as the snapshot of ``run_ts`` next to the earlier ones.
 
@@ -132,7 +133,7 @@ def round_trip_counts(df: DataFrame, folder: str, schema: T.StructType) -> DataF
     parts = []
     for suffix, kind in FORMATS.items():
         path = save_table(df, f"{folder}/copy{suffix}")
-        back = load_table(df.sparkSession, path, schema=schema)
+        back = load_table(df.sparkSession, path, schema=schema, multi_line=True)
         parts.append(back.select(F.lit(kind).alias("format"), *schema.fieldNames()))
     both = parts[0]
     for part in parts[1:]:
