@@ -53,8 +53,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, number of tokens, packed token ids, and whether decoding gives the text back."""
-    rows = docs.select("doc_id", "source", "text")
-    coded = bpe.decode(bpe.encode(rows, "text", RANKS, public_tokenizers.PATTERN), "token_ids", RANKS)
+    coded = bpe.round_trip(docs.select("doc_id", "source", "text"), "text", RANKS, public_tokenizers.PATTERN)
     return coded.select(
         "doc_id",
         "source",

@@ -17,37 +17,53 @@ from paddock.llm.common import fresh, scanned
 IDS_PER_STEP = 1 << 16
 
 
-def encode(df: DataFrame, text: str, ranks: str, pattern: str, ids: str = "token_ids") -> DataFrame:
-    """``df`` with a binary column of packed ids. ``ranks``: path of a rank file on every node."""
+def _encoder(ranks: str, pattern: str):
+    import regex
+
+    from paddock.llm.transducer import transducer
+
+    gc.disable()  # tables hold millions of tuples; walking them takes longer than encoding
+    coder, cut = transducer(ranks), regex.compile(pattern)
+    return lambda data: coder.packed(cut.findall(data.decode("utf-8", "replace")))
+
+
+def _decoder(ranks: str):
+    import numpy as np
 
-    def scan(texts: list[bytes]) -> dict[str, list[bytes]]:
-        import regex
+    from paddock.llm.transducer import StreamDecoder, token_bytes
 
-        from paddock.llm.transducer import transducer
+    tokens = token_bytes(ranks)
 
-        gc.disable()  # tables hold millions of tuples and no cycles; walking them takes longer than encoding
-        coder, cut = transducer(ranks), regex.compile(pattern)
-        return {ids: [coder.packed(cut.findall(x.decode("utf-8", "replace"))) for x in texts]}
+    def text(packed: bytes) -> str:
+        decoder, ids = StreamDecoder(tokens), np.frombuffer(packed, "<u4")
+        parts = [decoder.feed(ids[i : i + IDS_PER_STEP].tolist()) for i in range(0, len(ids), IDS_PER_STEP)]
+        return "".join([*parts, decoder.finish()])
 
-    keep = {c: F.col(f"`{c}`") for c in df.columns if c.lower() != ids.lower()}
-    return scanned(df, scan, F.col(f"`{text}`"), f"`{ids}` binary", keep)
+    return text
+
+
+def _others(df: DataFrame, *names: str):
+    taken = {n.lower() for n in names}
+    return {c: F.col(f"`{c}`") for c in df.columns if c.lower() not in taken}
+
+
+def encode(df: DataFrame, text: str, ranks: str, pattern: str, ids: str = "token_ids") -> DataFrame:
+    """``df`` with a binary column of packed ids. ``ranks``: path of a rank file on every node."""
+    return scanned(df, lambda texts: {ids: list(map(_encoder(ranks, pattern), texts))}, F.col(f"`{text}`"), f"`{ids}` binary", _others(df, ids))
 
 
 def decode(df: DataFrame, ids: str, ranks: str, text: str = "decoded") -> DataFrame:
     """``df`` with the text of its packed ids, decoded piece by piece; unknown ids are an error."""
     step = fresh("decoded_text")
+    scan = lambda packed: {step: list(map(_decoder(ranks), packed))}
+    return scanned(df, scan, F.col(f"`{ids}`"), f"`{step}` string", _others(df, text)).withColumnRenamed(step, text)
 
-    def scan(packed: list[bytes]) -> dict[str, list[str]]:
-        import numpy as np
 
-        from paddock.llm.transducer import StreamDecoder, token_bytes
+def round_trip(df: DataFrame, text: str, ranks: str, pattern: str, ids: str = "token_ids", decoded: str = "decoded") -> DataFrame:
+    """``df`` with packed ids and what they decode to, in one pass: one Python worker holds both tables."""
 
-        tokens, out = token_bytes(ranks), []
-        for x in packed:
-            decoder, all_ids = StreamDecoder(tokens), np.frombuffer(x, "<u4")
-            parts = [decoder.feed(all_ids[i : i + IDS_PER_STEP].tolist()) for i in range(0, len(all_ids), IDS_PER_STEP)]
-            out.append("".join([*parts, decoder.finish()]))
-        return {step: out}
+    def scan(texts: list[bytes]) -> dict[str, list]:
+        packed = list(map(_encoder(ranks, pattern), texts))
+        return {ids: packed, decoded: list(map(_decoder(ranks), packed))}
 
-    keep = {c: F.col(f"`{c}`") for c in df.columns if c.lower() != text.lower()}
-    return scanned(df, scan, F.col(f"`{ids}`"), f"`{step}` string", keep).withColumnRenamed(step, text)
+    return scanned(df, scan, F.col(f"`{text}`"), f"`{ids}` binary, `{decoded}` string", _others(df, ids, decoded))

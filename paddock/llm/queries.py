@@ -22,9 +22,8 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
-    coded = bpe.encode(docs.select("doc_id", "text"), "text", RANKS, public_tokenizers.PATTERN)
-    back = bpe.decode(coded.select("doc_id", "token_ids"), "token_ids", RANKS)
-    return back.select(
+    coded = bpe.round_trip(docs.select("doc_id", "text"), "text", RANKS, public_tokenizers.PATTERN)
+    return coded.select(
         "doc_id",
         F.expr("cast(length(token_ids) div 4 as bigint)").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"),

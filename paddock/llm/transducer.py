@@ -15,9 +15,9 @@ from array import array
 
 ROOT = 0
 START = -1  # no token before the first
-_CACHE_LIMIT = 200_000  # pieces of the younger and of the older generation,
-_PAIR_LIMIT = 300_000  # pairs of tokens, and
-_STATE_LIMIT = 120_000  # states; a full table is emptied and filled anew
+_CACHE_LIMIT = 300_000  # pieces of the younger and of the older generation,
+_PAIR_LIMIT = 500_000  # pairs of tokens, and
+_STATE_LIMIT = 200_000  # states; a full table is emptied and filled anew
 _CONFIGURATIONS = -1  # key of a state beside the bytes
 _LOOK = 512  # bytes after which tokens are settled in long pieces
 
@@ -49,7 +49,7 @@ class Transducer:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
+        self.tokens = {rank: token for token, rank in ranks.items()}  # the same byte strings, not copies
         self._children: list[dict[int, int] | None] = [{}]
         self._ends = [START]
         self._depths = [0]
