@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -173,14 +172,6 @@ def numeric_prep(df: DataFrame, columns: Sequence[str], center: bool = True) ->
 
 
 def onehot_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows per one-hot slot (``column=level``), through the fitted indexer and encoder."""
-    roles = ColumnRoles(TARGET, (), tuple(columns))
-    encoder = fit_encoder(df, roles)
-    totals = (
-        encoder.transform(df)
-        .select(F.posexplode(vector_to_array("features")).alias("slot", "value"))
-        .groupBy("slot")
-        .agg(F.sum("value").cast("bigint").alias("n"))
-    )
-    names = F.array(*[F.lit(s) for s in encoder.slots])
-    return totals.select(F.element_at(names, F.col("slot") + 1).alias("level"), "n")
+    """Rows per one-hot slot (``column=level``): levels are counted, no row is made dense."""
+    levels = F.array(*[F.concat(F.lit(f"{c}="), F.expr(category_level(c))) for c in columns])
+    return df.select(F.explode(levels).alias("level")).groupBy("level").agg(F.count(F.lit(1)).alias("n"))

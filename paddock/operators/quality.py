@@ -11,6 +11,7 @@ from paddock.functions.numeric import number
 from paddock.functions.stats import exact_quantiles, one_row
 from paddock.operators.features import CATEGORICAL_COLUMNS
 from paddock.operators.gold import TARGET
+from paddock.session import cut_lineage
 
 # Limits of the threshold check.
 THRESHOLDS = {"min_price": 5000, "max_price": 5000000, "min_year": 1950, "max_year": 2026, "n_std": 3.0}
@@ -39,18 +40,22 @@ def dq_report(
     described: Sequence[str] = ("Mileage_km", TARGET),
     counted: Sequence[str] = ("owners_known", "is_fully_restored", "Paint-to-Sample (PTS)"),
 ) -> DataFrame:
-    """Long report (metric, item, value): shape, duplicates, NULLs, types, describe, value counts."""
+    """Long report (metric, item, value): shape, duplicates, NULLs, types, describe, value counts.
+
+    Bronze is read once, for one aggregate. Of Silver the few columns that count are
+    written once, so that its rules run once, and the parts read them from there.
+    """
+    wanted = [c for c in silver.columns if c in {*key_columns, *described, *counted}]
+    silver = cut_lineage(silver.select(*[F.col(f"`{c}`") for c in wanted]))
+    no_key = F.col(f"`{key}`").isNull()
+    # rows beyond the first of each key; rows without one count as a key
+    repeated = F.count(F.lit(1)) - F.count_distinct(F.col(f"`{key}`")) - F.max(no_key.cast("int"))
     aggregates: list[tuple[str, str, Column]] = [("rows", "bronze", F.count(F.lit(1)))]
     aggregates += [("nulls", c, F.count_if(F.col(f"`{c}`").isNull())) for c in bronze.columns]
+    aggregates.append(("duplicates", key, repeated))
     shape = bronze.agg(*[a.alias(f"c{i}") for i, (_, _, a) in enumerate(aggregates)])
     parts = [_long(shape, [(m, n) for m, n, _ in aggregates])]
 
-    keys = bronze.groupBy(key).count()
-    parts.append(
-        keys.agg(F.sum(F.col("count") - 1).cast("double").alias("value")).select(
-            F.lit("duplicates").alias("metric"), F.lit(key).alias("item"), "value"
-        )
-    )
     types: dict[str, int] = {}
     for f in bronze.schema.fields:
         types[f.dataType.simpleString()] = types.get(f.dataType.simpleString(), 0) + 1

@@ -26,7 +26,7 @@ from paddock.operators import (
     upsert,
 )
 from paddock.plans import fixtures as fx
-from paddock.session import work_folder
+from paddock.session import cut_lineage, work_folder
 from paddock.sources import pages, rates, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -560,7 +560,9 @@ def outlier_count(spark, d):
 
 
 def histogram(spark, d):
-    table = gold.listing_score(gold.drop_missing_target(silver_table(spark, d)))
+    scored = gold.listing_score(gold.drop_missing_target(silver_table(spark, d)))
+    # texts are scored once; bounds and counts read the narrow copy
+    table = cut_lineage(pick(scored, "price_in_eur", "Mileage_km", "listing_score", "Model", "Year of construction"))
     counts = evaluation.histogram(table, {"price_in_eur": 50, "Mileage_km": 50, "listing_score": 30})
     top = evaluation.top_values(table, "Model", 10).select(
         F.concat(F.lit("top Model "), F.col("value")).alias("column"), F.lit(None).cast("bigint").alias("bin"), "n",

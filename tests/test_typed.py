@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from paddock.functions.stats import _cell, exact_quantiles
+from paddock.models.frame import onehot_counts
 from paddock.operators import evaluation, features, upsert
-from paddock.plans.queries import gold_table
-from paddock.session import cut_lineage, work_folder
+from paddock.plans import model_queries
+from paddock.plans.queries import gold_table, plain_queries
+from paddock.session import _local_folder
 
 FOLDER = "/root/testdata/sf0.001"
 CRAWLED = "ingest_order long, URL string, Title string, Price string, Mileage string, Description string, Secondary_Description string, Year string"
@@ -83,9 +85,41 @@ def test_linear_columns_are_what_is_left(spark):
 
 
 def test_clusters_must_name_a_shared_folder(spark, monkeypatch):
-    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
-    monkeypatch.setattr(spark.sparkContext, "getCheckpointDir", lambda: None)
-    with pytest.raises(ValueError):
-        cut_lineage(spark.range(1))
-    with pytest.raises(ValueError):
-        work_folder(spark, "x")
+    assert _local_folder(spark, "x")
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        monkeypatch.setattr(spark.sparkContext, "master", master)
+        with pytest.raises(ValueError):
+            _local_folder(spark, "x")
+
+
+def priced(spark):
+    rows = [(f"u{i}", 1000.0 * (1 + i % 7)) for i in range(60)]
+    return spark.createDataFrame(rows, "URL string, price_in_eur double")
+
+
+@pytest.mark.parametrize(
+    "prediction, usable, fits",
+    [("price_in_eur * 1.01", 1, 1), ("price_in_eur * 3", 1, 0), ("4000D", 1, 0), ("double('nan')", 0, 0), ("-price_in_eur", 0, 0), ("cast(null as double)", 0, 0)],
+)
+def test_facts_of_a_fit_are_computed(spark, prediction, usable, fits):
+    df = priced(spark)
+    found = model_queries.facts(lambda d: d.withColumn("predicted_price_eur", F.expr(prediction)), df, df).collect()
+    assert {(r["usable"], r["fits_training"]) for r in found} == {(usable, fits)}
+
+
+def scans(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0].count("FileScan parquet")
+
+
+def test_reports_read_each_table_once(spark):
+    """Orders and documents make up Bronze; Silver and the scored texts come from a narrow checkpoint."""
+    registered = plain_queries()
+    assert scans(registered["dq_report"](spark, FOLDER)) <= 2
+    assert scans(registered["histogram"](spark, FOLDER)) == 0
+
+
+def test_level_counts_equal_the_encoder(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", None), ("b", ""), (None, "x")], "c string, d string")
+    found = {r["level"]: r["n"] for r in onehot_counts(df, ["c", "d"]).collect()}
+    assert found == {"c=a": 2, "c=b": 1, "c=missing": 1, "d=x": 2, "d=missing": 1, "d=(empty)": 1}
