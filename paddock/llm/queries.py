@@ -99,5 +99,13 @@ def llm_queries() -> dict:
 
 
 def llm_statements() -> dict[str, str]:
-    """DuckDB statements of the queries that SQL can express."""
-    return {}
+    """DuckDB statements of the queries that SQL can express: all pairs of the small embeddings table."""
+    return {
+        "op4_embedding_dedup": f"""with recursive v as (select vec_id, embedding::double[] as e from embeddings),
+          l as (select a.vec_id as x, b.vec_id as y, list_cosine_similarity(a.e, b.e) as c from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)),
+          near as (select x, y from l where not isnan(c) and c >= {embedding_dedup.THRESHOLD}::double),
+          reach as (select vec_id as x, vec_id as y from v union select reach.x, near.y from reach join near on near.x = reach.y),
+          least as (select x as vec_id, min(y) as component_id from reach group by 1),
+          linked as (select x as vec_id, count(*) as n_links from near group by 1)
+          select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept from least left join linked using (vec_id)""",
+    }

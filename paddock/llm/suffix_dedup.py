@@ -33,8 +33,8 @@ from paddock.session import cut_lineage
 LENGTH = 400
 GRAM = 32
 INNER = 128  # grams in the shorter windows
-SLICE = 1 << 20  # bytes examined at once
-SHARD = 2 << 20  # bytes of stretches in a shard, on average
+SLICE = 1 << 19  # bytes examined at once
+SHARD = 1 << 20  # bytes of stretches in a shard, on average
 CROWD = 1024  # different stretches of an anchor beyond which it is spread over several shards
 
 _rng = np.random.default_rng(9)
@@ -157,7 +157,7 @@ def _portions(batches, weight: int):
         start = size = 0
         for i, z in enumerate(batch.column(weight)):
             size += len(z.as_buffer())
-            if size > (1 << 20) or i == len(batch) - 1:
+            if size > SLICE or i == len(batch) - 1:
                 yield batch.slice(start, i + 1 - start)
                 start, size = i + 1, 0
 
