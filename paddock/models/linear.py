@@ -25,7 +25,7 @@ PREDICTION_FLOOR = 1.0
 LOW_CARDINALITY = 40
 # Every iteration over many text features is a pass over the data: stop once the
 # loss moves by less than this share; the iteration limit is the elastic net's.
-TOLERANCE = 1e-6
+TOLERANCE = 1e-5
 # Beyond this many features the k by k normal equations cost more than passes over the data.
 _NORMAL_LIMIT = 512
 
