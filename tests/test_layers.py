@@ -209,7 +209,7 @@ def test_files_snapshots_and_newest_run(spark, tmp_path):
     df = spark.createDataFrame([(1, ' a "quoted"\nline ', 1.5), (2, None, None)], "i int, t string, v double")
     for suffix in ("csv", "parquet", "json"):
         path = tables.save_table(df, str(tmp_path / f"x.{suffix}"))
-        back = tables.load_table(spark, path, schema=df.schema)
+        back = tables.load_table(spark, path, schema=df.schema, multi_line=True)
         assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect())), suffix
     with pytest.raises(ValueError):
         tables.load_table(spark, "x.xlsx")
