@@ -28,6 +28,9 @@ def printable_bytes() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+MOST_PIECES = 350_000  # of a generation
+
+
 class TokenCounter:
     """Counts of one tokenizer file; other kinds of tokenizers are refused."""
 
@@ -52,7 +55,7 @@ class TokenCounter:
         # a merge ranks before all later ones; single bytes before every merge
         ranks = {bytes([b]): b for b in range(256)}
         ranks |= {as_bytes(left) + as_bytes(right): 256 + i for i, (left, right) in reversed(list(enumerate(pairs)))}
-        self._merger = Transducer(ranks)
+        self._merger = Transducer(ranks, pairs=500_000, states=250_000)
         #: Strings proven to be one token by themselves; the bound is the vocabulary's size.
         self.whole = {
             data.decode(): 1
@@ -60,14 +63,16 @@ class TokenCounter:
             if token not in specials and (data := as_bytes(token)) in ranks and merge(data, ranks) == [ranks[data]] and valid(data)
         }
         self._cut = regex.compile(PATTERN)
-        self._rest: dict[str, int] = {}
+        # whole tokens count as known from the start; of the others the recent ones are kept, in two generations
+        self._young, self._old = dict(self.whole), {}
 
-    def _merged(self, piece: str) -> int:
-        known = self._rest.get(piece)
+    def _miss(self, piece: str) -> int:
+        known = self._old.get(piece)
         if known is None:
-            if len(self._rest) >= 300_000:
-                self._rest.clear()
-            known = self._rest[piece] = len(self._merger.ids(piece.encode("utf-8", "surrogatepass")))
+            known = len(self._merger.ids(piece.encode("utf-8", "surrogatepass")))
+        if len(self._young) >= MOST_PIECES:
+            self._old, self._young = self._young, dict(self.whole)
+        self._young[piece] = known
         return known
 
     def count(self, text: str) -> int:
@@ -77,8 +82,8 @@ class TokenCounter:
         return len(parts) - 1 + sum(map(self._plain, parts))
 
     def _plain(self, text: str) -> int:
-        whole, merged = self.whole.get, self._merged
-        return sum([whole(piece) or merged(piece) for piece in self._cut.findall(text)])
+        known, miss = self._young.get, self._miss
+        return sum([known(piece) or miss(piece) for piece in self._cut.findall(text)])
 
 
 def valid(data: bytes) -> bool:

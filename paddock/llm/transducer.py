@@ -15,9 +15,6 @@ from array import array
 
 ROOT = 0
 START = -1  # no token before the first
-_CACHE_LIMIT = 300_000  # pieces of the younger and of the older generation,
-_PAIR_LIMIT = 500_000  # pairs of tokens, and
-_STATE_LIMIT = 200_000  # states; a full table is emptied and filled anew
 _CONFIGURATIONS = -1  # key of a state beside the bytes
 _LOOK = 512  # bytes after which tokens are settled in long pieces
 
@@ -47,8 +44,11 @@ class Transducer:
     (token before, node of the trie): a token that may still become longer.
     """
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], pieces: int = 200_000, pairs: int = 250_000, states: int = 100_000):
+        """Tables are bounded: ``pieces`` in the younger and in the older generation, ``pairs`` of tokens, and
+        ``states``; a full table is emptied and filled anew."""
         self.ranks = ranks
+        self._most_pieces, self._most_pairs, self._most_states = pieces, pairs, states
         self.tokens = {rank: token for token, rank in ranks.items()}  # the same byte strings, not copies
         self._children: list[dict[int, int] | None] = [{}]
         self._ends = [START]
@@ -104,7 +104,7 @@ class Transducer:
         """
         known = self._fits.get(before << 20 | token)
         if known is None:
-            if len(self._fits) >= _PAIR_LIMIT:
+            if len(self._fits) >= self._most_pairs:
                 self._fits.clear()
             if before == START:
                 known = merge(self.tokens[token], self.ranks) == [token]
@@ -167,7 +167,7 @@ class Transducer:
     def ids(self, piece: bytes) -> list[int]:
         """Token ids of one piece. After each byte the token that ends there is known; which of them
         are kept is settled every _LOOK bytes, at the latest at the piece's end."""
-        if len(self._states) >= _STATE_LIMIT:
+        if len(self._states) >= self._most_states:
             self._forget()
         state, lasts, lengths, out, start = self._first, [], self._lengths, [], 0
         for byte in piece:
@@ -188,7 +188,7 @@ class Transducer:
         known = self._young.get(piece) or self._old.get(piece)
         if known is None:
             known = array("I", self.ids(piece.encode("utf-8", "surrogatepass"))).tobytes()
-        if len(self._young) >= _CACHE_LIMIT:
+        if len(self._young) >= self._most_pieces:
             self._old, self._young = self._young, {}
         self._young[piece] = known
         return known
