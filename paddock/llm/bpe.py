@@ -17,13 +17,13 @@ from paddock.llm.common import fresh, scanned
 IDS_PER_STEP = 1 << 16
 
 
-def _encoder(ranks: str, pattern: str):
+def _encoder(ranks: str, pattern: str, **tables: int):
     import regex
 
     from paddock.llm.transducer import transducer
 
     gc.disable()  # tables hold millions of tuples; walking them takes longer than encoding
-    coder, cut = transducer(ranks), regex.compile(pattern)
+    coder, cut = transducer(ranks, **tables), regex.compile(pattern)
     return lambda data: coder.packed(cut.findall(data.decode("utf-8", "replace")))
 
 
@@ -59,11 +59,14 @@ def decode(df: DataFrame, ids: str, ranks: str, text: str = "decoded") -> DataFr
     return scanned(df, scan, F.col(f"`{ids}`"), f"`{step}` string", _others(df, text)).withColumnRenamed(step, text)
 
 
-def round_trip(df: DataFrame, text: str, ranks: str, pattern: str, ids: str = "token_ids", decoded: str = "decoded") -> DataFrame:
-    """``df`` with packed ids and what they decode to, in one pass: one Python worker holds both tables."""
+def round_trip(df: DataFrame, text: str, ranks: str, pattern: str, ids: str = "token_ids", decoded: str = "decoded", **tables: int) -> DataFrame:
+    """``df`` with packed ids and what they decode to, in one pass: one Python worker holds both tables.
+
+    ``tables``: sizes as in ``Transducer``; larger ones are faster and take more memory.
+    """
 
     def scan(texts: list[bytes]) -> dict[str, list]:
-        packed = list(map(_encoder(ranks, pattern), texts))
+        packed = list(map(_encoder(ranks, pattern, **tables), texts))
         return {ids: packed, decoded: list(map(_decoder(ranks), packed))}
 
     return scanned(df, scan, F.col(f"`{text}`"), f"`{ids}` binary, `{decoded}` string", _others(df, ids, decoded))

@@ -22,7 +22,8 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
-    coded = bpe.round_trip(docs.select("doc_id", "text"), "text", RANKS, public_tokenizers.PATTERN)
+    tables = {"pieces": 300_000, "pairs": 500_000, "states": 200_000}  # some 350 MB a worker; no other stage shares it
+    coded = bpe.round_trip(docs.select("doc_id", "text"), "text", RANKS, public_tokenizers.PATTERN, **tables)
     return coded.select(
         "doc_id",
         F.expr("cast(length(token_ids) div 4 as bigint)").alias("n_tokens"),

@@ -199,14 +199,14 @@ class Transducer:
         return b"".join([known(piece) or miss(piece) for piece in pieces])
 
 
-_LOADED: dict[tuple[str, float], Transducer] = {}
+_LOADED: dict[tuple, Transducer] = {}
 
 
-def transducer(path: str) -> Transducer:
-    """One transducer for each rank file and Python worker."""
-    key = (path, os.path.getmtime(path))
+def transducer(path: str, **tables: int) -> Transducer:
+    """One transducer for each rank file, table sizes and Python worker."""
+    key = (path, os.path.getmtime(path), *sorted(tables.items()))
     if key not in _LOADED:
-        _LOADED[key] = Transducer(read_ranks(path))
+        _LOADED[key] = Transducer(read_ranks(path), **tables)
     return _LOADED[key]
 
 
