@@ -101,9 +101,9 @@ class Slices:
 
     def inner(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Anchors of the shorter windows, and which of these lie in one of ``windows``."""
-        inner = smallest(self.hashes, INNER)[: len(self.anchor)]
-        # shorter windows that begin after the last long one lie in none but at its end
-        return inner, any_within(windows, self.width - INNER, 0)
+        inner = smallest(self.hashes, INNER)
+        # the last of them begin after the last long window, and lie in it
+        return inner, any_within(np.pad(windows, (0, len(inner) - len(windows))), self.width - INNER, 0)
 
     def remaining(self, struck: np.ndarray, inner_struck: np.ndarray) -> np.ndarray:
         windows = self.outer(struck)
@@ -111,7 +111,7 @@ class Slices:
             return windows
         inner, covered = self.inner(windows)
         bad = covered & member(self.hashes, inner, inner_struck)
-        return windows & ~any_within(bad, 0, self.width - INNER)
+        return windows & ~any_within(bad, 0, self.width - INNER)[: len(windows)]
 
 
 def member(hashes: np.ndarray, anchor: np.ndarray, struck: np.ndarray) -> np.ndarray:

@@ -285,6 +285,42 @@ def test_long_texts_are_sliced(monkeypatch):
     assert windows == len(text) - 399
 
 
+@pytest.mark.parametrize("together", [False, True])
+def test_windows_at_the_end_of_an_array_remain(together):
+    """What repeats exactly once, at the end of a text, is never struck out, whether a text has an array to itself or not."""
+    rnd = random.Random(12)
+    length = suffix_dedup.LENGTH
+    for tail in [length, length + 1, length + 100, length + 241, 3 * length, *(rnd.randint(length, 4 * length) for _ in range(15))]:
+        passage = prose(rnd, tail)[:tail]
+        texts = [prose(rnd, rnd.randint(0, 300)) + "<" + passage, prose(rnd, 200) + ">" + passage + "!" + prose(rnd, 200), prose(rnd, 300)]
+        parts = [(i, 0, t.encode()) for i, t in enumerate(texts)]
+        arrays = [suffix_dedup.Slices(parts, length)] if together else [suffix_dedup.Slices([p], length) for p in parts if len(p[2]) >= length]
+
+        def unique(anchors):
+            counts = Counter(h for s, (anchor, covered) in zip(arrays, anchors) for h in s.hashes[suffix_dedup.once(anchor[covered])].tolist())
+            return np.array(sorted(h for h, n in counts.items() if n == 1), np.uint64)
+
+        struck = unique([(s.anchor, s.valid) for s in arrays])
+        inner_struck = unique([s.inner(s.outer(struck)) for s in arrays])
+        windows = Counter(t.encode()[i : i + length] for t in texts for i in range(len(t) - length + 1))
+        for s in arrays:
+            left = s.remaining(struck, inner_struck)
+            for i in np.flatnonzero(s.valid):
+                assert left[i] or windows[s.data[i : i + length]] == 1
+
+
+def test_repeats_at_the_end_of_long_texts(spark):
+    """Texts that fill an array each; the passage at the end of the first stands once more, inside the second."""
+    rnd = random.Random(13)
+    size, passage = suffix_dedup.SLICE + 200, prose(rnd, 200)[:500]
+    filling = lambda n: rnd.randbytes(n // 2 + 1).hex()[:n]
+    one = filling(size - len(passage) - 1) + "<" + passage
+    two = filling(size // 2) + ">" + passage + "!" + filling(size // 2 - len(passage))
+    docs = spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string")
+    cut = {r["doc_id"]: (r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in suffix_dedup.without_repeats(docs, "text").collect()}
+    assert cut == {i: (500, 1, t.replace(passage, "").encode()) for i, t in ((1, one), (2, two))}
+
+
 def test_digests_of_the_query(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
