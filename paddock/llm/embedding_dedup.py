@@ -1,13 +1,13 @@
 """Near-duplicate vectors: spherical k-means cells and blocked cosine products (operator 4).
 
 Equal vectors are one node with a count, so copies are never compared. Centroids are fitted on a bounded
-sample; every vector has a home cell and also visits each cell whose centroid is nearly as close as its own.
-In each cell the vectors at home are compared with all that visit, block by block in double precision; a
+sample; every vector x has a home cell, of centroid h, and also visits each cell c with
+x(h - c) <= |h - c| sqrt(2 - 2 threshold) / 2. In each cell the vectors at home are compared with all that visit, block by block in double precision; a
 block pair hands out a count and one link for each vector at most. Hot cells are split into blocks of
 bounded size by hash. A pair that two cells see is counted in the lower one.
 
-A pair is missed only if neither vector visits the other's home cell (recall is measured in the tests against
-brute force); whatever is linked has a cosine of at least the threshold.
+No pair is missed, however the centroids lie: for x at home in h and y in c, x(h - c) + y(c - h) = (x - y)(h - c)
+is at most |x - y| |h - c|, and |x - y| at most sqrt(2 - 2 threshold), so one of the two visits the other's home.
 
 Null, empty and zero vectors and vectors with null or non-finite components link with nothing, nor do vectors of
 different lengths. Repeated rows are vectors of their own. A null id has kept = false. An empty table gives
@@ -24,7 +24,7 @@ from paddock.llm.common import components, forest
 from paddock.session import cut_lineage
 
 THRESHOLD = 0.9
-MARGIN = 0.13  # a vector visits the cells whose centroid is at most this less similar than its own
+SLACK = 1e-7  # for rounding: a vector rather visits a cell too many
 MOST_CELLS = 4096
 SAMPLE_PER_CELL = 16  # so at most 65,536 vectors for the fit
 ROUNDS = 8
@@ -61,6 +61,18 @@ def spherical_kmeans(rows, cells: int, rounds: int = ROUNDS, seed: int = SEED):
     return centroids
 
 
+def cells_of(rows, centroids, reach: float):
+    """Home cell of each unit row, and whether it visits each cell; ``reach`` is half the largest distance of a linked pair."""
+    import numpy as np
+
+    likeness = rows @ centroids.T
+    home = likeness.argmax(axis=1)
+    homes, at = np.unique(home, return_inverse=True)
+    squares = (centroids * centroids).sum(axis=1)
+    apart = np.sqrt(np.maximum(squares[homes, None] + squares - 2 * (centroids[homes] @ centroids.T), 0))
+    return home, likeness.max(axis=1, keepdims=True) - likeness <= reach * apart[at] + SLACK
+
+
 def near_duplicates(df: DataFrame, id_column: str, vector: str, threshold: float = THRESHOLD) -> DataFrame:
     """(id, n_links, component_id, kept) of each row."""
     rows = df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{vector}`").alias("vector"))
@@ -73,7 +85,8 @@ def near_duplicates(df: DataFrame, id_column: str, vector: str, threshold: float
     for length in {len(v) for v in sample}:
         model[length] = spherical_kmeans(unit([v for v in sample if len(v) == length]), cells)
     spread = nodes.sparkSession.sparkContext.broadcast(model)  # at most MOST_CELLS centroids for each length
-    margin = MARGIN
+    reach = math.sqrt(max(0.0, 2 - 2 * threshold)) / 2
+    kind = "<f4" if rows.schema["vector"].dataType.elementType.typeName() == "float" else "<f8"  # vectors travel as they came
 
     def visit(batches):
         import numpy as np
@@ -90,15 +103,12 @@ def near_duplicates(df: DataFrame, id_column: str, vector: str, threshold: float
                 centroids = spread.value.get(int(length))
                 for i in range(0, len(at), 1024):
                     part, some = at[i : i + 1024], unit(raw[i : i + 1024])
-                    if centroids is None:  # no vector of this length in the sample: one cell
-                        likeness = np.zeros((len(part), 1))
-                    else:
-                        likeness = some @ centroids.T
-                    home = likeness.argmax(axis=1)
-                    who, cell = np.nonzero(likeness >= likeness.max(axis=1, keepdims=True) - margin)
+                    # no vector of this length in the sample: one cell
+                    home, visited = cells_of(some, np.zeros((1, length)) if centroids is None else centroids, reach)
+                    who, cell = np.nonzero(visited)
                     cuts = np.searchsorted(who, np.arange(1, len(part)))
                     visits = [v.tobytes() for v in np.split(cell.astype("<i4"), cuts)]
-                    data = [v.tobytes() for v in some]
+                    data = [v.tobytes() for v in raw[i : i + 1024].astype(kind)]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(len(who), length, np.int32)),
@@ -106,17 +116,17 @@ def near_duplicates(df: DataFrame, id_column: str, vector: str, threshold: float
                             pa.array(home[who].astype(np.int32)),
                             pa.array(node[part][who]),
                             pa.array(copies[part][who]),
-                            pa.array([visits[w] for w in who], pa.binary()),
+                            pa.array([visits[w] if h else None for w, h in zip(who, home[who] == cell)], pa.binary()),  # only asked of those at home
                             pa.array([data[w] for w in who], pa.binary()),
                         ],
-                        names=["length", "cell", "home", "node", "copies", "visits", "unit"],
+                        names=["length", "cell", "home", "node", "copies", "visits", "raw"],
                     )
 
-    schema = "length int, cell int, home int, node long, copies long, visits binary, unit binary"
+    schema = "length int, cell int, home int, node long, copies long, visits binary, raw binary"
     visitors = nodes.select("node", "copies", "vector").mapInArrow(visit, schema)
     at_home = F.col("home") == F.col("cell")
     blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK)).cast("int")
-    sizes = visitors.drop("unit", "visits").groupBy("length", "cell").agg(
+    sizes = visitors.drop("raw", "visits").groupBy("length", "cell").agg(
         blocks(F.sum(at_home.cast("int"))).alias("left_blocks"), blocks(F.count("*")).alias("right_blocks")
     )
     sized = visitors.join(cut_lineage(sizes), ["length", "cell"])
@@ -135,7 +145,7 @@ def near_duplicates(df: DataFrame, id_column: str, vector: str, threshold: float
             return out
         a, b = sides
         cell = int(a["cell"].iloc[0])
-        matrix = [np.frombuffer(b"".join(s["unit"]), np.float64).reshape(len(s), -1) for s in sides]
+        matrix = [unit(np.frombuffer(b"".join(s["raw"]), kind).reshape(len(s), -1)) for s in sides]
         ids, many, home = [s["node"].to_numpy() for s in sides], [s["copies"].to_numpy() for s in sides], b["home"].to_numpy()
         seen = [frozenset(np.frombuffer(v, "<i4").tolist()) for v in a["visits"]]
         pairs = [np.empty((0, 2), np.int64)]
@@ -157,7 +167,7 @@ def near_duplicates(df: DataFrame, id_column: str, vector: str, threshold: float
         root = forest(at[: len(x)], at[len(x) :], len(found))
         return pd.DataFrame({"node": found, "links": links, "root": found[root]})
 
-    columns = ["length", "cell", "left", "right", "side", "home", "node", "copies", "visits", "unit"]
+    columns = ["length", "cell", "left", "right", "side", "home", "node", "copies", "visits", "raw"]
     pairs = left.select(columns).union(right.select(columns)).groupBy("length", "cell", "left", "right")
     linked = cut_lineage(pairs.applyInPandas(compare, "node long, links long, root long"))
     roots = components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a <> b").distinct())

@@ -212,6 +212,33 @@ def test_recall_on_hard_pairs(spark):
     assert linked >= 0.98 * len(rows)
 
 
+@pytest.mark.parametrize("dimensions", [3, 8, 16, 64])
+def test_one_of_a_linked_pair_visits_the_others_home(dimensions):
+    rng = np.random.default_rng(5)
+    one = embedding_dedup.unit(rng.normal(size=(3000, dimensions)))
+    off = rng.normal(size=one.shape)
+    off = embedding_dedup.unit(off - (off * one).sum(axis=1, keepdims=True) * one)
+    two = 0.9 * one + math.sqrt(1 - 0.9**2) * off
+    centroids = embedding_dedup.spherical_kmeans(np.concatenate([one, two]), 78)
+    reach = math.sqrt(2 - 2 * embedding_dedup.THRESHOLD) / 2
+    (home_one, one_visits), (home_two, two_visits) = (embedding_dedup.cells_of(x, centroids, reach) for x in (one, two))
+    at = np.arange(len(one))
+    assert one_visits[at, home_one].all() and two_visits[at, home_two].all()
+    assert (one_visits[at, home_two] | two_visits[at, home_one]).all()
+
+
+def test_no_link_is_lost_in_few_dimensions(spark):
+    rng = np.random.default_rng(6)
+    one = embedding_dedup.unit(rng.normal(size=(1000, 8)))
+    off = rng.normal(size=one.shape)
+    off = embedding_dedup.unit(off - (off * one).sum(axis=1, keepdims=True) * one)
+    rows = np.concatenate([one, 0.905 * one + math.sqrt(1 - 0.905**2) * off])
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(table, "vec_id", "embedding").collect()}
+    rows = embedding_dedup.unit(rows)
+    assert [found[i] for i in range(len(rows))] == ((rows @ rows.T >= embedding_dedup.THRESHOLD).sum(axis=1) - 1).tolist()
+
+
 def test_query_equals_brute_force(spark):
     rows = spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()
     links = plain_links([r["embedding"] for r in rows], 0.9)
