@@ -21,7 +21,7 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of texts whose 5-word shingles agree in at least 0.8 of the fingerprint's bits."""
+    """One row of each group of texts whose sets of 5-word shingles have a Jaccard likeness of at least 0.8."""
     return simhash.one_of_each_group(docs, "doc_id", "text")
 
 

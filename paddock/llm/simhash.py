@@ -17,6 +17,7 @@ ids never become a component's id unless it has no other. An empty table gives a
 from __future__ import annotations
 
 from itertools import product
+from math import acos, ceil, pi, sqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -28,19 +29,28 @@ SHINGLE = 3
 RADIUS = 3
 TILE = 2048  # fingerprints in a tile, on average at most
 WIDE_TILE = 8192
+VERIFIED = 2048  # texts of a group whose shingles are compared together, on average at most
 QUARTERS, SIDE = 4, 17  # a quarter has 0 to 16 bits set
 _ROWS = 256  # rows of a tile compared at once
 
 
-def fingerprint(text: bytes, size: int = SHINGLE, seeds: tuple[int, ...] = (SEED,)) -> bytes:
+def shingles_of(text: bytes, size: int) -> list[bytes]:
+    words = text.lower().split()  # bytes: A-Z only, and the ASCII blanks only
+    if len(words) < size:
+        return [b" ".join(words)] if words else []
+    return list(map(b" ".join, zip(*[words[i:] for i in range(size)])))
+
+
+def fingerprint(text: bytes, size: int = SHINGLE, seeds: tuple[int, ...] = (SEED,), distinct: bool = False) -> bytes:
     """64 bits for each seed: a bit is set if it is set in over half the shingles' hashes."""
     import numpy as np
     import xxhash
 
-    words = text.lower().split()  # bytes: A-Z only, and the ASCII blanks only
-    if not words:
+    shingles = shingles_of(text, size)
+    if not shingles:
         return bytes(8 * len(seeds))
-    shingles = list(map(b" ".join, zip(*[words[i:] for i in range(size)]))) if len(words) >= size else [b" ".join(words)]
+    if distinct:
+        shingles = list(set(shingles))
     counts = np.zeros((len(seeds), 64), np.int64)
     for start in range(0, len(shingles), 1 << 16):
         part = shingles[start : start + (1 << 16)]
@@ -56,8 +66,8 @@ def fingerprints(df: DataFrame, text: Column, keep: dict[str, Column], size: int
 
 
 def wide_fingerprints(df: DataFrame, text: Column, keep: dict[str, Column], size: int, seeds: tuple[int, ...]) -> DataFrame:
-    """The columns of ``keep`` and the fingerprint of each text as bytes ``fp``, 8 for each seed."""
-    return scanned(df, lambda texts: {"fp": [fingerprint(x, size, seeds) for x in texts]}, text, "fp binary", keep)
+    """The columns of ``keep`` and the fingerprint of each text's set of shingles as bytes ``fp``, 8 for each seed."""
+    return scanned(df, lambda texts: {"fp": [fingerprint(x, size, seeds, True) for x in texts]}, text, "fp binary", keep)
 
 
 def hits(left, right, radius: int):
@@ -183,22 +193,118 @@ def near_duplicates(df: DataFrame, id_column: str, text: str, size: int = SHINGL
     return marked.join(groups.select("fp", "component_id"), "fp").select(f"`{id_column}`", digits, "component_id")
 
 
-def one_of_each_group(df: DataFrame, id_column: str, text: str, size: int = 5, seeds: tuple[int, ...] = (42, 43), likeness: float = 0.8) -> DataFrame:
+def shingle_set(text: bytes, size: int):
+    """Distinct hashes of the shingles; a text without a word has one of its own."""
+    import numpy as np
+    import xxhash
+
+    digests = b"".join([xxhash.xxh64_digest(x, SEED) for x in shingles_of(text, size)])
+    return np.unique(np.frombuffer(digests, "<u8")) if digests else np.zeros(1, "<u8")
+
+
+def alike(sets: list, likeness: float):
+    """For each set the first one that it is connected to by pairs with a Jaccard likeness of at least ``likeness``.
+
+    Breadth first: a set is compared with those that no component has yet, so near copies of one text cost little.
+    """
+    import numpy as np
+
+    sizes = np.array([len(s) for s in sets])
+    values, at = np.unique(np.concatenate(sets), return_inverse=True)
+    names = np.split(at, np.cumsum(sizes)[:-1])
+    own, root, left = np.zeros(len(values), np.int32), np.arange(len(sets)), np.arange(len(sets))
+    while len(left) > 1:
+        first, left = left[0], left[1:]
+        waiting = [first]
+        while waiting and len(left):
+            x = waiting.pop()
+            small, large = np.minimum(sizes[x], sizes[left]), np.maximum(sizes[x], sizes[left])
+            other = left[small / large >= likeness]
+            if not len(other):
+                continue
+            own[names[x]] = 1
+            shared = np.add.reduceat(own[np.concatenate([names[o] for o in other])], np.cumsum(sizes[other]) - sizes[other])
+            own[names[x]] = 0
+            found = other[shared / (sizes[x] + sizes[other] - shared) >= likeness]
+            if len(found):
+                root[found] = first
+                waiting.extend(found.tolist())
+                left = np.setdiff1d(left, found, assume_unique=True)
+    return root
+
+
+def verified(hashed: DataFrame, node: str, text: str, groups: DataFrame, size: int, likeness: float) -> DataFrame:
+    """(node, root) of the texts that are connected to others by shingles that agree in ``likeness`` of their union.
+
+    ``groups`` (node, root) holds the candidates, each text once. Texts of one group meet in blocks of bounded size, every pair of blocks
+    in one place; it hands out a link for each text at most.
+    """
+    crowds = groups.groupBy("root").agg(F.ceil(F.count("*") / VERIFIED).cast("int").alias("blocks"), F.count("*").alias("n")).where("n > 1")
+    several = cut_lineage(groups.join(crowds.drop("n"), "root"))
+    buckets = several.count() // VERIFIED + 1
+    texts = hashed.select(F.col(node).alias("node"), utf8(text).alias("data")).join(several, "node").select("node", "root", "blocks", "data")
+
+    def cut(batches):
+        import pyarrow as pa
+
+        seen = set()  # copies in this task
+        for batch in batches:
+            nodes, rows, found = batch.column(0).to_pylist(), [], []
+            for i, n in enumerate(nodes):
+                if n not in seen:
+                    seen.add(n)
+                    rows.append(i)
+                    found.append(shingle_set(batch.column(3)[i].as_py(), size).tobytes())
+            if rows:
+                kept = batch.take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([*(kept.column(i) for i in range(3)), pa.array(found, pa.binary())], names=["node", "root", "blocks", "shingles"])
+
+    root = groups.schema["root"].dataType.simpleString()
+    sets = texts.mapInArrow(cut, f"node long, root {root}, blocks int, shingles binary")
+    sets = sets.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    paired = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("blocks = 1 or other <> block")
+    paired = paired.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other"), "bucket": F.pmod(F.xxhash64("root"), F.lit(buckets))})
+
+    def compare(frame):
+        import numpy as np
+        import pandas as pd
+
+        a, b = [], []
+        for _, part in frame.groupby("root"):
+            nodes = part["node"].to_numpy()
+            root = alike([np.frombuffer(x, "<u8") for x in part["shingles"]], likeness)
+            linked = np.flatnonzero(nodes != nodes[root])
+            a.append(nodes[linked])
+            b.append(nodes[root[linked]])
+        none = [np.empty(0, np.int64)]
+        return pd.DataFrame({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
+
+    columns = ["root", "node", "shingles", "bucket", "low", "high"]
+    return components(paired.select(columns).groupBy("bucket", "low", "high").applyInPandas(compare, "a long, b long"))
+
+
+def one_of_each_group(df: DataFrame, id_column: str, text: str, size: int = 5, seeds: tuple[int, ...] = (42, 43, 44), likeness: float = 0.8) -> DataFrame:
     """The rows of ``df`` without near-duplicates: of each group the smallest id stays (of equal ids the
-    smallest text hash, of equal rows one). Texts are linked if at least ``likeness`` of the bits of their
-    fingerprints agree; at 128 bits unrelated texts don't. Columns stay as they are; texts are shuffled once.
-    Texts without a word are one group, null ones included.
+    smallest text hash, of equal rows one). Texts are linked if their sets of shingles have a Jaccard likeness of at
+    least ``likeness``. Columns stay as they are. Texts without a word are one group, null ones included.
+
+    Fingerprints only find candidates: two sets of likeness j differ in a share arccos(2j / (1 + j)) / pi of the bits at most, on
+    average; the radius lies 4.3 deviations above. Every link is verified by the shingles.
     """
     mark, place = fresh("text_hash", df), fresh("place_in_group", df)
     width = 8 * len(seeds)
-    radius = int(8 * width * (1 - likeness) + 1e-9)
+    share = acos(2 * likeness / (1 + likeness)) / pi
+    radius = ceil(8 * width * share + 4.3 * sqrt(8 * width * share * (1 - share)) - 0.5)
     hashed = df.withColumn(mark, F.xxhash64(utf8(text)))
     keep = {id_column: F.col(f"`{id_column}`"), mark: F.col(mark)}
     marked = cut_lineage(wide_fingerprints(hashed, F.col(f"`{text}`"), keep, size, seeds))
-    groups = grouped(marked, id_column, lambda classes: wide_links(classes, radius, width)).select("fp", "root")
+    candidates = grouped(marked, id_column, lambda classes: wide_links(classes, radius, width)).select("fp", "root")
+    candidates = marked.select(F.col(mark).alias("node"), "fp").distinct().join(candidates, "fp").select("node", "root")
+    groups = verified(hashed, mark, text, candidates, size, likeness)
     # structs compare field by field; a null id comes last
     first = F.min(F.struct(F.col(f"`{id_column}`").isNull().alias("none"), F.col(f"`{id_column}`").alias("id"), F.col(mark).alias("hash")))
-    stays = marked.join(groups, "fp").groupBy("root").agg(first.alias("first")).select("first.id", "first.hash").distinct()
+    rooted = marked.join(groups, marked[mark] == groups["node"], "left").withColumn("root", F.coalesce("root", mark))
+    stays = rooted.groupBy("root").agg(first.alias("first")).select("first.id", "first.hash").distinct()
     left = hashed.join(stays, hashed[id_column].eqNullSafe(stays["id"]) & (hashed[mark] == stays["hash"]), "left_semi")
     order = Window.partitionBy(f"`{id_column}`", mark).orderBy(F.lit(0))
     return left.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place, mark)

@@ -58,6 +58,14 @@ def test_no_copies_stay_and_others_do(stages):
             assert max(alike(a, b) for j, b in before.items() if j != i) > 0.4
 
 
+def test_likeness_of_exactly_the_threshold_decides(stages):
+    before, after = ({r["doc_id"]: shingles(r["text"]) for r in s.collect()} for s in stages[1:3])
+    alike = lambda a, b: len(a & b) / max(len(a | b), 1)
+    assert all(alike(a, b) < 0.8 for i, a in after.items() for j, b in after.items() if i < j)
+    for i in set(before) - set(after):
+        assert max(alike(before[i], b) for j, b in before.items() if j != i) >= 0.8
+
+
 def test_repeats_go(stages):
     before, after = ({r["doc_id"]: r for r in s.collect()} for s in stages[2:4])
     ids = list(before)

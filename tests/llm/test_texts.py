@@ -213,6 +213,43 @@ def test_one_of_each_group_stays(odd):
     assert simhash.one_of_each_group(odd.limit(0), "doc_id", "text").collect() == []
 
 
+def word_sets(text, size=5):
+    words = text.split()
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+
+def connected(sets, likeness):
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) / len(a | sets[j]) >= likeness and root[i] != root[j]:
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    return root
+
+
+def test_groups_are_those_of_the_exact_likeness(spark):
+    """Texts that share a passage, from unlike to nearly equal; likeness 0.8 decides."""
+    rnd = random.Random(14)
+    rows = []
+    for k in range(60):
+        base = prose(rnd, rnd.randint(60, 400)).split()
+        for share in (0, 0.03, 0.06, 0.1, 0.11, 0.12, 0.2, 0.4):
+            fresh_words = prose(rnd, int(share * len(base))).split() if share else []
+            rows.append((len(rows), " ".join(base[: len(base) - len(fresh_words)] + fresh_words)))
+    roots = connected([word_sets(t) for _, t in rows], 0.8)
+    kept = simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(roots))
+
+
+@pytest.mark.parametrize("likeness", [0.3, 0.8])
+def test_sets_connect_as_all_pairs_do(likeness):
+    rnd = random.Random(15)
+    for _ in range(40):
+        sets = [set(rnd.sample(range(14), rnd.randint(1, 12))) for _ in range(rnd.randint(1, 25))]
+        found = simhash.alike([np.array(sorted(s), np.uint64) for s in sets], likeness)
+        assert found.tolist() == connected(sets, likeness)
+
+
 # suffix arrays
 
 
