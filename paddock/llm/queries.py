@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paddock.llm import bpe, embedding_dedup, lm_scoring, mixing, quality_model, quality_rules, simhash, suffix_dedup, token_count, toxicity
+from paddock.llm import alignment, bpe, embedding_dedup, lm_scoring, mixing, quality_model, quality_rules, simhash, suffix_dedup, token_count, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -85,6 +85,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    aligned = alignment.align(docs, "text", TOKENIZER, PIECES, {"doc_id": docs["doc_id"]})
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+    table = alignment.written(aligned.withColumn("groups_sha256", digest).drop("groups"))
+    return alignment.with_agreement(table)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # lies beside the package
 
@@ -94,7 +102,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict:
     named = (
         op1_byte_bpe, op2_token_counts, op3_quality_rules, op4_embedding_dedup, op5_source_mix, op6_simhash,
-        op7_lm_scores, op8_quality_model, op9_suffix_dedup, op10_toxicity, pipeline,
+        op7_lm_scores, op8_quality_model, op9_suffix_dedup, op10_toxicity, op12_token_alignment, pipeline,
     )
     return {q.__name__: q for q in named}
 
