@@ -10,6 +10,9 @@ token ids is linked: pairs are counted on the map side first; the most frequent
 the choice of their least count, are handed to all workers, so the pairs that nearly all texts hold are never
 joined. Only the rest, of which no pair has more than 1/MOST_HOT of all occurrences, goes through a join.
 
+Words are encoded once for each worker: a single blank between other characters starts a pre-token of A, and
+B's pieces have blanks at their start only (checked when the file is read), so neither merges across it.
+
 Null and empty texts, and those that either tokenizer does not give back byte for byte, have no tokens: zeros, no
 groups and no pairs. Repeated rows are rows of their own and count each. Ties for an id's most frequent partner all
 count as such. Very long texts are encoded whole; a batch holds one of them. A group's pairs are formed from its
@@ -21,6 +24,8 @@ of the input, whatever they are called, neither matter nor come along. An empty
 from __future__ import annotations
 
 import functools
+import re
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -29,6 +34,10 @@ from paddock.session import cut_lineage
 
 MOST_HOT = 1 << 20  # pairs held by every worker, 17 bytes each
 WIDE = 1 << 12  # links of a group beyond which its ids are made distinct first
+PORTION = 1 << 20  # bytes of texts in one step
+#: A single blank between other characters: A starts a pre-token here, and B a word.
+BLANK = re.compile(r"(?<=\S) (?=\S)")
+MOST_WORDS, LONGEST_WORD = 300_000, 48  # kept in a worker
 RESULTS = "n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<long>, pair_links array<int>"
 
 
@@ -56,30 +65,77 @@ class Aligner:
         ]
         self.a_length = np.array([len(t) for t in self.a_bytes])
         self.b_length = np.array([len(t) for t in self.b_bytes])
+        # no piece goes on after a blank, so B never merges across one that follows another character
+        self.separable = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size()))
+        self.forget()
         # what an id adds to the groups' text: inside its half of a group, and at the half's end
         self.written = [f"{i}{end}" for ids, ends in ((self.a_bytes, ",|"), (self.b_bytes, ",;")) for end in ends for i in range(len(ids))]
 
-    def encode(self, texts: list[bytes]) -> tuple[list, list]:
-        """Ids of A and of B for each text; none where a tokenizer changes the bytes."""
+    def encode(self, texts: list[bytes]):
+        """(ids, number of ids in each text) of A and of B; none in a text of which a tokenizer changes the bytes."""
         import numpy as np
 
         strings = [t.decode("utf-8", "replace") for t in texts]
-        a = [e.ids for e in self.a.encode_batch_fast([" " + s for s in strings], add_special_tokens=False)]
-        b = self.b.encode(strings, num_threads=1)
-        none = np.empty(0, np.int64)
-        for i, text in enumerate(texts):
-            same = text and all(
-                b"".join(map(table.__getitem__, ids)) == b" " + text for table, ids in ((self.a_bytes, a[i]), (self.b_bytes, b[i]))
-            )
-            a[i], b[i] = (np.array(a[i], np.int64), np.array(b[i], np.int64)) if same else (none, none)
-        return a, b
+        words = [BLANK.split(s) if self.separable else [s] for s in strings]
+        if self.count > MOST_WORDS or len(self.ids[0]) > 6 * MOST_WORDS:
+            self.forget()
+        found = set().union(*words).difference(self.known)
+        # blanks at a word's edge could join its neighbour's
+        inner = [w for w in found if self.separable and w and not (w[0].isspace() or w[-1].isspace())]
+        self.learn(inner)
+        for w in found.difference(inner):
+            self.learn([w])
+        for i, (text, string) in enumerate(zip(texts, strings)):
+            usable = text and ("\ufffd" not in string or string.encode() == text)
+            if not usable or (self.changed and self.changed.intersection(words[i])):
+                words[i] = []
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64)
+        ends = np.cumsum([len(w) for w in words])
+        both = [spread(ids, stop, at, ends) for ids, stop in zip(self.ids, self.stop)]
+        for w in found:
+            if len(w) > LONGEST_WORD:
+                del self.known[w]
+        return both
+
+    def forget(self) -> None:
+        import numpy as np
+
+        self.known: dict[str, int] = {}  # words by number
+        self.changed: set[str] = set()  # those of which a tokenizer changes the bytes
+        self.ids, self.stop = [np.empty(0, np.int64)] * 2, [np.zeros(1, np.int64)] * 2  # the words' ids one after the other
+        self.count = 0
+
+    def learn(self, words: list[str]) -> None:
+        """Encode words that follow a blank, all as one text."""
+        import numpy as np
+
+        if not words:
+            return
+        each = [b" " + w.encode("utf-8", "surrogateescape") for w in words]
+        text, data = " ".join(words), b"".join(each)
+        both = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.b.encode(text)
+        same = all(b"".join(map(table.__getitem__, ids)) == data for table, ids in zip((self.a_bytes, self.b_bytes), both))
+        if not same and len(words) > 1:
+            half = len(words) // 2
+            self.learn(words[:half])
+            self.learn(words[half:])
+            return
+        if not same:
+            self.changed.add(words[0])
+            both = ([], [])
+        stop = np.cumsum([len(x) for x in each])
+        for i, (length, ids) in enumerate(zip((self.a_length, self.b_length), both)):
+            ids = np.array(ids, np.int64)
+            cut = np.searchsorted(np.cumsum(length[ids]), stop) + 1 if same else np.zeros(1, np.int64)
+            self.stop[i] = np.append(self.stop[i], len(self.ids[i]) + cut)
+            self.ids[i] = np.append(self.ids[i], ids)
+        self.known.update(zip(words, range(self.count, self.count + len(words))))
+        self.count += len(words)
 
     def __call__(self, texts: list[bytes]) -> dict:
         import numpy as np
 
-        a_each, b_each = self.encode(texts)
-        n_a, n_b = (np.array([len(x) for x in each], np.int64) for each in (a_each, b_each))
-        a, b = np.concatenate(a_each), np.concatenate(b_each)
+        (a, n_a), (b, n_b) = self.encode(texts)
         group_a, group_b = groups(self.a_length[a], self.b_length[b])
         size_a, size_b = np.bincount(group_a), np.bincount(group_b)
         text_of = np.repeat(np.arange(len(texts)), n_a)
@@ -109,6 +165,20 @@ class Aligner:
         return ["".join(parts[s:e])[:-1] for s, e in zip([0, *ends], ends)]
 
 
+def spread(ids, stop, at, ends):
+    """The ids of the words numbered ``at`` one after the other, and how many there are in each text.
+
+    Word i has the ids from stop[i] to stop[i + 1]; texts end at ``ends``.
+    """
+    import numpy as np
+
+    start = stop[at]
+    times = stop[at + 1] - start
+    last = np.cumsum(times)
+    place = np.repeat(start - (last - times), times) + np.arange(times.sum())
+    return ids[place], np.diff(np.append(0, last)[ends], prepend=0)
+
+
 def groups(a_length, b_length):
     """Group number of each A and each B token, from the tokens' lengths in bytes, by pointer jumping.
 
@@ -170,7 +240,7 @@ def aligner(a_file: str, b_file: str) -> Aligner:
 def align(docs: DataFrame, text: str, a_file: str, b_file: str, keep: dict[str, Column]) -> DataFrame:
     """The ``keep`` columns, and of each text n_a, n_b, n_groups, n_links, ``groups`` (``a1,a2|b1;a3|b2,b3``), the
     distinct linked ``pairs`` (A id shifted by 32 bits, B id) and their numbers of links ``pair_links``."""
-    return scanned(docs, lambda texts: aligner(a_file, b_file)(texts), F.col(f"`{text}`"), RESULTS, keep)
+    return scanned(docs, lambda texts: aligner(a_file, b_file)(texts), F.col(f"`{text}`"), RESULTS, keep, PORTION)
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:

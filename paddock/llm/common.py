@@ -28,10 +28,10 @@ def utf8(column: str | Column) -> Column:
     return F.coalesce(value.cast("binary"), F.lit(b""))
 
 
-def scanned(df: DataFrame, scan: Callable[[list[bytes]], dict[str, Iterable]], text: Column, results: str, keep: dict[str, Column]) -> DataFrame:
+def scanned(df: DataFrame, scan: Callable[[list[bytes]], dict[str, Iterable]], text: Column, results: str, keep: dict[str, Column], batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Add what ``scan`` finds in the texts of a batch, one value for each text.
 
-    ``scan`` gets at most BATCH_BYTES of texts at a time (or one longer text) and returns a list or array
+    ``scan`` gets at most ``batch_bytes`` of texts at a time (or one longer text) and returns a list or array
     for each column of ``results``, a schema string. ``keep`` names the columns that are carried along.
     The step reads each row once, needs no shuffle, and holds one Arrow batch and its results.
     """
@@ -50,7 +50,7 @@ def scanned(df: DataFrame, scan: Callable[[list[bytes]], dict[str, Iterable]], t
             start = size = 0
             for end in range(1, len(texts) + 1):
                 size += len(texts[end - 1].as_buffer())
-                if end == len(texts) or size + len(texts[end].as_buffer()) > BATCH_BYTES:
+                if end == len(texts) or size + len(texts[end].as_buffer()) > batch_bytes:
                     part = batch.slice(start, end - start)
                     found = scan(part.column(width).to_pylist())
                     arrays = [part.column(i) for i in range(width)]
