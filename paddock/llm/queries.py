@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paddock.llm import alignment, bpe, collocations, embedding_dedup, lm_scoring, mixing, quality_model, quality_rules, simhash, suffix_dedup, token_count, toxicity
+from paddock.llm import alignment, bpe, collocations, embedding_dedup, lm_scoring, mixing, quality_model, quality_rules, secret_scan, simhash, statements, suffix_dedup, token_count, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -85,6 +85,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = secret_scan.find_secrets(docs, "text", {"doc_id": docs["doc_id"]})
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_entropy")
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     aligned = alignment.align(docs, "text", TOKENIZER, PIECES, {"doc_id": docs["doc_id"]})
@@ -106,13 +112,13 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict:
     named = (
         op1_byte_bpe, op2_token_counts, op3_quality_rules, op4_embedding_dedup, op5_source_mix, op6_simhash,
-        op7_lm_scores, op8_quality_model, op9_suffix_dedup, op10_toxicity, op12_token_alignment, op13_collocations, pipeline,
+        op7_lm_scores, op8_quality_model, op9_suffix_dedup, op10_toxicity, op11_secret_scan, op12_token_alignment, op13_collocations, pipeline,
     )
     return {q.__name__: q for q in named}
 
 
 def llm_statements() -> dict[str, str]:
-    """DuckDB statements of the queries that SQL can express: all pairs of the small embeddings table."""
+    """DuckDB statements of the queries that SQL can express."""
     return {
         "op4_embedding_dedup": f"""with recursive v as (select vec_id, embedding::double[] as e from embeddings),
           l as (select a.vec_id as x, b.vec_id as y, list_cosine_similarity(a.e, b.e) as c from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)),
@@ -121,23 +127,6 @@ def llm_statements() -> dict[str, str]:
           least as (select x as vec_id, min(y) as component_id from reach group by 1),
           linked as (select x as vec_id, count(*) as n_links from near group by 1)
           select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept from least left join linked using (vec_id)""",
-        "op13_collocations": f"""with recursive p as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
-            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece from documents),
-          w as (select lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') as ws from p),
-          g as (select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i : i + k - 1], ' '))) as phrase
-            from w, (values (1), (2), (3), (4)) as sizes(k)),
-          f as (select lang, k, phrase, count(*) as a from g group by all),
-          totals as (select lang, sum(a)::bigint as n from f where k = 1 group by 1),
-          c as (select lang, k, phrase, a, string_split(phrase, ' ') as ws from f where k >= 2 and a >= {collocations.LEAST}),
-          parts as (select c.lang, c.phrase, c.k, c.a, i, array_to_string(ws[1 : i], ' ') as x, array_to_string(ws[i + 1 : c.k], ' ') as y
-            from c, (values (1), (2), (3)) as cuts(i) where i < c.k),
-          scored as (select parts.lang, parts.phrase, parts.a, i, fx.a as l, fy.a as r, (({collocations.SCALE}::hugeint * parts.a) // (fx.a + fy.a))::bigint as score
-            from parts join f fx on fx.lang = parts.lang and fx.phrase = x join f fy on fy.lang = parts.lang and fy.phrase = y),
-          worst as (select * from scored qualify row_number() over (partition by lang, phrase order by score, i) = 1),
-          inner_ as (select lang, a, unnest(list_transform(range(1, k), lambda i: array_to_string(ws[i : i + 1], ' ')) ||
-            case when k = 4 then [array_to_string(ws[1 : 3], ' '), array_to_string(ws[2 : 4], ' ')] else [] end) as phrase from c where k >= 3),
-          most as (select lang, phrase, max(a) as most from inner_ group by all),
-          kept as (select worst.* from worst left join most using (lang, phrase) where most is null or 100::hugeint * most < {collocations.DROP_PERCENT}::hugeint * a)
-          select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
-            from kept join totals using (lang) qualify rank <= {collocations.TOP}""",
+        "op11_secret_scan": statements.secret_scan_statement(),
+        "op13_collocations": statements.collocations_statement(),
     }
