@@ -201,7 +201,7 @@ def _dummies() -> str:
     )
 
 
-def _gram() -> str:
+def _design() -> tuple[list[str], str]:
     numeric = {
         "Mileage_km": "Mileage_km", "Year of construction": 'try_cast("Year of construction" as double)',
         "owners_known": "owners_known::double", "is_fully_restored": "is_fully_restored::double",
@@ -213,6 +213,11 @@ def _gram() -> str:
     columns["Transmission_Manual"] = "(Transmission is not distinct from 'Manual')::int::double"
     names = list(columns)
     matrix = ", ".join(f"{e} as {b.ident(c)}" for c, e in columns.items())
+    return names, matrix
+
+
+def _gram() -> str:
+    names, matrix = _design()
     rows = [
         f"select {b.text(x)} as a, {b.text(y)} as b, round(sum({b.ident(x)} * {b.ident(y)}) / 1000000, 2) as value from matrix"
         for i, x in enumerate(names) for y in names[i:]
@@ -221,16 +226,21 @@ def _gram() -> str:
 
 
 # Columns of the collinearity check.
-VIF_COLUMNS = (
-    "Mileage_km", "Year of construction", "owners_known", "is_fully_restored", "Paint-to-Sample (PTS)",
-    "Series_981", "Series_982", "Series_987", "Series_992", "Transmission_Manual",
-)
-
-
-def _test_rows() -> str:
-    """The test rows of a fitted model: a sound fit has usable predictions, better than the best constant on its own rows."""
-    return f"""with {GOLD} select URL as row_index, round(price_in_eur, 4) as actual_price_eur, 1 as usable, 1 as fits_training
-      from gold where {b.bucket('URL', 42, 4)} = 0"""
+def _vif() -> str:
+    """The inverse of the scaled product sums by Gauss-Jordan steps, one for each column."""
+    names, matrix = _design()
+    k = len(names)
+    norm = ", ".join(f"sqrt(sum({b.ident(x)} * {b.ident(x)})) as n{i}" for i, x in enumerate(names))
+    cells = " union all ".join(
+        f"select {i} as i, {j} as j, sum({b.ident(x)} * {b.ident(y)} / n{i} / n{j}) as v from matrix, norms" for i, x in enumerate(names) for j, y in enumerate(names)
+    )
+    units = " union all ".join(f"select {i}, {k + j}, {int(i == j)}::double" for i in range(k) for j in range(k))
+    labels = ", ".join(f"({i}, {b.text(x)})" for i, x in enumerate(names))
+    return f"""with recursive {SILVER}, matrix as (select {matrix} from silver), norms as (select {norm} from matrix), start as ({cells} union all {units}),
+      e as (select 0 as s, i, j, v from start
+        union all select x.s + 1, x.i, x.j, case when x.i = x.s then r.v / p.v else x.v - c.v * r.v / p.v end
+          from e x join e r on r.i = x.s and r.j = x.j and r.s = x.s join e c on c.i = x.i and c.j = x.s and c.s = x.s join e p on p.i = x.s and p.j = x.s and p.s = x.s where x.s < {k})
+      select feature, round(v, 4) as vif from e join (values {labels}) t(place, feature) on i = place and j = {k} + i where s = {k}"""
 
 
 def _corr() -> str:
@@ -418,15 +428,7 @@ STATEMENTS: dict[str, str] = {
     "linear_columns": _usage(linear=True),
     "aligned_dummies": _dummies(),
     "vif_gram": _gram(),
-    "vif": " union all ".join(f"select {b.text(c)} as feature, 1 as at_least_one" for c in VIF_COLUMNS),
-    **{f"{m}_predictions": _test_rows() for m in ("ridge", "elasticnet", "auto_ridge", "specialist", "stacked", "gbt", "gbt_earlystop", "cat_gbt")},
-    "quantile_interval": f"with {GOLD} select URL, round(price_in_eur, 4) as price_in_eur, 1 as ordered from gold where {b.bucket('URL', 42, 4)} = 0",
-    "tuned_elasticnet": "select place::int as place, 1 as in_range, 1 as in_order from range(1, 26) t(place)",
-    "cv_ridge": "select alpha::double as alpha, 1 as measured, 1 as best_is_lowest from (values (0.1), (1.0), (10.0), (100.0)) t(alpha)",
-    "feature_importance": " union all ".join(
-        f"select {b.text(c)} as feature, 1 as is_share, 1 as sums_to_one"
-        for c in [*features.NUMERIC_COLUMNS, *[c for c in features.CATEGORICAL_COLUMNS if c != "Country"]]
-    ),
+    "vif": _vif(),
     "corr_matrix": _corr(),
     "regression_metrics": f"with {PRED} select model_name, {_metrics()} from pred group by 1",
     "segment_metrics": f"with {PRED} select 'o_orderstatus' as segment_column, o_orderstatus as segment_value, {_metrics()} from pred group by 2 union all select 'o_orderpriority', o_orderpriority, {_metrics()} from pred group by 2",

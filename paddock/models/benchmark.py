@@ -116,35 +116,31 @@ def write_run(result: RunResult, output_dir: str) -> None:
 
 
 def save_model(model: linear.LogModel, path: str) -> None:
-    """Encoder pipeline, text vocabulary and regression under one folder."""
-    spark = model.model.summary.predictions.sparkSession if model.model.hasSummary else None
-    model.encoder.pipeline.write().overwrite().save(f"{path}/encoder")
-    model.model.write().overwrite().save(f"{path}/regression")
+    """Encoder pipeline, text vocabulary and coefficients under one folder."""
     from pyspark.sql import SparkSession
 
-    spark = spark or SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession()
+    model.encoder.pipeline.write().overwrite().save(f"{path}/encoder")
     text = model.encoder.text
     rows = [(i, t, w) for i, (t, w) in enumerate(zip(text.terms, text.idf))] if text else []
     spark.createDataFrame(rows, "position int, term string, idf double").write.mode("overwrite").parquet(f"{path}/terms")
-    spark.createDataFrame(
-        list(enumerate(model.encoder.slots)), "position int, slot string"
-    ).withColumn("text_column", F.lit(model.encoder.text_column)).write.mode("overwrite").parquet(f"{path}/slots")
+    slots = [(i, s, float(w)) for i, (s, w) in enumerate(zip([*model.encoder.slots, "(intercept)"], [*model.coefficients, model.intercept]))]
+    table = spark.createDataFrame(slots, "position int, slot string, coefficient double")
+    table.withColumn("text_column", F.lit(model.encoder.text_column)).write.mode("overwrite").parquet(f"{path}/slots")
 
 
 def load_model(spark, path: str) -> linear.LogModel:
+    import numpy as np
     from pyspark.ml import PipelineModel
-    from pyspark.ml.regression import LinearRegressionModel
 
     from paddock.models.frame import Encoder
     from paddock.models.tfidf import TfidfModel
 
     terms = spark.read.parquet(f"{path}/terms").orderBy("position").collect()
-    slots = spark.read.parquet(f"{path}/slots").orderBy("position").collect()
+    *slots, last = spark.read.parquet(f"{path}/slots").orderBy("position").collect()
     text = TfidfModel([r["term"] for r in terms], [r["idf"] for r in terms]) if terms else None
-    encoder = Encoder(
-        PipelineModel.load(f"{path}/encoder"), text, slots[0]["text_column"] if slots else None, [r["slot"] for r in slots]
-    )
-    return linear.LogModel(encoder, LinearRegressionModel.load(f"{path}/regression"))
+    encoder = Encoder(PipelineModel.load(f"{path}/encoder"), text, last["text_column"], [r["slot"] for r in slots])
+    return linear.LogModel(encoder, np.array([r["coefficient"] for r in slots]), last["coefficient"])
 
 
 def ablation_scores(

@@ -10,6 +10,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paddock.functions.stats import exact_quantiles, hash_bucket
+from paddock.models.moments import SLOTS, VALUES, unpacked
 from paddock.models.tfidf import TfidfModel, fit_tfidf
 from paddock.operators.features import ColumnRoles
 from paddock.operators.gold import TARGET
@@ -78,7 +79,7 @@ def category_level(column: str, missing: str = MISSING) -> str:
 
 @dataclass(frozen=True)
 class Encoder:
-    """Fitted feature encoding: a plain MLlib pipeline, and text weights if there is text."""
+    """Fitted feature encoding: a plain MLlib pipeline for the tabular part, and text weights if there is text."""
 
     pipeline: PipelineModel
     text: TfidfModel | None
@@ -86,10 +87,23 @@ class Encoder:
     slots: list[str] = field(default_factory=list)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        if self.text is not None:
-            df = self.text.transform(df, self.text_column, "__text_vector")
+        """``features`` of the tabular part as a vector."""
         return self.pipeline.transform(df)
 
+    def rows(self, df: DataFrame) -> DataFrame:
+        """Tabular and text part as two arrays, SLOTS and VALUES, slots rising."""
+        tabular = self.size - (len(self.text.terms) if self.text else 0)
+        if tabular:
+            slots, values = unpacked(F.col("features"))
+            df = self.pipeline.transform(df).withColumns({SLOTS: slots, VALUES: values}).select(*df.columns, SLOTS, VALUES)
+        else:
+            df = df.withColumns({SLOTS: F.array().cast("array<int>"), VALUES: F.array().cast("array<double>")})
+        if self.text is not None:
+            df = self.text.transform(df, self.text_column, "__term_slots", "__term_values")
+            moved = F.transform("__term_slots", lambda s: s + tabular)
+            df = df.withColumns({SLOTS: F.concat(SLOTS, moved), VALUES: F.concat(VALUES, "__term_values")}).drop("__term_slots", "__term_values")
+        return df
+
     @property
     def size(self) -> int:
         return len(self.slots)
@@ -146,19 +160,12 @@ def fit_encoder(
     if roles.text:
         column = roles.text[0]
         text = fit_tfidf(train, column, max_terms=max_terms, min_df=min_df)
-        inputs.append("__text_vector")
         slots += [f"{column}:{term}" for term in text.terms]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"))
+    if inputs:
+        stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"))
     return Encoder(PipelineModel(stages), text, column, slots)
 
 
-def target_spread(df: DataFrame, sample: bool) -> tuple[int, float]:
-    """Rows and standard deviation of the log target."""
-    std = F.stddev_samp(LOG_TARGET) if sample else F.stddev_pop(LOG_TARGET)
-    row = df.agg(F.count(F.lit(1)).alias("n"), std.alias("s")).first()
-    return row["n"], row["s"] or 0.0
-
-
 def median_baseline(train: DataFrame, test: DataFrame, target: str = TARGET) -> DataFrame:
     """The training median for every test row."""
     median = exact_quantiles(train, F.col(target), {"median": 0.5}).select("median").scalar()

@@ -2,32 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from paddock.functions.stats import exact_quantiles, hash_bucket
-from paddock.models.frame import LOG_TARGET, Encoder, fit_encoder, target_spread, with_log_target
+from paddock.models import moments
+from paddock.models.frame import LOG_TARGET, Encoder, fit_encoder, with_log_target
+from paddock.models.moments import FOLD, SLOTS, VALUES, dot
 from paddock.operators.features import ColumnRoles
 from paddock.operators.gold import TARGET
+from paddock.session import cut_lineage
 
 PREDICTED = "predicted_price_eur"
 # Penalties and thresholds of the price models.
 RIDGE_ALPHA, AUTO_RIDGE_ALPHA, META_ALPHA = 3.0, 1.0, 1.0
-NET_ALPHA, NET_L1_RATIO, NET_MAX_ITER = 5e-05, 0.655, 20000
+NET_ALPHA, NET_L1_RATIO = 5e-05, 0.655
 HIGH_PRICE, ROUTE_AT, MIN_HIGH_ROWS = 250000.0, 0.5, 4
 PREDICTION_FLOOR = 1.0
-LOW_CARDINALITY = 40
-# Every iteration over many text features is a pass over the data: stop once the
-# loss moves by less than this share; the iteration limit is the elastic net's.
-TOLERANCE = 1e-5
-# Beyond this many features the k by k normal equations cost more than passes over the data.
-_NORMAL_LIMIT = 512
+LOW_CARDINALITY, HASH_SLOTS = 40, 256
 
 
 @dataclass(frozen=True)
@@ -35,46 +33,26 @@ class LogModel:
     """An encoder and a linear model of ln(price)."""
 
     encoder: Encoder
-    model: LinearRegressionModel
+    coefficients: np.ndarray
+    intercept: float
 
     def predict(self, df: DataFrame, out: str = PREDICTED) -> DataFrame:
-        scored = self.model.setPredictionCol("__log_prediction").transform(self.encoder.transform(df))
-        return scored.select(*df.columns, F.exp("__log_prediction").alias(out))
+        price = F.exp(dot(self.coefficients) + F.lit(self.intercept))
+        return self.encoder.rows(df).withColumn(out, price).select(*df.columns, out)
 
 
-def _solver(encoder: Encoder) -> str:
-    return "normal" if encoder.size <= _NORMAL_LIMIT else "l-bfgs"
-
-
-def ridge_regression(n: int, std: float, alpha: float, solver: str, max_iter: int = NET_MAX_ITER) -> LinearRegression:
-    """MLlib ridge with sum-of-squares penalty ``alpha``.
-
-    MLlib divides the loss by n and scales the penalty by the label deviation.
-    """
-    return LinearRegression(
-        labelCol=LOG_TARGET, solver=solver, elasticNetParam=0.0, standardization=False, regParam=alpha * std / n,
-        maxIter=max_iter, tol=TOLERANCE,
-    )
-
-
-def elastic_net(std: float, alpha: float, l1_ratio: float, max_iter: int) -> LinearRegression:
-    """MLlib elastic net with penalty alpha·(l1_ratio·|w| + (1 - l1_ratio)/2·w²)."""
-    l1, l2 = alpha * l1_ratio, alpha * (1.0 - l1_ratio) * std
-    total = l1 + l2
-    return LinearRegression(
-        labelCol=LOG_TARGET, solver="l-bfgs", standardization=False, regParam=total,
-        elasticNetParam=l1 / total if total else 0.0, maxIter=max_iter, tol=TOLERANCE,
-    )
+def encoded(encoder: Encoder, df: DataFrame, *more: Column) -> DataFrame:
+    """Sparse rows with their log target, written once."""
+    return cut_lineage(encoder.rows(with_log_target(df)).select(SLOTS, VALUES, LOG_TARGET, *more))
 
 
 def fit_ridge(
     train: DataFrame, roles: ColumnRoles, alpha: float = RIDGE_ALPHA, max_terms: int = 5000, min_df: int = 1, center: bool = True
 ) -> LogModel:
+    """Ridge with sum-of-squares penalty ``alpha``, from the product sums of the encoded rows."""
     encoder = fit_encoder(train, roles.for_linear(), center=center, max_terms=max_terms, min_df=min_df)
-    data = encoder.transform(with_log_target(train))
-    solver = _solver(encoder)
-    n, std = target_spread(data, sample=solver == "l-bfgs")
-    return LogModel(encoder, ridge_regression(n, std, alpha, solver).fit(data))
+    (sums,) = moments.moments(encoded(encoder, train), encoder.size, LOG_TARGET)
+    return LogModel(encoder, *moments.ridge(sums, alpha))
 
 
 def fit_elastic_net(
@@ -82,14 +60,13 @@ def fit_elastic_net(
     roles: ColumnRoles,
     alpha: float = NET_ALPHA,
     l1_ratio: float = NET_L1_RATIO,
-    max_iter: int = NET_MAX_ITER,
     max_terms: int = 5000,
     min_df: int = 1,
 ) -> LogModel:
+    """Elastic net at its optimum, from the product sums of the encoded rows."""
     encoder = fit_encoder(train, roles.for_linear(), max_terms=max_terms, min_df=min_df)
-    data = encoder.transform(with_log_target(train))
-    _, std = target_spread(data, sample=True)
-    return LogModel(encoder, elastic_net(std, alpha, l1_ratio, max_iter).fit(data))
+    (sums,) = moments.moments(encoded(encoder, train), encoder.size, LOG_TARGET)
+    return LogModel(encoder, *moments.NetPath(sums).fit(alpha, l1_ratio))
 
 
 @dataclass(frozen=True)
@@ -98,17 +75,20 @@ class AutoRidge:
 
     encoder: Encoder
     hashed: tuple[str, ...]
-    model: LinearRegressionModel
-
-    def encode(self, df: DataFrame) -> DataFrame:
-        return _hash_grams(self.encoder.transform(df), self.hashed)
+    coefficients: np.ndarray
+    intercept: float
 
     def predict(self, df: DataFrame, out: str = PREDICTED) -> DataFrame:
-        scored = self.model.setPredictionCol("__log_prediction").transform(self.encode(df))
-        return scored.select(*df.columns, F.exp("__log_prediction").alias(out))
+        price = F.exp(dot(self.coefficients) + F.lit(self.intercept))
+        return _hashed_rows(self.encoder, self.hashed, df).withColumn(out, price).select(*df.columns, out)
 
 
-def _hash_grams(df: DataFrame, columns: tuple[str, ...], size: int = 256) -> DataFrame:
+def _hashed_rows(encoder: Encoder, hashed: tuple[str, ...], df: DataFrame) -> DataFrame:
+    slots, values = moments.unpacked(F.col("auto_features"))
+    return _hash_grams(encoder.transform(df), hashed).withColumns({SLOTS: slots, VALUES: values})
+
+
+def _hash_grams(df: DataFrame, columns: tuple[str, ...], size: int = HASH_SLOTS) -> DataFrame:
     """Character 3-grams of high-cardinality text, hashed into ``size`` slots each."""
     inputs = ["features"]
     for i, c in enumerate(columns):
@@ -127,10 +107,9 @@ def fit_auto_ridge(train: DataFrame, roles: ColumnRoles, alpha: float = AUTO_RID
     ).first() if roles.categorical else ()
     many = tuple(c for c, n in zip(roles.categorical, counts) if n >= LOW_CARDINALITY)
     encoder = fit_encoder(train, roles.without(*many), center=False, scale=False)
-    data = _hash_grams(encoder.transform(with_log_target(train)), many)
-    n, std = target_spread(data, sample=False)
-    model = ridge_regression(n, std, alpha, "normal").setFeaturesCol("auto_features").fit(data)
-    return AutoRidge(encoder, many, model)
+    rows = cut_lineage(_hashed_rows(encoder, many, with_log_target(train)).select(SLOTS, VALUES, LOG_TARGET))
+    (sums,) = moments.moments(rows, encoder.size + HASH_SLOTS * len(many), LOG_TARGET)
+    return AutoRidge(encoder, many, *moments.ridge(sums, alpha))
 
 
 @dataclass(frozen=True)
@@ -218,16 +197,12 @@ class Blend:
         return geo_mean_blend(both, "__ridge", "__net", out).drop("__ridge", "__net")
 
 
-def out_of_fold(
-    train: DataFrame, fit: Callable[[DataFrame], LogModel], out: str, key: str = "URL", folds: int = 5, seed: int = 42
-) -> DataFrame:
-    """Prediction for every row by a model fitted without the row's key-hash fold."""
-    fold = hash_bucket(F.col(key), seed, folds)
-    result = None
-    for i in range(folds):
-        part = fit(train.where(fold != i)).predict(train.where(fold == i), out)
-        result = part if result is None else result.unionByName(part)
-    return result
+def by_fold(expressions: list[Column]) -> Column:
+    """The expression of the row's fold; the others are not computed."""
+    out = F.when(F.col(FOLD) == 0, expressions[0])
+    for i, e in enumerate(expressions[1:], 1):
+        out = out.when(F.col(FOLD) == i, e)
+    return out
 
 
 def fit_stacked(
@@ -238,26 +213,31 @@ def fit_stacked(
     max_terms: int = 5000,
     min_df: int = 1,
     report_meta: bool = True,
-    max_iter: int = NET_MAX_ITER,
+    seed: int = 42,
 ) -> Blend:
-    """Both base models on all rows; with ``report_meta`` also the meta model over out-of-fold predictions."""
-
-    def ridge(df: DataFrame) -> LogModel:
-        return fit_ridge(df, roles, max_terms=max_terms, min_df=min_df)
+    """Both base models on all rows; with ``report_meta`` also the meta model over out-of-fold predictions.
 
-    def net(df: DataFrame) -> LogModel:
-        return fit_elastic_net(df, roles, max_iter=max_iter, max_terms=max_terms, min_df=min_df)
-
-    meta = None
-    if report_meta:
-        both = out_of_fold(train, ridge, "__ridge", key, folds).select(key, TARGET, "__ridge").join(
-            out_of_fold(train, net, "__net", key, folds).select(key, "__net"), key
-        )
-        logs = with_log_target(both).select(
-            LOG_TARGET, F.ln(floored("__ridge")).alias("a"), F.ln(floored("__net")).alias("b")
-        )
-        data = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(logs)
-        n, std = target_spread(data, sample=False)
-        fitted = ridge_regression(n, std, META_ALPHA, "normal").fit(data)
-        meta = (*map(float, fitted.coefficients), float(fitted.intercept))
-    return Blend(ridge(train), net(train), meta)
+    Product sums by key-hash fold serve all fits: a fold's models come from the total without the fold. The
+    encoding is learned once, from all training rows.
+    """
+    encoder = fit_encoder(train, roles.for_linear(), max_terms=max_terms, min_df=min_df)
+    fold = hash_bucket(F.col(key), seed, folds).cast("int").alias(FOLD)
+    rows = encoded(encoder, train, fold)
+    parts = moments.moments(rows, encoder.size, LOG_TARGET, folds if report_meta else 1)
+    total = reduce(moments.Moments.__add__, parts)
+    net = moments.NetPath(total)
+    models = [LogModel(encoder, *fit) for fit in (moments.ridge(total, RIDGE_ALPHA), net.fit(NET_ALPHA, NET_L1_RATIO))]
+    if not report_meta:
+        return Blend(*models, None)
+    outside = []
+    for part in parts:
+        path = moments.NetPath(total - part)
+        path.weights, path.limit = net.weights.copy(), NET_ALPHA * NET_L1_RATIO  # from the whole fit on
+        outside.append((moments.ridge(total - part, RIDGE_ALPHA), path.fit(NET_ALPHA, NET_L1_RATIO)))
+    logs = [by_fold([dot(pair[i][0]) + F.lit(pair[i][1]) for pair in outside]) for i in (0, 1)]
+    prices = rows.select(LOG_TARGET, F.exp(logs[0]).alias("__ridge"), F.exp(logs[1]).alias("__net"))
+    both = prices.select(
+        LOG_TARGET, F.array(F.lit(0), F.lit(1)).alias(SLOTS), F.array(F.ln(floored("__ridge")), F.ln(floored("__net"))).alias(VALUES)
+    )
+    weights, intercept = moments.ridge(moments.moments(both, 2, LOG_TARGET)[0], META_ALPHA)
+    return Blend(*models, (*map(float, weights), float(intercept)))

@@ -5,10 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer
-from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
+from pyspark.ml.feature import CountVectorizerModel, NGram
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from paddock.models.moments import unpacked
+from paddock.session import cut_lineage
+
 # Tokens are runs of two or more letters, digits or underscores.
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 MAX_TERMS, MIN_DF = 5000, 3
@@ -25,12 +27,22 @@ def with_terms(df: DataFrame, text: str, out: str = "__terms") -> DataFrame:
     return pairs.withColumn(out, F.concat("__words", "__pairs")).drop("__words", "__pairs")
 
 
+def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, term, tf): how often each term stands in a row."""
+    return with_terms(df.select(key, text), text).select(key, F.explode("__terms").alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def most_frequent(counts: DataFrame, max_terms: int, min_df: int) -> DataFrame:
+    """(term, df, total) of counts by row and term: the most frequent terms of the corpus, term order deciding ties."""
+    totals = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
+    return totals.where(F.col("df") >= min_df).orderBy(F.col("total").desc(), "term").limit(max_terms)
+
+
 def vocabulary(df: DataFrame, text: str, max_terms: int = MAX_TERMS, min_df: int = MIN_DF) -> DataFrame:
     """(term, df, total): the most frequent terms of the corpus, term order deciding ties.
 
-    Every term goes out once per occurrence and once more per row, so one shuffle
-    by term, summed on the map side first, gives both frequencies. At most
-    ``max_terms`` rows, whatever the corpus holds.
+    Every term goes out once per occurrence and once more per row, so one shuffle by term, summed on the map side
+    first, gives both frequencies. At most ``max_terms`` rows, whatever the corpus holds.
     """
     once = F.transform(F.array_distinct("__terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("df"), F.lit(0).alias("tf")))
     each = F.transform("__terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("df"), F.lit(1).alias("tf")))
@@ -48,45 +60,37 @@ def tfidf_weights(
 ) -> DataFrame:
     """(key, term, weight): (1 + ln tf) times smoothed idf, unit length per row of ``df``.
 
-    Terms outside the vocabulary are dropped by a broadcast join before anything
-    is counted or shuffled.
+    The text is cut into terms once; counts by row and term are written and read for the vocabulary and the weights.
+    The vocabulary, at most ``max_terms`` rows, is broadcast.
     """
-    terms = vocabulary(df, text, max_terms, min_df).select("term", "df")
+    counts = cut_lineage(term_counts(df, key, text))
+    terms = most_frequent(counts, max_terms, min_df).select("term", "df")
     n = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    counts = (
-        with_terms(df.select(key, text), text)
-        .select(key, F.explode("__terms").alias("term"))
-        .join(F.broadcast(terms), "term")
-        .groupBy(key, "term", "df")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
     idf = F.ln((1 + n) / (1 + F.col("df"))) + 1.0
-    weighted = counts.withColumn("__w", (1.0 + F.ln("tf")) * idf)
+    weighted = counts.join(F.broadcast(terms), "term").withColumn("__w", (1.0 + F.ln("tf")) * idf)
     # at most max_terms rows per key
     length = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(Window.partitionBy(key)))
     return weighted.select(key, "term", (F.col("__w") / length).alias("weight"))
 
 
-def _sublinear(v: SparseVector) -> SparseVector:
-    return Vectors.sparse(v.size, v.indices, 1.0 + np.log(v.values))
-
-
 @dataclass(frozen=True)
 class TfidfModel:
-    """Vocabulary and idf on the driver (at most ``max_terms`` of each); vectors per row."""
+    """Vocabulary and idf on the driver (at most ``max_terms`` of each); sparse weights per row."""
 
     terms: list[str]
     idf: list[float]
 
-    def transform(self, df: DataFrame, text: str, out: str) -> DataFrame:
+    def transform(self, df: DataFrame, text: str, slots: str, values: str) -> DataFrame:
+        """Term numbers, rising, and their weights of unit length as two arrays, by array functions only."""
         if not self.terms:
             raise ValueError("empty vocabulary")
-        spark_counts = CountVectorizerModel.from_vocabulary(self.terms, inputCol="__terms", outputCol="__counts")
-        # the one step MLlib lacks: 1 + ln of each count
-        sublinear = F.udf(_sublinear, VectorUDT())
-        df = spark_counts.transform(with_terms(df, text)).withColumn("__tf", sublinear("__counts"))
-        df = ElementwiseProduct(scalingVec=Vectors.dense(self.idf), inputCol="__tf", outputCol="__w").transform(df)
-        return Normalizer(p=2.0, inputCol="__w", outputCol=out).transform(df).drop("__terms", "__counts", "__tf", "__w")
+        counts = CountVectorizerModel.from_vocabulary(self.terms, inputCol="__terms", outputCol="__counts")
+        ids, times = unpacked(F.col("__counts"))
+        idf = F.split(F.lit(",".join(map(repr, self.idf))), ",").cast("array<double>")
+        raw = F.zip_with(ids, times, lambda i, n: (1.0 + F.ln(n)) * F.get(idf, i))
+        df = counts.transform(with_terms(df, text)).withColumns({slots: ids, "__raw": raw})
+        df = df.withColumn("__length", F.sqrt(F.aggregate("__raw", F.lit(0.0), lambda a, w: a + w * w)))
+        return df.withColumn(values, F.transform("__raw", lambda w: w / F.col("__length"))).drop("__terms", "__counts", "__raw", "__length")
 
 
 def fit_tfidf(df: DataFrame, text: str, max_terms: int = MAX_TERMS, min_df: int = 1) -> TfidfModel:

@@ -449,9 +449,7 @@ def vif_gram(spark, d):
 
 
 def vif(spark, d):
-    """Every column's inflation is at least 1, the uncentred minimum, and finite or marks an exact dependency."""
-    inflation = collinearity.vif(vif_design(spark, d))
-    return inflation.select("feature", (F.col("vif") >= 1 - 1e-6).cast("int").alias("at_least_one"))
+    return rounded(collinearity.vif(vif_design(spark, d)), 4)
 
 
 def corr_matrix(spark, d):

@@ -103,7 +103,7 @@ def priced(spark):
 )
 def test_facts_of_a_fit_are_computed(spark, prediction, usable, fits):
     df = priced(spark)
-    found = model_queries.facts(lambda d: d.withColumn("predicted_price_eur", F.expr(prediction)), df, df).collect()
+    found = model_queries.predictions(lambda d: d.withColumn("predicted_price_eur", F.expr(prediction)), df, df).collect()
     assert {(r["usable"], r["fits_training"]) for r in found} == {(usable, fits)}
 
 
