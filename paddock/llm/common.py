@@ -22,6 +22,16 @@ def fresh(name: str, *frames: DataFrame) -> str:
     return name
 
 
+def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns of these names, in any case, under other names, and these by the name they had."""
+    moved: dict[str, str] = {}
+    for c in df.columns:
+        if c.lower() in {n.lower() for n in names}:
+            moved[c] = fresh(f"own_{c}", df)
+            df = df.withColumnRenamed(c, moved[c])
+    return df, moved
+
+
 def utf8(column: str | Column) -> Column:
     """A text column as UTF-8 bytes, null as no bytes."""
     value = F.col(f"`{column}`") if isinstance(column, str) else column

@@ -9,12 +9,16 @@ Only counts by (source, length) and by (source, length, hash prefix) are gathere
 a length that holds a third of all rows is selected by hash prefixes, 256 at a time. A source's counts by
 length meet in one task; there are as many as it has different lengths.
 
+Very long texts are single documents of many words: where few such are left, the sums that they reach are listed one by one.
 Null texts have size 0 and are never taken. The null source is a source, last in order. Rows that are equal in id
 and text are taken one by one; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paddock.llm.common import fresh, utf8
@@ -24,7 +28,10 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST = 2
 SEED = 20_240_517
-WINDOW = 1 << 16  # words of budget that the dynamic programme fits exactly
+WINDOW = 1 << 16  # units of budget that the dynamic programme keeps as bits
+FEW_SUMS = 1 << 18  # sums of subsets that are kept as a list
+EXCHANGED = 9  # sizes of which one document may be taken in or put back at the end
+RESULTS = ("size", "source_size", "target", "copies")
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -89,19 +96,82 @@ def closest_sum(sizes: list[int], counts: list[int], budget: int) -> list[int]:
     return taken
 
 
+def sparse_sums(items: list[tuple[int, int, int]], most: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """All sums of subsets of (change, at, step) items, rising, and the item that made each first; None beyond ``most`` sums."""
+    sums, maker = np.zeros(1, np.int64), np.full(1, -1)
+    for number, (change, _, _) in enumerate(items):
+        new = np.setdiff1d(sums + change, sums, assume_unique=True)
+        if len(sums) + len(new) > most:
+            return None
+        order = np.argsort(both := np.concatenate([sums, new]), kind="stable")
+        sums, maker = both[order], np.concatenate([maker, np.full(len(new), number)])[order]
+    return sums, maker
+
+
+def nearest(items: list[tuple[int, int, int]], goal: int, most: int) -> list[tuple[int, int, int]] | None:
+    """The items whose changes add up to the sum nearest to ``goal``, the lower of two; None beyond ``most`` sums."""
+    found = sparse_sums(items, most)
+    if found is None:
+        return None
+    sums, maker = found
+    at, chosen = int(np.abs(sums - goal).argmin()), []
+    while maker[at] >= 0:
+        chosen.append(items[maker[at]])
+        at = int(np.searchsorted(sums, sums[at] - items[maker[at]][0]))
+    return chosen
+
+
+def split_counts(sizes: list[int], counts: list[int]) -> list[tuple[int, int, int]]:
+    """(words, which size, how many) by powers of two, so that their subsets give every number up to a count."""
+    items = []
+    for at, (size, count) in enumerate(zip(sizes, counts)):
+        step = 1
+        while count > 0:
+            step = min(step, count)
+            items.append((size * step, at, step))
+            count, step = count - step, step * 2
+    return items
+
+
+def exchange(sizes: list[int], counts: list[int], taken: list[int], rest: int) -> list[int]:
+    """Takes in and puts back documents of up to EXCHANGED sizes so that what is missing gets as small as it can."""
+    chosen = sorted(range(len(sizes)), key=lambda i: abs(sizes[i] - rest))[:EXCHANGED]
+    items = [(sizes[i], i, 1) for i in chosen if taken[i] < counts[i]] + [(-sizes[i], i, -1) for i in chosen if taken[i]]
+    taken = list(taken)
+    for _, at, step in nearest(items, rest, 1 << len(items)) or []:
+        taken[at] += step
+    return taken
+
+
 def fit_budget(sizes: list[int], counts: list[int], budget: int) -> list[int]:
-    """How many documents of each size (ascending, above 0) to take for ``budget`` words."""
+    """How many documents of each size (ascending, above 0) to take for ``budget`` words, a few more or less if no subset has just as many.
+
+    In units of the sizes' common divisor. The sums that subsets reach are kept as bits where the budget is small, as a sorted
+    list where documents are few; both are exact. Where both are too many, sizes give their share of the budget, the
+    dynamic programme closes what is left, and exchanges of single documents what even that leaves; of a budget over half of
+    all words the part left out is fitted so, and what cannot be met is then taken on top.
+    """
+    unit = math.gcd(*sizes) if sizes else 1
+    sizes, (budget, over) = [s // unit for s in sizes], divmod(budget, unit)
+    budget += 2 * over > unit
     total = sum(s * c for s, c in zip(sizes, counts))
     if not budget:
         return [0] * len(sizes)
+    if budget >= total:
+        return list(counts)
+    few = nearest(split_counts(sizes, [min(c, budget // s + 1) for s, c in zip(sizes, counts)]), budget, FEW_SUMS)
+    if few is not None:
+        taken = [0] * len(sizes)
+        for _, at, step in few:
+            taken[at] += step
+        return taken
     if 2 * budget > total:  # what is left out is the smaller part, and easier to fit
-        left_out = fit_budget(sizes, counts, max(0, total - budget))
-        return [c - n for c, n in zip(counts, left_out)]
+        return [c - n for c, n in zip(counts, fit_budget(sizes, counts, total - budget))]
     taken = [c * budget // total for c in counts]
     rest = budget - sum(s * t for s, t in zip(sizes, taken))
     # nearest to their next document first, then large ones, until the programme's window is reached
-    nearest = sorted(range(len(sizes)), key=lambda i: (-(counts[i] * budget % total), sizes[i]))
-    for i in nearest:
+    by_need = sorted(range(len(sizes)), key=lambda i: (-(counts[i] * budget % total), sizes[i]))
+    for i in by_need:
         if rest - sizes[i] >= WINDOW // 2 and taken[i] < counts[i]:
             taken[i] += 1
             rest -= sizes[i]
@@ -116,13 +186,21 @@ def fit_budget(sizes: list[int], counts: list[int], budget: int) -> list[int]:
         extra = closest_sum(sizes, [c - t for c, t in zip(counts, taken)], rest)
         taken = [t + e for t, e in zip(taken, extra)]
     if budget <= WINDOW and sum(s * t for s, t in zip(sizes, taken)) < budget:
-        return closest_sum(sizes, counts, budget)  # few documents: no shares first
+        return closest_sum(sizes, counts, budget)
+    for _ in range(3):
+        rest = budget - sum(s * t for s, t in zip(sizes, taken))
+        if not rest:
+            break
+        taken = exchange(sizes, counts, taken, rest)
     return taken
 
 
 def mix(df: DataFrame, id_column: str, text: str, source: str, seed: int = SEED) -> DataFrame:
-    """``df`` with size, source_size, target and copies (how often the mix takes the row, 0 to MOST)."""
-    df = df.drop("size", "source_size", "target", "copies")
+    """``df`` with size, source_size, target and copies (how often the mix takes the row, 0 to MOST).
+
+    These replace columns of their names; ``common.set_aside`` keeps such columns.
+    """
+    df = df.drop(*RESULTS)
     mark, b1, b2, s, z, p1, p2, extra, whole_name = (fresh(f"mix_{n}", df) for n in ("hash", "b1", "b2", "s", "z", "p1", "p2", "extra", "whole"))
     sized = df.withColumn("size", word_count(text)).withColumn(mark, F.xxhash64(F.lit(seed), f"`{id_column}`", F.xxhash64(utf8(text))))
     sized = sized.withColumns({b: F.shiftrightunsigned(mark, shift).bitwiseAND(F.lit(255)) for b, shift in ((b1, 56), (b2, 48))})

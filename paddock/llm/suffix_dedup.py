@@ -32,7 +32,7 @@ from paddock.session import cut_lineage
 
 LENGTH = 400
 GRAM = 32
-INNER = 128  # grams in the shorter windows
+INNER = 128  # grams in the shorter windows, at most; half of a window's for short ones
 SLICE = 1 << 19  # bytes examined at once
 SHARD = 1 << 20  # bytes of stretches in a shard, on average
 CROWD = 1024  # different stretches of an anchor beyond which it is spread over several shards
@@ -89,6 +89,7 @@ class Slices:
         self.begin = np.cumsum(sizes) - sizes
         self.data = b"".join(p[2] for p in parts)
         self.width = length - GRAM + 1
+        self.inner_width = min(INNER, self.width // 2 + 1)
         self.part = np.repeat(np.arange(len(parts)), sizes)
         self.hashes = gram_hashes(np.frombuffer(self.data, np.uint8))
         self.anchor = smallest(self.hashes, self.width)
@@ -101,9 +102,9 @@ class Slices:
 
     def inner(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Anchors of the shorter windows, and which of these lie in one of ``windows``."""
-        inner = smallest(self.hashes, INNER)
+        inner = smallest(self.hashes, self.inner_width)
         # the last of them begin after the last long window, and lie in it
-        return inner, any_within(np.pad(windows, (0, len(inner) - len(windows))), self.width - INNER, 0)
+        return inner, any_within(np.pad(windows, (0, len(inner) - len(windows))), self.width - self.inner_width, 0)
 
     def remaining(self, struck: np.ndarray, inner_struck: np.ndarray) -> np.ndarray:
         windows = self.outer(struck)
@@ -111,7 +112,7 @@ class Slices:
             return windows
         inner, covered = self.inner(windows)
         bad = covered & member(self.hashes, inner, inner_struck)
-        return windows & ~any_within(bad, 0, self.width - INNER)[: len(windows)]
+        return windows & ~any_within(bad, 0, self.width - self.inner_width)[: len(windows)]
 
 
 def member(hashes: np.ndarray, anchor: np.ndarray, struck: np.ndarray) -> np.ndarray:
@@ -380,8 +381,13 @@ def merge_range(frame):
     return pd.concat(parts, ignore_index=True)
 
 
-def repeats(df: DataFrame, text: str, length: int = LENGTH, shard: int = SHARD, crowd: int = CROWD) -> DataFrame:
-    """(sha, n_removed, n_spans, kept) of every different text that loses bytes; kept: what is left, as bytes."""
+def repeats(df: DataFrame, text: str, length: int = LENGTH, shard: int = SHARD, crowd: int = CROWD, whole: bool = False) -> DataFrame:
+    """(sha, n_removed, n_spans, kept) of every different text that loses bytes; kept: what is left, as bytes.
+
+    With ``whole`` a character that a cut splits is left out of ``kept`` altogether.
+    """
+    if length < 2 * GRAM:
+        raise ValueError(f"length must be at least {2 * GRAM}")
     table = distinct_texts(df, text, length)
     outer = _with(table, cut_lineage(_unique(_anchors(table, length, False), "struck")), "struck")
     both = _with(outer, cut_lineage(_unique(_anchors(outer, length, True), "inner_struck")), "inner_struck")
@@ -423,7 +429,10 @@ def repeats(df: DataFrame, text: str, length: int = LENGTH, shard: int = SHARD,
                     elif b > end:
                         removed += b - end
                         end = at = b
-                rows.append((removed, count, b"".join(kept) + data[at:]))
+                kept.append(data[at:])
+                if whole:
+                    kept = [part.decode("utf-8", "ignore").encode() for part in kept]
+                rows.append((removed, count, b"".join(kept)))
             removed, count, kept = zip(*rows)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(kept, pa.binary())], names=["sha", "n_removed", "n_spans", "kept"]
@@ -433,11 +442,17 @@ def repeats(df: DataFrame, text: str, length: int = LENGTH, shard: int = SHARD,
     return joined.mapInArrow(remove, "sha binary, n_removed long, n_spans long, kept binary")
 
 
-def without_repeats(df: DataFrame, text: str, length: int = LENGTH) -> DataFrame:
-    """``df`` with kept (bytes that are left), n_bytes, n_removed and n_spans of each row's text."""
-    df = df.drop("kept", "n_bytes", "n_removed", "n_spans")
+RESULTS = ("kept", "n_bytes", "n_removed", "n_spans")
+
+
+def without_repeats(df: DataFrame, text: str, length: int = LENGTH, whole: bool = False) -> DataFrame:
+    """``df`` with kept (bytes that are left), n_bytes, n_removed and n_spans of each row's text.
+
+    These replace columns of their names; ``common.set_aside`` keeps such columns.
+    """
+    df = df.drop(*RESULTS)
     mark = fresh("text_sha", df)
-    found = repeats(df, text, length).withColumnRenamed("sha", mark)
+    found = repeats(df, text, length, whole=whole).withColumnRenamed("sha", mark)
     marked = df.withColumn(mark, F.unhex(F.sha2(utf8(text), 256)))
     joined = marked.join(found, mark, "left")
     zero = F.lit(0).cast("long")

@@ -69,9 +69,9 @@ def test_likeness_of_exactly_the_threshold_decides(stages):
 def test_repeats_go(stages):
     before, after = ({r["doc_id"]: r for r in s.collect()} for s in stages[2:4])
     ids = list(before)
-    cut = plain_repeats([before[i]["text"].encode() for i in ids], 400)
+    cut = plain_repeats([before[i]["text"].encode() for i in ids], corpus_pipeline.PASSAGE)
     for i, (_, removed, _, kept) in zip(ids, cut):
-        assert after[i]["text"] == kept.decode("utf-8", "ignore")
+        assert after[i]["text"] == (kept.decode("utf-8", "ignore") if removed else before[i]["text"])
         assert after[i]["n_chars"] == (len(after[i]["text"]) if removed else before[i]["n_chars"])
 
 
@@ -90,10 +90,45 @@ def test_run_writes_and_rereads(stages, spark):
     assert sorted(map(digest, corpus_pipeline.run(spark, FOLDER).collect())) == sorted(map(digest, stages[5].collect()))
 
 
+def run_stages(spark, docs, folder):
+    out = [docs]
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, out[-1], FOLDER).write.parquet(f"{folder}/{i}")
+        out.append(spark.read.parquet(f"{folder}/{i}"))
+    return out
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_odd_rows_pass_every_stage(spark, tmp_path, empty):
-    docs = spark.createDataFrame([] if empty else [r[:5] for r in odd_rows()], SCHEMA)
-    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        stage(spark, docs, FOLDER).write.parquet(f"{tmp_path}/{i}")
-        docs = spark.read.parquet(f"{tmp_path}/{i}")
-    assert docs.count() == 0 if empty else docs.count() > 0
+    """Columns named like the operators' results come through every stage untouched."""
+    rows = [] if empty else [(*r[:5], f"k{i}", i, f"b{i}", -i, 0.5 * i, f"c{i}") for i, r in enumerate(odd_rows())]
+    docs = spark.createDataFrame(rows, SCHEMA + ", KEPT string, Size int, n_bytes string, n_removed int, target double, copies string")
+    *stages, coded = run_stages(spark, docs, tmp_path)
+    assert (coded.count() > 0) is not empty
+    extra = {(r["doc_id"], *r[5:]) for r in docs.collect()}
+    for after in stages:
+        assert after.dtypes == docs.dtypes and {(r["doc_id"], *r[5:]) for r in after.collect()} <= extra
+
+
+def test_genuine_replacement_characters_stay(spark, tmp_path):
+    """A cut that splits a character takes that character; U+FFFD elsewhere in the text stays."""
+    rnd = np.random.default_rng(2)
+    own = lambda: " ".join("".join(rnd.choice(list("abcdefgh"), 6)) for _ in range(20))
+    passage = " ".join("".join(rnd.choice(list("ijklmnop"), 6)) for _ in range(52))
+    # the two texts share the first byte of the character after the passage
+    texts = [f"\ufffd genuine {own()} {passage}é {own()} \ufffd", f"{own()} {passage}è {own()}", own()]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    after = {r["doc_id"]: r for r in corpus_pipeline.cut_repeats(spark, docs, FOLDER).collect()}
+    assert after[0]["text"].startswith("\ufffd genuine ") and after[0]["text"].endswith(" \ufffd") and "é" not in after[0]["text"]
+    assert passage[:100] not in after[0]["text"] and passage[:100] not in after[1]["text"] and after[2]["text"] == texts[2]
+    assert all(after[i]["n_chars"] == len(after[i]["text"]) for i in range(3))
+
+
+def test_passages_of_fifty_words_go_and_shorter_ones_stay(spark):
+    rnd = np.random.default_rng(3)
+    words = lambda n: " ".join("".join(rnd.choice(list("abcdefgh"), rnd.integers(3, 8))) for _ in range(n))
+    long, short = words(52), words(30)
+    texts = [f"{words(60)} {long} {words(60)}", f"{words(60)} {long}", f"{words(60)} {short} {words(9)}", f"{words(5)} {short} {words(60)}"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    after = {r["doc_id"]: r["text"] for r in corpus_pipeline.cut_repeats(spark, docs, FOLDER).collect()}
+    assert long[20:-20] not in after[0] and long[20:-20] not in after[1] and (after[2], after[3]) == (texts[2], texts[3])

@@ -364,3 +364,46 @@ def test_digests_of_the_query(spark):
     texts = [(r["text"] or "").encode() for r in docs]
     expected = {r["doc_id"]: (*p[:3], hashlib.sha256(p[3]).hexdigest()) for r, p in zip(docs, plain_repeats(texts, 400))}
     assert {r["doc_id"]: tuple(r)[1:] for r in queries.op9_suffix_dedup(spark, folder).collect()} == expected
+
+
+@pytest.mark.parametrize("length", [64, 96, 150, 161, 400])
+def test_repeats_of_any_length(spark, length):
+    rnd = random.Random(length)
+    shared = prose(rnd, 150)
+    texts = [prose(rnd, 60) + shared[:n] + prose(rnd, 40) for n in (length - 1, length, length + 40, 500)] + [prose(rnd, 80), "ab" * 300]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in suffix_dedup.without_repeats(df, "text", length).collect()}
+    for i, (_, removed, spans, kept) in enumerate(plain_repeats([t.encode() for t in texts], length)):
+        assert found[i] == (removed, spans, kept)
+
+
+def test_too_short_windows_are_refused(spark):
+    with pytest.raises(ValueError):
+        suffix_dedup.repeats(spark.createDataFrame([("a",)], "text string"), "text", 63)
+
+
+def best_sum(sizes, counts, budget):
+    sums = {0}
+    for size, count in zip(sizes, counts):
+        sums = {s + size * n for s in sums for n in range(count + 1)}
+    return min(sums, key=lambda s: (abs(s - budget), s))
+
+
+def test_budgets_of_few_long_documents():
+    """No size of document or budget switches the programme off."""
+    assert mixing.fit_budget([80_000, 90_000, 110_000, 150_000], [1, 1, 1, 1], 200_000) == [0, 1, 1, 0]
+    rnd = random.Random(1)
+    for _ in range(60):
+        sizes = sorted(rnd.sample(range(60_000, 900_000), rnd.randint(1, 9)))
+        counts = [rnd.randint(1, 3) for _ in sizes]
+        budget = rnd.randint(0, sum(s * c for s, c in zip(sizes, counts)))
+        taken = mixing.fit_budget(sizes, counts, budget)
+        assert all(0 <= t <= c for t, c in zip(taken, counts))
+        assert sum(s * t for s, t in zip(sizes, taken)) == best_sum(sizes, counts, budget)
+    # a common divisor, and far more sums than are listed
+    assert sum(s * t for s, t in zip([10**6, 3 * 10**6], mixing.fit_budget([10**6, 3 * 10**6], [50, 70], 123 * 10**6))) == 123 * 10**6
+    for _ in range(10):
+        sizes = sorted(rnd.sample(range(70_000, 900_000), 60))
+        budget = sum(sizes) // rnd.randint(2, 7)
+        taken = mixing.fit_budget(sizes, [1] * 60, budget)
+        assert set(taken) <= {0, 1} and abs(budget - sum(s * t for s, t in zip(sizes, taken))) < 200
