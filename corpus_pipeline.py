@@ -9,9 +9,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paddock.llm import bpe, mixing, quality_rules, simhash, suffix_dedup
-from paddock.llm.common import scratch
+from paddock.llm.common import scratch, set_aside
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+#: Bytes of a repeated passage: fewer than 50 words of running text have (the shortest seen had 285).
+PASSAGE = 240
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,29 +28,26 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of strings of 400 bytes that start elsewhere too.
+    """Texts without the bytes of strings of PASSAGE bytes that start elsewhere too.
 
-    A character that loses some of its bytes goes altogether; n_chars is counted anew. Rows whose text
-    becomes empty stay, with an empty text; null texts stay null.
+    A character that a cut splits goes altogether; n_chars is counted anew. Rows whose text becomes empty stay, with
+    an empty text; null texts and texts without repeats stay as they are.
     """
-    cut = suffix_dedup.without_repeats(docs, "text")
-    partial = F.try_validate_utf8(F.col("kept").cast("string"))
-    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.coalesce(partial, whole_characters("kept")))
-    cut = cut.withColumn("text", text)
+    own, moved = set_aside(docs, *suffix_dedup.RESULTS)
+    cut = suffix_dedup.without_repeats(own, "text", PASSAGE, whole=True)
+    changed = F.col("n_removed") > 0
+    cut = cut.withColumn("text", F.when(changed, F.col("kept").cast("string")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return cut.select(docs.columns)
-
-
-def whole_characters(column: str):
-    """The text of UTF-8 bytes without the bytes that are no whole character."""
-    return F.replace(F.make_valid_utf8(F.col(column).cast("string")), F.lit("�"), F.lit(""))
+        cut = cut.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return cut.select([F.col(f"`{moved.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes it, none to twice."""
-    mixed = mixing.mix(docs, "doc_id", "text", "source")
-    return mixed.where("copies > 0").withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(docs.columns)
+    own, moved = set_aside(docs, *mixing.RESULTS)
+    mixed = mixing.mix(own, "doc_id", "text", "source").where("copies > 0")
+    taken = mixed.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return taken.select([F.col(f"`{moved.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
