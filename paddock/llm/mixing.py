@@ -30,7 +30,7 @@ MOST = 2
 SEED = 20_240_517
 WINDOW = 1 << 16  # units of budget that the dynamic programme keeps as bits
 FEW_SUMS = 1 << 18  # sums of subsets that are kept as a list
-EXCHANGED = 9  # sizes of which one document may be taken in or put back at the end
+EXCHANGED = 18  # documents that may be taken in or put back at the end, their subsets all tried
 RESULTS = ("size", "source_size", "target", "copies")
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -134,9 +134,10 @@ def split_counts(sizes: list[int], counts: list[int]) -> list[tuple[int, int, in
 
 
 def exchange(sizes: list[int], counts: list[int], taken: list[int], rest: int) -> list[int]:
-    """Takes in and puts back documents of up to EXCHANGED sizes so that what is missing gets as small as it can."""
-    chosen = sorted(range(len(sizes)), key=lambda i: abs(sizes[i] - rest))[:EXCHANGED]
-    items = [(sizes[i], i, 1) for i in chosen if taken[i] < counts[i]] + [(-sizes[i], i, -1) for i in chosen if taken[i]]
+    """Takes in and puts back up to EXCHANGED documents so that what is missing gets as small as it can."""
+    ways = [(i, step) for i in range(len(sizes)) for step in (1, -1) if (taken[i] < counts[i] if step > 0 else taken[i])]
+    ways.sort(key=lambda w: abs(sizes[w[0]] - rest))
+    items = [(step * sizes[i], i, step) for i, step in ways[:EXCHANGED]]
     taken = list(taken)
     for _, at, step in nearest(items, rest, 1 << len(items)) or []:
         taken[at] += step
