@@ -135,9 +135,11 @@ def split_counts(sizes: list[int], counts: list[int]) -> list[tuple[int, int, in
 
 def exchange(sizes: list[int], counts: list[int], taken: list[int], rest: int) -> list[int]:
     """Takes in and puts back up to EXCHANGED documents so that what is missing gets as small as it can."""
-    ways = [(i, step) for i in range(len(sizes)) for step in (1, -1) if (taken[i] < counts[i] if step > 0 else taken[i])]
-    ways.sort(key=lambda w: abs(sizes[w[0]] - rest))
-    items = [(step * sizes[i], i, step) for i, step in ways[:EXCHANGED]]
+    by_size = sorted(range(len(sizes)), key=lambda i: abs(sizes[i] - rest))
+    more = [(sizes[i], i, 1) for i in by_size if taken[i] < counts[i]]
+    less = [(-sizes[i], i, -1) for i in by_size if taken[i]]
+    half = EXCHANGED // 2
+    items = more[: max(half, EXCHANGED - len(less))] + less[: max(half, EXCHANGED - len(more))]
     taken = list(taken)
     for _, at, step in nearest(items, rest, 1 << len(items)) or []:
         taken[at] += step
