@@ -81,18 +81,18 @@ def tune_elastic_net(
 def tune_boosted(
     train: DataFrame, roles: ColumnRoles, trials: int = 25, seed: int = 42, key: str = "URL"
 ) -> list[dict[str, float]]:
-    """Boosting trials by rising EUR error. MLlib has no leaf penalty; minimum leaf rows stand in for it."""
+    """Boosting trials by rising EUR error."""
     fit_rows, valid_rows = holdout(train, key, seed + 1)
     rng, results = random.Random(seed), []
     for _ in range(trials):
         rounds = rng.randint(*TREE_RANGES["rounds"])
         step = _log_uniform(rng, *TREE_RANGES["step"])
         depth = rng.randint(*TREE_RANGES["depth"])
-        leaf = max(1, round(_log_uniform(rng, *TREE_RANGES["l2"])))
-        model = fit_category_boosted(fit_rows, roles, rounds, depth, step, leaf, seed)
+        penalty = _log_uniform(rng, *TREE_RANGES["l2"])
+        model = fit_category_boosted(fit_rows, roles, rounds, depth, step, penalty, seed)
         error = F.avg(F.abs(F.col("__p") - F.col(TARGET)))
         mae = model.predict(valid_rows, "__p").agg(error.alias("mae")).first()["mae"]
-        results.append({"rounds": rounds, "step": step, "depth": depth, "min_rows": leaf, "mae_eur": mae})
+        results.append({"rounds": rounds, "step": step, "depth": depth, "l2": penalty, "mae_eur": mae})
     return sorted(results, key=lambda t: t["mae_eur"])
 
 

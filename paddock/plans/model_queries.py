@@ -6,7 +6,6 @@ queries have no statement; the tests hold them against reference fits. Flags bes
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,9 +18,6 @@ from paddock.plans import fixtures as fx
 from paddock.plans.queries import KEY, Query, gold_table, pick, rounded, silver_table, split_sides
 from paddock.session import cut_lineage
 
-# Rounds of the registered boosters, in which every round is several Spark jobs; the functions default to the full
-# numbers (700 and 1000), which take minutes on any table (README).
-QUERY_ROUNDS, INTERVAL_ROUNDS, INTERVAL_FOLDS = 20, 5, 3
 PREP_COLUMNS = ("Mileage_km", "Year of construction", "owners_known", "price_in_eur")
 ONEHOT_COLUMNS = ("Series", "Transmission", "Drive", "Car location", "Interior color")
 
@@ -117,7 +113,7 @@ def stacked_predictions(spark, d):
 
 def gbt_predictions(spark, d):
     train, test, roles = prepared(spark, d)
-    return predictions(trees.fit_boosted(train, roles, QUERY_ROUNDS).predict, train, test)
+    return predictions(trees.fit_boosted(train, roles).predict, train, test)
 
 
 def gbt_earlystop_predictions(spark, d):
@@ -127,15 +123,16 @@ def gbt_earlystop_predictions(spark, d):
 
 def cat_gbt_predictions(spark, d):
     train, test, roles = prepared(spark, d)
-    return predictions(trees.fit_category_boosted(train, roles, QUERY_ROUNDS).predict, train, test)
+    return predictions(trees.fit_category_boosted(train, roles).predict, train, test)
 
 
 def quantile_interval(spark, d):
     train, test, roles = prepared(spark, d)
-    interval = trees.quantile_interval(train, test, roles, rounds=INTERVAL_ROUNDS, folds=INTERVAL_FOLDS)
+    interval = trees.quantile_interval(train, test, roles)
     low, mid, high = (F.col(c) for c in ("pred_lower", "pred_price", "pred_upper"))
     ordered = (low > 0) & (low <= mid) & (mid <= high) & (low < high) & (high < float("inf"))
-    return interval.select("URL", F.round(TARGET, 4).alias(TARGET), F.coalesce(ordered, F.lit(False)).cast("int").alias("ordered"))
+    prices = [F.round(c, 2).alias(c) for c in (TARGET, "pred_lower", "pred_price", "pred_upper")]
+    return interval.select("URL", *prices, F.coalesce(ordered, F.lit(False)).cast("int").alias("ordered"))
 
 
 def tuned_elasticnet(spark, d):
@@ -160,13 +157,9 @@ def cv_elasticnet(spark, d):
 
 
 def feature_importance(spark, d):
-    """Every column given to the trees, and whether their importances are shares of one."""
+    """Every column given to the trees with its share of all gains."""
     train, _, roles = prepared(spark, d)
-    shares = trees.feature_importance(trees.fit_boosted(train, roles, QUERY_ROUNDS))
-    total = one_row(shares, total=F.sum("importance"))["total"]
-    return shares.select(
-        "feature", F.col("importance").between(0, 1).cast("int").alias("is_share"), (F.abs(total - 1.0) < 1e-9).cast("int").alias("sums_to_one")
-    )
+    return rounded(trees.feature_importance(trees.fit_boosted(train, roles)))
 
 
 def model_queries() -> dict[str, Query]:

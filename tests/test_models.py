@@ -112,7 +112,7 @@ def test_stacked_blend_is_the_geometric_mean(listings):
 
 def test_trees_interval_and_importance(listings):
     train, test = frame.holdout(listings)
-    rows = trees.quantile_interval(train, test, ROLES, rounds=3, folds=2).collect()
+    rows = trees.quantile_interval(train, test, ROLES, rounds=3).collect()
     assert rows and all(0 < r["pred_lower"] <= r["pred_price"] <= r["pred_upper"] for r in rows)
     model = trees.fit_early_stopped(train, ROLES, rounds=4)
     importance = {r["feature"]: r["importance"] for r in trees.feature_importance(model).collect()}
