@@ -25,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from paddock.llm.common import fresh, utf8
 from paddock.session import cut_lineage
@@ -381,6 +381,18 @@ def merge_range(frame):
     return pd.concat(parts, ignore_index=True)
 
 
+def merged_runs(runs: Column, length: int) -> Column:
+    """Runs of window starts in order, those joined whose windows overlap or touch."""
+
+    def add(done: Column, run: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        longer = F.struct(last["first"].alias("first"), F.greatest(last["last"], run["last"]).alias("last"))
+        joined = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))
+        return F.when((F.size(done) > 0) & (run["first"] <= last["last"] + length), joined).otherwise(F.array_append(done, run))
+
+    return F.aggregate(runs, F.array().cast("array<struct<first:bigint,last:bigint>>"), add)
+
+
 def repeats(df: DataFrame, text: str, length: int = LENGTH, shard: int = SHARD, crowd: int = CROWD, whole: bool = False) -> DataFrame:
     """(sha, n_removed, n_spans, kept) of every different text that loses bytes; kept: what is left, as bytes.
 
@@ -409,8 +421,12 @@ def repeats(df: DataFrame, text: str, length: int = LENGTH, shard: int = SHARD,
     inside = found.where("range < 0").select("d1", "d2", "first", "last")
     across = found.where("range >= 0").groupBy("range").applyInPandas(merge_range, "d1 long, d2 long, first long, last long")
     runs = alone.union(inside).union(across)
-    spans = places.join(runs, ["d1", "d2"]).select("t1", "t2", (F.col("start") + F.col("first")).alias("a"), (F.col("start") + F.col("last") + length).alias("b"))
-    spans = spans.groupBy("t1", "t2").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    # one row for each stretch, whose places may be very many; a stretch has no more runs than an anchor has windows
+    joined_runs = runs.groupBy("d1", "d2").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("runs"))
+    joined_runs = joined_runs.withColumn("runs", merged_runs(F.col("runs"), length))
+    moved = F.transform("runs", lambda r: F.struct((F.col("start") + r["first"]).alias("a"), (F.col("start") + r["last"] + length).alias("b")))
+    spans = places.join(joined_runs, ["d1", "d2"]).select("t1", "t2", moved.alias("spans"))
+    spans = spans.groupBy("t1", "t2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
     def remove(batches):
         import pyarrow as pa
