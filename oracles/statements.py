@@ -324,6 +324,15 @@ def _numeric_prep() -> str:
 
 _STATIC = ", ".join(f"('{c}', {r}::double)" for c, r in STATIC_RATES.items())
 
+def _nodes(column: str) -> str:
+    """Every markup of a list as its text nodes: entities read, each stripped, joined."""
+    text = "n"
+    for entity, character in (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        text = f"replace({text}, '{entity}', '{character}')"
+    stripped = f"regexp_replace({text}, '^[\\s\u00a0]+|[\\s\u00a0]+$', '', 'g')"
+    return f"[array_to_string([{stripped} for n in string_split_regex(x, '(?s)<[^>]*>')], '') for x in {column}]"
+
+
 STATEMENTS: dict[str, str] = {
     "src_read_formats": f"with {RAW} select f as format, count(*) as n_rows, sum(ingest_order)::bigint as key_sum, count(Price) as n_prices, sum(length(Description))::bigint as n_chars from raw, (values ('csv'), ('json'), ('parquet')) t(f) group by f",
     "latest_snapshot": f"with {RAW}, s as (select *, strftime(Scraped_At, '%Y%m%d') as run_ts from raw) select {K}, Title, run_ts from s where run_ts = (select max(run_ts) from s)",
@@ -341,6 +350,14 @@ STATEMENTS: dict[str, str] = {
         len(regexp_extract_all(body, '(?is)<p\b[^>]*>')) - len(regexp_extract_all(body, '(?is)<p\b[^>]*class=["''][^"'']*\bsmall\b[^>]*>')) as n_paragraphs,
         len(regexp_extract_all(body, '(?is)<li\b[^>]*>')) as n_items
       from parts""",
+    "pages_sections": rf"""with bodies as (select page_id, regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', '<x>', 'g') as body from pages),
+      parts as (select page_id, regexp_extract(body, '(?is)<article\b[^>]*>(.*?)</article>', 1) as article, regexp_extract(body, '(?is)<nav\b[^>]*>(.*?)</nav>', 1) as nav,
+        regexp_extract(body, '(?is)<footer\b[^>]*>(.*?)</footer>', 1) as footer from bodies),
+      cut as (select page_id, [regexp_replace(x, '(?is)</p>.*', '') for x in string_split_regex(article, '(?i)<p>')[2:]] as paragraphs,
+        [regexp_replace(x, '(?is)</li>.*', '') for x in string_split_regex(nav, '(?i)<li>')[2:]] as items, [footer] as footer from parts),
+      texts as (select page_id, {_nodes('paragraphs')} as paragraphs, {_nodes('items')} as items, {_nodes('footer')} as footer from cut)
+      select page_id, len(paragraphs) as n_paragraphs, md5(array_to_string(paragraphs, chr(10))) as paragraphs_md5, len(items) as n_items,
+        md5(array_to_string(items, chr(10))) as items_md5, md5(footer[1]) as footer_md5 from texts""",
     "new_listing_keys": f"with {CRAWLS} select distinct URL, case when URL in (select URL from prev) then 'existing' else 'new' end as status from nxt",
     "row_hash": f"with {RAW} select {K}, {HASH.format('raw')} as Data_Hash from raw",
     "field_changes": f"with {PAIRS} select o.URL as URL, changes from pairs where o.URL is not null and n.URL is not null",

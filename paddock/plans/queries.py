@@ -27,7 +27,7 @@ from paddock.operators import (
 )
 from paddock.plans import fixtures as fx
 from paddock.session import cut_lineage, work_folder
-from paddock.sources import pages, rates, tables
+from paddock.sources import pages, rates, sections, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,6 +120,33 @@ def pages_extract(spark, d):
     )
 
 
+def pages_sections(spark, d):
+    """Paragraphs of the article, items of the navigation and the footer, as counts and digests of their texts."""
+    found = sections.page_elements(fx.table(spark, d, "pages"), "html", "elements", "texts")
+    elements, texts = F.col("elements"), F.col("texts")
+
+    def items(nav):
+        return F.transform(F.filter(elements, lambda e: (e["tag"] == "li") & sections.inside(e, nav)), lambda e: sections.text_of(e, texts))
+
+    def first(tag):
+        return sections.first_below(elements, (tag, None, None))
+
+    read = found.withColumns({"article": first("article"), "nav": first("nav"), "footer": first("footer")}).select(
+        "page_id",
+        sections.paragraphs_of(elements, texts, F.col("article")).alias("paragraphs"),
+        items(F.col("nav")).alias("items"),
+        sections.text_of(F.col("footer"), texts).alias("footer"),
+    )
+    return read.select(
+        "page_id",
+        F.size("paragraphs").cast("bigint").alias("n_paragraphs"),
+        F.md5(F.array_join("paragraphs", "\n")).alias("paragraphs_md5"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.md5(F.array_join("items", "\n")).alias("items_md5"),
+        F.md5("footer").alias("footer_md5"),
+    )
+
+
 def new_listing_keys(spark, d):
     return upsert.new_listing_keys(fx.listings_next(spark, d), fx.listings_prev(spark, d))
 
@@ -716,7 +743,7 @@ def holdout_split(spark, d):
 def plain_queries() -> dict[str, Query]:
     """Queries without a fitted model."""
     named: Sequence[Query] = (
-        src_read_formats, latest_snapshot, fx_rate_table, pages_extract, new_listing_keys, row_hash,
+        src_read_formats, latest_snapshot, fx_rate_table, pages_extract, pages_sections, new_listing_keys, row_hash,
         field_changes, upsert_listings, upsert_typed, typed_overwrite, change_log, keep_last_by_key,
         refresh_descriptions, card_model_pick, parse_price, parse_price_legacy, dedupe_url,
         drop_shop_links, mileage_extract, mileage_impute, mileage_km, clean_condition, derived_flags,

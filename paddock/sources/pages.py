@@ -15,12 +15,16 @@ _PRICE = r"(?is)class=[\"'][^\"']*\bprice\b[^>]*>.*?<span\b[^>]*class=[\"']p[\"'
 _HIDDEN = r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->"
 
 
-def plain_text(html: Column) -> Column:
-    """Markup removed, common entities decoded, ends stripped."""
-    text = F.regexp_replace(html, r"(?s)<[^>]*>", "")
+def decoded(text: Column) -> Column:
+    """Common entities as characters."""
     for entity, character in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         text = F.replace(text, F.lit(entity), F.lit(character))
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return text
+
+
+def plain_text(html: Column) -> Column:
+    """Markup removed, common entities decoded, ends stripped."""
+    return F.regexp_replace(decoded(F.regexp_replace(html, r"(?s)<[^>]*>", "")), r"(?U)^\s+|\s+$", "")
 
 
 def extract_listings(pages: DataFrame, html: str = "html") -> DataFrame:
