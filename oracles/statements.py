@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from oracles import blocks as b
 from paddock.operators import features, rules
 from paddock.operators.combine import COMPLETENESS_BONUS
@@ -296,6 +298,23 @@ def _bootstrap(seed: int = 42, iterations: int = 2000) -> str:
     means as (select b, avg(v) as mean from draws join samples on pick = position group by b)"""
 
 
+def _bootstrap_rows(seed: int = 42, iterations: int = 2000) -> str:
+    share, limits = 0.0, []
+    for k in range(13):
+        share += math.exp(-1) / math.factorial(k)
+        limits.append(int(2**32 * share))
+    weights = [
+        "case " + " ".join(f"when substr(h, {8 * i + 1}, 8) < '{t:08x}' then {k}" for k, t in enumerate(limits)) + " else 13 end" for i in range(4)
+    ]
+    return f"""with {PRED}, draws as (select model_name, err, g, md5('{seed}|' || g || '|' || listing_key) as h from pred, range({iterations // 4}) r(g)),
+      weights as (select model_name, err, g, {", ".join(f"{w} as w{i}" for i, w in enumerate(weights))} from draws),
+      sums as (select model_name, g, {", ".join(f"sum(w{i} * err) / sum(w{i}) as m{i}" for i in range(4))} from weights group by 1, 2),
+      means as (select model_name, unnest([m0, m1, m2, m3]) as m from sums),
+      bounds as (select model_name, quantile_cont(m, 0.025) as lo, quantile_cont(m, 0.975) as hi from means group by 1)
+      select model_name, round(mean, 3) as mean, round(lo, 3) as ci_low, round(hi, 3) as ci_high
+      from bounds join (select model_name, avg(err) as mean from pred group by 1) using (model_name)"""
+
+
 def _paths() -> str:
     styles = ["C:\\Users\\ann\\x", "D:\\data\\AppData\\Local\\Temp", "\\\\NAS_home/share", "/users/ann", "/home/ann/x"]
     rows = [
@@ -471,6 +490,7 @@ STATEMENTS: dict[str, str] = {
     "bootstrap_ci": f"""with {PRED}, months as (select strftime(o_orderdate, '%Y-%m') as month, round(avg(err), 4) as v from pred group by 1),
       samples as (select v, row_number() over (order by month) - 1 as position from months){_bootstrap()}
       select round(quantile_cont(mean, 0.025), 3) as ci_low, round(quantile_cont(mean, 0.975), 3) as ci_high from means""",
+    "bootstrap_ci_rows": _bootstrap_rows(),
     "paired_ablation": f"with {_ablation(_bootstrap())} select seed, round(with_feature_mae, 3) as with_feature_mae, round(without_feature_mae, 3) as without_feature_mae, round(delta_mae, 3) as delta_mae, (select round(avg(delta_mae), 3) from deltas) as delta_mae_mean, (select round(quantile_cont(mean, 0.025), 3) from means) as ci_low, (select round(quantile_cont(mean, 0.975), 3) from means) as ci_high from deltas",
     "category_stats": f"""with {SILVER}, {b.flagged('silver')}, s as (select *, {b.category('Model')} as model_category, {b.SCORE} as listing_score from flagged where price_in_eur is not null)
       select model_category, count(*) as n, round(avg(price_in_eur), 2) as price_mean, round(median(price_in_eur), 2) as price_median, round(stddev_samp(price_in_eur), 2) as price_std,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -203,6 +205,62 @@ def bootstrap_mean_ci(
     return exact_quantiles(means, F.col("mean"), {"ci_low": alpha / 2, "ci_high": 1 - alpha / 2})
 
 
+# Shares of a Poisson(1) weight of at most 0, 1, ... as 8 hex digits, which order like their numbers; beyond 12 the share is one.
+POISSON_LIMITS = [f"{math.floor(2**32 * p):08x}" for p in accumulate(math.exp(-1) / math.factorial(k) for k in range(13))]
+PER_DIGEST = 4
+
+
+def _poisson(hashed: Column) -> Column:
+    """Weight of mean and variance one from 8 hex digits of a hash."""
+    out = F.when(hashed < POISSON_LIMITS[0], F.lit(0))
+    for k, limit in enumerate(POISSON_LIMITS[1:], 1):
+        out = out.when(hashed < limit, F.lit(k))
+    return out.otherwise(F.lit(len(POISSON_LIMITS)))
+
+
+def bootstrap_mean_ci_rows(
+    df: DataFrame, value: str, key: Sequence[str], by: Sequence[str] = (), iterations: int = 2000, seed: int = 42, alpha: float = 0.05
+) -> DataFrame:
+    """Mean and its percentile interval per group, for samples of any number of rows.
+
+    In each resample a row counts as often as a Poisson(1) number from the hash of its ``key`` says, which is what
+    drawing with replacement tends to as rows grow; few rows are better drawn by ``bootstrap_mean_ci``. Rows need no
+    numbering and meet no other row: a task adds up all resamples as it reads, and one sum for each task, group and
+    four resamples is shuffled, however many rows there are or a group has. ``key`` tells rows apart; rows of an equal
+    key get equal weights. Rows without a finite value are left out, as are resamples in which no row counts.
+    """
+    _require_rows(df)
+    by, v = list(by), F.col(f"`{value}`").cast("double")
+    names = [F.col(f"`{c}`").alias(f"__g{i}") for i, c in enumerate(by)]
+    text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in key])
+    rows = df.select(*names, v.alias("__v"), text.alias("__key")).where(v.isNotNull() & (F.abs(v) < float("inf")))
+    groups = [f"__g{i}" for i in range(len(by))]
+    digests = rows.select(*groups, "__v", "__key", F.explode(F.sequence(F.lit(0), F.lit((iterations - 1) // PER_DIGEST))).alias("__d"))
+    digests = digests.withColumn("__md5", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("__d").cast("string"), "__key")))
+    weights = [_poisson(F.substring("__md5", 8 * i + 1, 8)) for i in range(PER_DIGEST)]
+    sums = (
+        digests.select(*groups, "__d", "__v", *[w.alias(f"__w{i}") for i, w in enumerate(weights)])
+        .groupBy(*groups, "__d")
+        .agg(
+            *[F.sum(F.col(f"__w{i}") * F.col("__v")).alias(f"__s{i}") for i in range(PER_DIGEST)],
+            *[F.sum(f"__w{i}").alias(f"__n{i}") for i in range(PER_DIGEST)],
+        )
+    )
+    resamples = F.array(
+        *[
+            F.struct((F.col("__d") * PER_DIGEST + i).alias("b"), F.try_divide(f"__s{i}", f"__n{i}").alias("mean"))
+            for i in range(PER_DIGEST)
+        ]
+    )
+    means = sums.select(*[F.col(g).alias(c) for g, c in zip(groups, by)], F.inline(resamples)).where(F.col("b") < iterations)
+    bounds = exact_quantiles(means, F.col("mean"), {"ci_low": alpha / 2, "ci_high": 1 - alpha / 2}, by)
+    finite = v.isNotNull() & (F.abs(v) < float("inf"))
+    if not by:
+        return df.where(finite).agg(F.avg(v).alias("mean")).select("mean", *[bounds.select(c).scalar().alias(c) for c in ("ci_low", "ci_high")])
+    centre = df.where(finite).groupBy(*by).agg(F.avg(v).alias("mean"))
+    return join_groups(centre, bounds, by)
+
+
 def paired_ablation(scores: DataFrame, iterations: int = 2000, alpha: float = 0.05) -> DataFrame:
     """Error without minus error with a feature per ``seed``, its mean and interval.
 

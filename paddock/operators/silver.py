@@ -146,7 +146,7 @@ def price_in_eur(df: DataFrame, rates: DataFrame) -> DataFrame:
     static = static_rates(df.sparkSession).withColumnRenamed("rate", "__static")
     table = (
         bounded_rates(rates)
-        .join(F.broadcast(static), "currency", "full")
+        .join(static, "currency", "full")
         .select("currency", F.coalesce("rate", "__static").alias("__rate"))
     )
     is_eur = F.col("currency") == "EUR"

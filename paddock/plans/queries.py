@@ -548,6 +548,12 @@ def bootstrap_ci(spark, d):
     return rounded(evaluation.bootstrap_mean_ci(samples, "mae", "position"), 3)
 
 
+def bootstrap_ci_rows(spark, d):
+    error = F.abs(F.col("actual_price_eur") - F.col("predicted_price_eur"))
+    errors = fx.predictions(spark, d).select("listing_key", "model_name", error.alias("error"))
+    return rounded(evaluation.bootstrap_mean_ci_rows(errors, "error", ["listing_key"], ["model_name"]), 3)
+
+
 def paired_ablation(spark, d):
     k = F.col("listing_key")
     error = F.abs(F.col("actual_price_eur") - F.col("predicted_price_eur"))
@@ -755,7 +761,7 @@ def plain_queries() -> dict[str, Query]:
         predictions_long, select_columns, feature_frame, feature_screen, linear_columns,
         aligned_dummies, vif_gram, vif, corr_matrix, regression_metrics, segment_metrics, residuals,
         rmse_r2, interval_coverage, residual_summary, watchlist, bargains, residual_outliers,
-        bootstrap_ci, paired_ablation, category_stats, market_summary, model_comparison,
+        bootstrap_ci, bootstrap_ci_rows, paired_ablation, category_stats, market_summary, model_comparison,
         outlier_count, histogram, leaderboard, sigma_interval, registry_append, latest_run,
         run_history, best_run_summary, best_run_skips, run_fallback, dash_frame, dash_facets,
         dash_filter, dash_table, price_timeline, model_summary, row_at_offset, path_leak_scan,

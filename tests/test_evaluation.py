@@ -29,6 +29,31 @@ def test_bootstrap_of_a_constant_is_degenerate(spark):
         evaluation.bootstrap_mean_ci(df.limit(0), "v", "position")
 
 
+def test_weights_by_row_give_the_interval_of_drawn_rows(spark):
+    """Both forms near the normal interval of the mean; a hot group, nulls and a lone row included."""
+    values = np.random.default_rng(3).gamma(2.0, 50.0, 1500)
+    df = spark.createDataFrame([(i, float(v), "a") for i, v in enumerate(values)], "position int, v double, g string")
+    drawn = evaluation.bootstrap_mean_ci(df, "v", "position").first()
+    more = spark.createDataFrame([(1, 7.0, "b"), (2, None, "b"), (3, float("nan"), "b"), (4, 2.0, None), (5, None, "c")], df.schema)
+    rows = {r["g"]: r for r in evaluation.bootstrap_mean_ci_rows(df.unionAll(more), "v", ["position"], ["g"]).collect()}
+    width = 2 * 1.96 * values.std() / np.sqrt(len(values))
+    for bound, at in (("ci_low", -0.5), ("ci_high", 0.5)):
+        assert abs(rows["a"][bound] - drawn[bound]) < 0.06 * width
+        assert abs(rows["a"][bound] - (values.mean() + at * width)) < 0.06 * width
+    assert rows["a"]["mean"] == pytest.approx(values.mean())
+    assert {g: (r["mean"], r["ci_low"], r["ci_high"]) for g, r in rows.items() if g != "a"} == {"b": (7.0, 7.0, 7.0), None: (2.0, 2.0, 2.0)}
+    whole = evaluation.bootstrap_mean_ci_rows(df, "v", ["position"]).first()
+    assert (whole["ci_low"], whole["ci_high"]) == (rows["a"]["ci_low"], rows["a"]["ci_high"])
+    with pytest.raises(ValueError):
+        evaluation.bootstrap_mean_ci_rows(df.limit(0), "v", ["position"])
+
+
+def test_weights_by_row_shuffle_sums_only(spark):
+    df = spark.range(100).selectExpr("id", "id * 1.0 as v")
+    plan = evaluation.bootstrap_mean_ci_rows(df, "v", ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "partial_sum" in plan and "SortMergeJoin" not in plan
+
+
 def test_histogram_counts_every_value(spark):
     values = [float(v) for v in np.linspace(0, 10, 101)]
     df = spark.createDataFrame([(v, 1.0) for v in values], "a double, b double")
