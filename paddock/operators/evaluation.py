@@ -225,8 +225,8 @@ def bootstrap_mean_ci_rows(
 
     In each resample a row counts as often as a Poisson(1) number from the hash of its ``key`` says, which is what
     drawing with replacement tends to as rows grow; few rows are better drawn by ``bootstrap_mean_ci``. Rows need no
-    numbering and meet no other row: a task adds up all resamples as it reads, and one sum for each task, group and
-    four resamples is shuffled, however many rows there are or a group has. ``key`` tells rows apart; rows of an equal
+    numbering: they are added up by key and group, then a task adds up all resamples of its keys, and one sum for each
+    task, group and four resamples is shuffled, however many rows there are or a group has. ``key`` tells rows apart; rows of an equal
     key get equal weights. Rows without a finite value are left out, as are resamples in which no row counts.
     """
     _require_rows(df)
@@ -235,15 +235,22 @@ def bootstrap_mean_ci_rows(
     text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in key])
     rows = df.select(*names, v.alias("__v"), text.alias("__key")).where(v.isNotNull() & (F.abs(v) < float("inf")))
     groups = [f"__g{i}" for i in range(len(by))]
-    digests = rows.select(*groups, "__v", "__key", F.explode(F.sequence(F.lit(0), F.lit((iterations - 1) // PER_DIGEST))).alias("__d"))
-    digests = digests.withColumn("__md5", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("__d").cast("string"), "__key")))
-    weights = [_poisson(F.substring("__md5", 8 * i + 1, 8)) for i in range(PER_DIGEST)]
+    # an equal key is digested once, for all its rows and groups; as groups of a shuffle, keys are spread over all tasks however few files hold them
+    held = F.struct(*groups, F.col("__v"), F.col("__n"))
+    keys = (
+        rows.groupBy("__key", *groups).agg(F.sum("__v").alias("__v"), F.count(F.lit(1)).alias("__n"))
+        .groupBy("__key").agg(F.collect_list(held).alias("__held"))
+    )
+    digests = keys.select("__key", "__held", F.explode(F.sequence(F.lit(0), F.lit((iterations - 1) // PER_DIGEST))).alias("__d"))
+    digests = digests.select("__held", "__d", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("__d").cast("string"), "__key")).alias("__md5"))
+    digests = digests.select("__held", "__d", *[F.substring("__md5", 8 * i + 1, 8).alias(f"__h{i}") for i in range(PER_DIGEST)])
+    weights = digests.select("__held", "__d", *[_poisson(F.col(f"__h{i}")).alias(f"__w{i}") for i in range(PER_DIGEST)])
     sums = (
-        digests.select(*groups, "__d", "__v", *[w.alias(f"__w{i}") for i, w in enumerate(weights)])
+        weights.select(F.inline("__held"), "__d", *[f"__w{i}" for i in range(PER_DIGEST)])
         .groupBy(*groups, "__d")
         .agg(
             *[F.sum(F.col(f"__w{i}") * F.col("__v")).alias(f"__s{i}") for i in range(PER_DIGEST)],
-            *[F.sum(f"__w{i}").alias(f"__n{i}") for i in range(PER_DIGEST)],
+            *[F.sum(F.col(f"__w{i}") * F.col("__n")).alias(f"__n{i}") for i in range(PER_DIGEST)],
         )
     )
     resamples = F.array(

@@ -1,3 +1,6 @@
+import hashlib
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -54,6 +57,25 @@ def test_weights_by_row_shuffle_sums_only(spark):
     assert "Python" not in plan and "partial_sum" in plan and "SortMergeJoin" not in plan
 
 
+def test_weights_by_row_digest_a_key_once_for_all_groups_and_files(spark):
+    """Keys that repeat, within a group and over groups, or are null; one file may hold all rows."""
+    rows = [(i % 40 if i % 7 else None, "ab"[i % 2], float(i)) for i in range(120)]
+    df = spark.createDataFrame(rows, "k int, g string, v double").coalesce(1)
+    found = evaluation.bootstrap_mean_ci_rows(df, "v", ["k"], ["g"], iterations=40)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" in plan[plan.rindex("Generate explode") :]  # keys are dealt before they are digested
+    shares = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(13)])
+
+    def weight(k, b):
+        digest = hashlib.md5(f"42|{b // 4}|{'' if k is None else k}".encode()).hexdigest()
+        return int(np.searchsorted(np.floor(2**32 * shares), int(digest[8 * (b % 4) : 8 * (b % 4) + 8], 16), "right"))
+
+    for r in found.collect():
+        own = [(k, v) for k, g, v in rows if g == r["g"]]
+        means = [sum(weight(k, b) * v for k, v in own) / sum(weight(k, b) for k, _ in own) for b in range(40)]
+        assert (r["ci_low"], r["ci_high"]) == pytest.approx(tuple(np.quantile(means, [0.025, 0.975])))
+
+
 def test_histogram_counts_every_value(spark):
     values = [float(v) for v in np.linspace(0, 10, 101)]
     df = spark.createDataFrame([(v, 1.0) for v in values], "a double, b double")
