@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -223,17 +222,19 @@ def fit_stacked(
     encoder = fit_encoder(train, roles.for_linear(), max_terms=max_terms, min_df=min_df)
     fold = hash_bucket(F.col(key), seed, folds).cast("int").alias(FOLD)
     rows = encoded(encoder, train, fold)
-    parts = moments.moments(rows, encoder.size, LOG_TARGET, folds if report_meta else 1)
-    total = reduce(moments.Moments.__add__, parts)
-    net = moments.NetPath(total)
-    models = [LogModel(encoder, *fit) for fit in (moments.ridge(total, RIDGE_ALPHA), net.fit(NET_ALPHA, NET_L1_RATIO))]
+    written = moments.written_moments(rows, encoder.size, LOG_TARGET, folds if report_meta else 1)
+
+    def fits(sums: moments.Moments, start: np.ndarray | None = None) -> list[tuple[np.ndarray, float]]:
+        fitted, path = moments.ridge(sums, RIDGE_ALPHA), moments.NetPath(sums)
+        if start is not None:
+            path.weights, path.limit = start.copy(), NET_ALPHA * NET_L1_RATIO  # from the whole fit on
+        return [fitted, path.fit(NET_ALPHA, NET_L1_RATIO)]
+
+    whole = fits(written.total())
+    models = [LogModel(encoder, *fit) for fit in whole]
     if not report_meta:
         return Blend(*models, None)
-    outside = []
-    for part in parts:
-        path = moments.NetPath(total - part)
-        path.weights, path.limit = net.weights.copy(), NET_ALPHA * NET_L1_RATIO  # from the whole fit on
-        outside.append((moments.ridge(total - part, RIDGE_ALPHA), path.fit(NET_ALPHA, NET_L1_RATIO)))
+    outside = [fits(written.without(f), whole[1][0]) for f in range(folds)]  # one fold's matrix at a time
     logs = [by_fold([dot(pair[i][0]) + F.lit(pair[i][1]) for pair in outside]) for i in (0, 1)]
     prices = rows.select(LOG_TARGET, F.exp(logs[0]).alias("__ridge"), F.exp(logs[1]).alias("__net"))
     both = prices.select(

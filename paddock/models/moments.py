@@ -25,7 +25,7 @@ from paddock.session import cut_lineage
 
 SLOTS, VALUES, FOLD = "__slots", "__values", "__fold"
 BLOCK_BYTES = 96 << 20
-PAIRS_AT_ONCE = 4_000_000
+PAIRS_AT_ONCE = 1_000_000
 
 
 def unpacked(vector: Column) -> tuple[Column, Column]:
@@ -65,7 +65,9 @@ class Moments:
         k = len(self.sums) - 2
         means = self.sums[:k, k] / self.n
         target = float(self.sums[k + 1, k]) / self.n
-        products = self.sums[:k, :k] - np.outer(means, self.sums[:k, k])
+        products = self.sums[:k, :k].copy()
+        for low in range(0, k, 256):  # no second matrix beside the result
+            products[low : low + 256] -= np.outer(means[low : low + 256], self.sums[:k, k])
         return products, self.sums[:k, k + 1] - means * self.sums[k + 1, k], means, target
 
     def squared_error(self, weights: np.ndarray, intercept: float) -> float:
@@ -75,7 +77,41 @@ class Moments:
         return max(float(full[used] @ self.sums[np.ix_(used, used)] @ full[used]), 0.0)
 
 
+@dataclass(frozen=True)
+class WrittenSums:
+    """Product sums by fold as rows of a checkpoint; the driver holds the matrices that are asked for, no others."""
+
+    rows: DataFrame
+    width: int
+    folds: int
+
+    def of(self, *folds: int) -> Moments:
+        """The sum over the given folds, a fold read at a time."""
+        sums = np.zeros((self.width, self.width))
+        for f in folds:
+            for batch in self.rows.where(F.col("f") == f).toArrow().to_batches():
+                indices, values = batch.column("indices"), batch.column("values")
+                for at, i in enumerate(batch.column("i").to_pylist()):
+                    part, dense = values[at].values.to_numpy(), batch.column("type")[at].as_py() == 1
+                    sums[i, slice(i, None) if dense else i + indices[at].values.to_numpy()] += part
+        for i in range(self.width):
+            sums[i + 1 :, i] = sums[i, i + 1 :]
+        return Moments(sums)
+
+    def total(self) -> Moments:
+        return self.of(*range(self.folds))
+
+    def without(self, fold: int) -> Moments:
+        return self.of(*[f for f in range(self.folds) if f != fold])
+
+
 def moments(rows: DataFrame, size: int, target: str, folds: int = 1) -> list[Moments]:
+    """Product sums by fold, all on the driver."""
+    written = written_moments(rows, size, target, folds)
+    return [written.of(f) for f in range(folds)]
+
+
+def written_moments(rows: DataFrame, size: int, target: str, folds: int = 1) -> WrittenSums:
     """Product sums by fold of rows with SLOTS (rising), VALUES, the target and, with several folds, FOLD.
 
     ``rows`` should be checkpointed: each block of the matrices reads them.
@@ -91,19 +127,7 @@ def moments(rows: DataFrame, size: int, target: str, folds: int = 1) -> list[Mom
     parts = [data.coalesce(tasks).mapInArrow(block_sums(low, min(low + height, width), width, folds), "f int, i int, part array<double>") for low in range(0, width, height)]
     summed = reduce(DataFrame.union, parts).groupBy("f", "i").agg(Summarizer.sum(array_to_vector("part")).alias("part"))
     summed = cut_lineage(summed.select("f", "i", F.unwrap_udt("part").alias("v")).select("f", "i", *[F.col(f"v.{c}").alias(c) for c in ("type", "size", "indices", "values")]))
-    out = []
-    for f in range(folds):
-        sums = np.zeros((width, width))
-        for batch in summed.where(F.col("f") == f).toArrow().to_batches():
-            indices, values = batch.column("indices"), batch.column("values")
-            for at, i in enumerate(batch.column("i").to_pylist()):
-                part = values[at].values.to_numpy()
-                if batch.column("type")[at].as_py() == 1:
-                    sums[i, i:] = part
-                else:
-                    sums[i, i + indices[at].values.to_numpy()] = part
-        out.append(Moments(sums + np.triu(sums, 1).T))
-    return out
+    return WrittenSums(summed, width, folds)
 
 
 def block_sums(low: int, high: int, width: int, folds: int):
@@ -115,24 +139,23 @@ def block_sums(low: int, high: int, width: int, folds: int):
             fold, y = batch.column(0).to_numpy(), batch.column(3).to_numpy()
             counts = np.diff(batch.column(1).offsets.to_numpy())
             ends = np.cumsum(counts)
-            slots = np.insert(batch.column(1).flatten().to_numpy(), np.repeat(ends, 2), np.tile([width - 2, width - 1], len(ends)))
+            slots = np.insert(batch.column(1).flatten().to_numpy(), np.repeat(ends, 2), np.tile([width - 2, width - 1], len(ends))).astype(np.int64)
             values = np.insert(batch.column(2).flatten().to_numpy(), np.repeat(ends, 2), np.column_stack([np.ones(len(y)), y]).ravel())
             counts = counts + 2
-            stop = np.repeat(np.cumsum(counts), counts)
             entries = np.flatnonzero((slots >= low) & (slots < high))
-            times = stop[entries] - entries  # this entry and those to its right in the row
-            row = np.repeat(np.arange(len(counts)), counts)
-            done = np.cumsum(times)
-            cuts = np.searchsorted(done, np.arange(PAIRS_AT_ONCE, (done[-1] if len(done) else 0) + PAIRS_AT_ONCE, PAIRS_AT_ONCE), "right")
-            start = 0
-            for cut in np.unique(np.append(cuts, len(entries))):
-                e, t = entries[start:cut], times[start:cut]
-                if not len(e):
-                    continue
-                pair = np.repeat(e - (np.cumsum(t) - t), t) + np.arange(t.sum())
-                place = (fold[row[e]].astype(np.int64) * (high - low) + slots[e] - low) * width
-                np.add(sums, np.bincount(np.repeat(place, t) + slots[pair], np.repeat(values[e], t) * values[pair], len(sums)), out=sums)
-                start = cut
+            row = np.repeat(np.arange(len(counts)), counts)[entries]
+            times = np.cumsum(counts)[row] - entries  # this entry and those to its right in the row
+            place = (fold[row].astype(np.int64) * (high - low) + slots[entries] - low) * width
+            # entries with as many to their right are a table of pairs
+            order = np.argsort(times, kind="stable")
+            starts = np.flatnonzero(np.diff(times[order], prepend=0))
+            for start, stop in zip(starts, np.append(starts[1:], len(order))):
+                t = int(times[order[start]])
+                step = max(1, PAIRS_AT_ONCE // t)
+                for at in range(start, stop, step):
+                    e = order[at : min(at + step, stop)]
+                    pair = entries[e][:, None] + np.arange(t)
+                    np.add.at(sums, (place[e][:, None] + slots[pair]).ravel(), (values[entries[e]][:, None] * values[pair]).ravel())
         sums = sums.reshape(folds, high - low, width)
         for f, i in zip(*np.nonzero(sums.any(axis=2))):
             part = pa.array([sums[f, i, low + i :]], pa.list_(pa.float64()))
@@ -164,7 +187,8 @@ class NetPath:
 
     def __init__(self, m: Moments):
         products, towards, self.means, self.target = m.centred()
-        self.products, self.towards = products / m.n, towards / m.n
+        products /= m.n
+        self.products, self.towards = products, towards / m.n
         self.weights = np.zeros(len(towards))
         self.limit = float(np.abs(self.towards).max(initial=0))
 

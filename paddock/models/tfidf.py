@@ -90,7 +90,9 @@ class TfidfModel:
         raw = F.zip_with(ids, times, lambda i, n: (1.0 + F.ln(n)) * F.get(idf, i))
         df = counts.transform(with_terms(df, text)).withColumns({slots: ids, "__raw": raw})
         df = df.withColumn("__length", F.sqrt(F.aggregate("__raw", F.lit(0.0), lambda a, w: a + w * w)))
-        return df.withColumn(values, F.transform("__raw", lambda w: w / F.col("__length"))).drop("__terms", "__counts", "__raw", "__length")
+        # as an argument the length is computed once a row; the optimizer would draw it into the function of a transform, once a term
+        lengths = F.array_repeat("__length", F.size("__raw"))
+        return df.withColumn(values, F.zip_with("__raw", lengths, lambda w, n: w / n)).drop("__terms", "__counts", "__raw", "__length")
 
 
 def fit_tfidf(df: DataFrame, text: str, max_terms: int = MAX_TERMS, min_df: int = 1) -> TfidfModel:
