@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from paddock.functions.text import flags_of
+from paddock.functions.text import flags_of, hint_sql
 from paddock.operators import gold, legacy, rules
 from paddock.plans import fixtures as fx
 
@@ -107,3 +107,14 @@ def test_legacy_quirks_are_kept(spark):
     row = legacy.model_category_legacy(legacy.text_flags_legacy(df)).first()
     assert row["legacy_has_docs"] == 1
     assert row["legacy_category"] == "Base Carrera / Targa / 912"
+
+
+def test_hints_pass_over_words_that_are_not_enough(spark):
+    """Common words alone run no regex; counts with any blanks or digits, and the two odd letters, still set their flags."""
+    common = spark.createDataFrame([("only one of the number of bodies to start, run by no edition, unique",)], "t string")
+    for name in ("is_rare", "limited_production", "body_only", "not_ready_to_drive_text"):
+        assert not common.where(" or ".join(hint_sql("t", h) for h in rules.FLAG_HINTS[name])).count(), name
+    texts = ["only\t30  built", "number 3\u00a0of\u20034", "only \u0663 built", "\u017fhell only", "rolling proje\u0441t", "doesn't\tstart", "pa\u0131nt to sample"]
+    patterns = flags_of(F.col("t"), rules.TEXT_FLAGS)
+    plain = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", *[c.alias(n) for n, c in patterns.items()])
+    assert flags(spark, texts) == [{n for n in rules.TEXT_FLAGS if r[n]} for r in plain.orderBy("i").collect()]
