@@ -1,3 +1,6 @@
+import re
+import weakref
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -242,3 +245,36 @@ def test_ablation_pairs(listings):
     gold = listings.withColumn("price_inflation_factor", F.lit(1.0)).drop("listing_text")
     rows = benchmark.ablation_scores(gold, seeds=(1, 2)).collect()
     assert len(rows) == 4 and {r["seed"] for r in rows} == {1, 2}
+
+
+def test_text_length_is_computed_once_a_row(listings):
+    """Not within the function that divides each term by it: that took time with the square of a row's terms."""
+    model = tfidf.fit_tfidf(listings, "listing_text")
+    plan = model.transform(listings, "listing_text", "s", "v").select("v")._jdf.queryExecution().optimizedPlan().toString()
+    divisor = re.search(r"lambdafunction\(\(lambda \w+#\d+ / (\w+)", plan)
+    assert divisor and divisor[1] == "lambda"  # of the function's own argument
+
+
+def test_stacked_fit_holds_one_matrix_at_a_time(listings, monkeypatch):
+    """The sums without a fold are those of the other folds, and no two folds' matrices are on the driver at once."""
+    most, alive = [0], weakref.WeakSet()
+    made = moments.WrittenSums.of
+
+    class Held(np.ndarray):
+        __hash__ = object.__hash__
+
+    def counted(self, *folds):
+        found = made(self, *folds).sums.view(Held)
+        alive.add(found)
+        most[0] = max(most[0], sum(a.base is not None and len(a) > 4 for a in alive))
+        return moments.Moments(found)
+
+    monkeypatch.setattr(moments.WrittenSums, "of", counted)
+    roles = ColumnRoles(TARGET, ROLES.numeric, ROLES.categorical, ("listing_text",))
+    linear.fit_stacked(listings, roles, folds=3)
+    assert most[0] == 1
+    monkeypatch.undo()
+    rows = linear.encoded(frame.fit_encoder(listings, roles), listings, hash_bucket(F.col("URL"), 42, 3).cast("int").alias(moments.FOLD))
+    size = frame.fit_encoder(listings, roles).size
+    written, parts = moments.written_moments(rows, size, frame.LOG_TARGET, 3), moments.moments(rows, size, frame.LOG_TARGET, 3)
+    assert np.allclose(written.without(1).sums, (parts[0] + parts[2]).sums) and np.allclose(written.total().sums, (parts[0] + parts[1] + parts[2]).sums)
