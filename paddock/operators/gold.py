@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from paddock.functions.numeric import number
 from paddock.functions.stats import one_row
-from paddock.functions.text import first_match, flag, folded, hinted_flags_of, trimmed
+from paddock.functions.text import first_match, flag, folded, found_words, hinted_flags_of, trimmed
 from paddock.operators import rules
 
 TARGET = "price_in_eur"
@@ -138,8 +138,9 @@ def with_listing_text(df: DataFrame) -> DataFrame:
 
 def text_flags(df: DataFrame) -> DataFrame:
     """One 0/1 column per keyword pattern, from one pass over the text."""
-    flags = hinted_flags_of("__text", rules.TEXT_FLAGS, rules.FLAG_HINTS)
-    return df.withColumn("__text", folded(F.col("listing_text"))).withColumns(flags).drop("__text")
+    flags = hinted_flags_of("__text", rules.TEXT_FLAGS, rules.FLAG_HINTS, "__words", rules.FLAG_WORDS)
+    df = df.withColumn("__text", folded(F.col("listing_text")))
+    return df.withColumn("__words", found_words(F.col("__text"), rules.FLAG_WORDS)).withColumns(flags).drop("__text", "__words")
 
 
 def field_points(df: DataFrame) -> dict[str, Column]:

@@ -162,6 +162,69 @@ FLAG_HINTS = {
     "carbon_bucket_seats": ("carbon",),
 }
 
+# Whole words, as runs of a-z and 0-9 in folded text ("tüv" holds "v"), of which every match of a flag holds at least one: the
+# rarest of each wording. They are looked up before the hints, among the few words that a text shares with all flags. Checked like the hints.
+COUNTED_WORDS = "produced built made delivered examples cars number"
+GENUINE_WORDS = "speedster classic dakar 911 t heritage"
+RACING_WORDS = "racing winner 24 rburgring nurburgring spa mans adac fia championship podium"
+CUP_WORDS = "cup cups club clubsport"
+BESPOKE_WORDS = "bespoke exclusivity manufaktur sample pts sonderwunsch unique commission commissioned"
+FLAG_WORDS = {
+    name: tuple(words.split())
+    for name, words in {
+        "restoration_full": "frameoff bodyoff off restoration restored rebuilt rebuild refurbishment overhaul",
+        "restoration_partial": "restoration refresh restored",
+        "is_restomod": "backdate restomod modified custom",
+        "has_docs": "documentation service records history documented",
+        "is_matching_numbers": "matching",
+        "is_mint": "condition collector sorted",
+        "is_race_ready": f"rally race raceready prepped trackprepped bucket harness homologated suppression {RACING_WORDS} {CUP_WORDS}",
+        "is_rare": f"rare edition {COUNTED_WORDS} 1 one rwb singer guntherwerks elfwerks {GENUINE_WORDS} {BESPOKE_WORDS}",
+        "rsr_st_special": "rsr",
+        "is_accident_free": "accident accidentfree crashed clean accidents undamaged",
+        "has_upgrades": "kw x51 upgraded recaro slip limitedslip aftermarket performance turbo weissach",
+        "first_owner": "owner hand keeper",
+        "limited_production": COUNTED_WORDS,
+        "racing_history": RACING_WORDS,
+        "specialist_build": (
+            "tuning manthey ruf singer gunther guntherwerks lanzante kremer motorsport techart gemballa rwb theon stephens tuthill"
+            " emerson canepa"
+        ),
+        "bespoke_exclusive": BESPOKE_WORDS,
+        "zero_running_hours": "hours",
+        # one side of a match may end within a word, the other is whole
+        "engine_transmission_rebuilt": "overhauled rebuilt rebuild restored gearbox transmission",
+        "non_rebuilt": (
+            "unrestored restored rebuilt overhauled notrestored notrebuilt notoverhauled neverrestored neverrebuilt neveroverhauled"
+            " nonrestored nonrebuilt nonoverhauled"
+        ),
+        "needs_rebuild": "rebuild overhaul restoration recommissioning work",
+        "body_only": "bodyonly shellonly only shell rolling roller",
+        "missing_drivetrain": "engine gearbox transmission drivetrain motor",
+        "project_car": "project parts restoration recommissioning",
+        "not_ready_to_drive_text": "ready running drivable run start roadworthy mot tuv v",
+        "accident_damage": "damage damaged salvage write",
+        "cup_clubsport": CUP_WORDS,
+        "heritage_special": GENUINE_WORDS,
+        "weissach_package": "weissach",
+        "pccb": "pccb",
+        "ceramic_brakes": "ceramic",
+        "bucket_seats": "bucket",
+        "clubsport_package": "package",
+        "front_axle_lift": "lift",
+        "sport_chrono": "chrono",
+        "manual_transmission_text": "manual",
+        "paint_to_sample_text": "sample pts sonderwunsch",
+        "manthey": "manthey",
+        "ruf": "ruf",
+        "techart": "techart",
+        "carbon_package": "carbon",
+        "lightweight_package": "lightweight",
+        "full_leather": "leather",
+        "carbon_bucket_seats": "carbon",
+    }.items()
+}
+
 # ---- fixed values: points per set flag ------------------------------------------
 FLAG_WEIGHTS = {
     "restoration_full": 2.0, "restoration_partial": 1.5, "is_restomod": 1.7, "has_docs": 0.7,

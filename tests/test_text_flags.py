@@ -1,9 +1,10 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from paddock.functions.text import flags_of, hint_sql
+from paddock.functions.text import CUT_FROM, flags_of, found_words, hint_sql
 from paddock.operators import gold, legacy, rules
 from paddock.plans import fixtures as fx
 
@@ -118,3 +119,30 @@ def test_hints_pass_over_words_that_are_not_enough(spark):
     patterns = flags_of(F.col("t"), rules.TEXT_FLAGS)
     plain = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", *[c.alias(n) for n, c in patterns.items()])
     assert flags(spark, texts) == [{n for n in rules.TEXT_FLAGS if r[n]} for r in plain.orderBy("i").collect()]
+
+
+def test_texts_without_a_flags_words_run_no_hint_and_no_regex(spark):
+    """Hints that stand only within other words are passed over; whole words are found at any boundary."""
+    text = "Spanish space, a motor for the Berufung, fullness of working workshops and an onlyness of cupboards"
+    df = spark.createDataFrame([(text,)], "t string")
+    found = set(df.select(found_words(F.col("t"), rules.FLAG_WORDS, 0)).first()[0])
+    assert {n for n, words in rules.FLAG_WORDS.items() if found & set(words)} == {"missing_drivetrain"}
+    edges = spark.createDataFrame([("\u00e9 spa\u2013cup\u00a0ruf_t\u00fcv 1 of 9",)], "t string")
+    assert sorted(edges.select(found_words(F.col("t"), rules.FLAG_WORDS, 0)).first()[0]) == ["1", "cup", "ruf", "spa", "t", "v"]
+
+
+def test_words_lose_no_match_of_any_wording(spark):
+    """Each wording of a pattern, with its optional parts, joined by hyphens, blanks or nothing, and beside odd characters."""
+    rng, wordings = random.Random(11), []
+    for pattern in rules.TEXT_FLAGS.values():
+        parts = re.findall(r"[^\W_]+", re.sub(r"\\[bsdw]|\(\?[<!=:]+|\{0,80\}", " ", pattern.lower()))
+        wordings += [rng.choice(["", " ", "-", "\u00a0"]).join(parts[at : at + n]) for at in range(len(parts)) for n in (1, 2, 3)]
+    wordings += [w.replace("30", "\u0663") for w in GENUINE] + ["6speed manual", "gearboxes fully rebuilt", "rebuilding the gearbox", "notrestored"]
+    texts = [rng.choice(["", "x ", "\u00e9", "3 ", "not ", "1 of "]) + w + rng.choice(["", "s", " 7", "\u0301", "/t", "\u00df"]) for w in wordings]
+    texts += [" " * CUT_FROM + t for t in texts]  # short texts are not cut into words
+    df = gold.with_listing_text(spark.createDataFrame([(t,) for t in texts], "Description string"))
+    plain = flags_of(F.lower("listing_text"), rules.TEXT_FLAGS)
+    both = gold.text_flags(df).select("listing_text", *rules.TEXT_FLAGS, *[c.alias(f"plain_{n}") for n, c in plain.items()])
+    wrong = both.agg(*[F.count_if(F.col(n) != F.col(f"plain_{n}")).alias(n) for n in rules.TEXT_FLAGS]).first().asDict()
+    assert not {n: c for n, c in wrong.items() if c}
+    assert both.agg(*[F.sum(n).alias(n) for n in rules.TEXT_FLAGS]).first().asDict()["is_race_ready"] > 0
