@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import CountVectorizerModel, NGram
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.ml.feature import NGram
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from paddock.models.moments import unpacked
 from paddock.session import cut_lineage
 
 # Tokens are runs of two or more letters, digits or underscores.
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 MAX_TERMS, MIN_DF = 5000, 3
+WORDS_AT_ONCE = 500_000
 
 
 def tokens(text: Column) -> Column:
@@ -38,39 +41,75 @@ def most_frequent(counts: DataFrame, max_terms: int, min_df: int) -> DataFrame:
     return totals.where(F.col("df") >= min_df).orderBy(F.col("total").desc(), "term").limit(max_terms)
 
 
+def numbered_words(texts: pa.ListArray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, pa.Array]]:
+    """Some texts at a time, so that a batch of long ones needs no more memory: the first and the end, for each word its text, counted from
+    the first, and its number among the distinct words, and these."""
+    ends = texts.offsets.to_numpy()
+    low = 0
+    while low < len(texts):
+        high = max(int(np.searchsorted(ends, ends[low] + WORDS_AT_ONCE, "right")) - 1, low + 1)
+        coded = texts.values.slice(ends[low], ends[high] - ends[low]).dictionary_encode()
+        row = np.repeat(np.arange(high - low), np.diff(ends[low : high + 1]))
+        yield low, high, row, coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        low = high
+
+
+def term_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, df, total) of some texts at a time. Terms are numbers; only the distinct ones are spelled out."""
+    for batch in batches:
+        for low, high, row, word, names in numbered_words(batch.column(0)):
+            size, beside = len(names), np.flatnonzero(row[1:] == row[:-1])
+            terms = np.concatenate([word, size + word[beside] * size + word[beside + 1]])
+            coded = pa.array(terms).dictionary_encode()  # by hashing; a sort takes longer
+            numbers, term = coded.dictionary.to_numpy(), coded.indices.to_numpy().astype(np.int64)
+            once = pa.array(term * (high - low) + np.concatenate([row, row[beside]])).unique().to_numpy() // (high - low)
+            singles, pairs = np.flatnonzero(numbers < size), np.flatnonzero(numbers >= size)
+            first, second = np.divmod(numbers[pairs] - size, max(size, 1))
+            joined = pc.binary_join_element_wise(names.take(pa.array(first)), names.take(pa.array(second)), " ")
+            spelled, order = pa.concat_arrays([names.take(pa.array(numbers[singles])), joined]), np.concatenate([singles, pairs])
+            df, total = (np.bincount(x, minlength=len(numbers))[order] for x in (once, term))
+            yield pa.RecordBatch.from_arrays([spelled, pa.array(df, pa.int64()), pa.array(total, pa.int64())], ["term", "df", "total"])
+
+
 def vocabulary(df: DataFrame, text: str, max_terms: int = MAX_TERMS, min_df: int = MIN_DF) -> DataFrame:
     """(term, df, total): the most frequent terms of the corpus, term order deciding ties.
 
-    Every term goes out once per occurrence and once more per row, so one shuffle by term, summed on the map side
-    first, gives both frequencies. At most ``max_terms`` rows, whatever the corpus holds.
+    Tasks sum both frequencies over many texts before anything is shuffled, so one shuffle by term gives both.
+    At most ``max_terms`` rows, whatever the corpus holds.
     """
-    once = F.transform(F.array_distinct("__terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("df"), F.lit(0).alias("tf")))
-    each = F.transform("__terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("df"), F.lit(1).alias("tf")))
-    totals = (
-        with_terms(df.select(text), text)
-        .select(F.explode(F.concat(once, each)).alias("t"))
-        .groupBy("t.term")
-        .agg(F.sum("t.df").alias("df"), F.sum("t.tf").alias("total"))
-    )
+    sums = df.select(tokens(F.col(text)).alias("words")).mapInArrow(term_sums, "term string, df long, total long")
+    totals = sums.groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
     return totals.where(F.col("df") >= min_df).orderBy(F.col("total").desc(), "term").limit(max_terms)
 
 
+def has_repeats(df: DataFrame, key: str) -> bool:
+    """Whether any two rows share a key; missing keys are alike."""
+    return not df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+
+
 def tfidf_weights(
     df: DataFrame, key: str, text: str, max_terms: int = MAX_TERMS, min_df: int = MIN_DF
 ) -> DataFrame:
-    """(key, term, weight): (1 + ln tf) times smoothed idf, unit length per row of ``df``.
+    """(key, term, weight): (1 + ln tf) times smoothed idf, unit length per key of ``df``.
 
-    The text is cut into terms once; counts by row and term are written and read for the vocabulary and the weights.
-    The vocabulary, at most ``max_terms`` rows, is broadcast.
+    Where no key repeats, a row's weights follow from the row and the vocabulary, at most ``max_terms`` terms: texts are read
+    once for the vocabulary and once for the weights, and only the vocabulary's sums are shuffled. Rows that share a key count
+    as one text, so their counts by key and term are summed and written first.
     """
-    counts = cut_lineage(term_counts(df, key, text))
-    terms = most_frequent(counts, max_terms, min_df).select("term", "df")
     n = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     idf = F.ln((1 + n) / (1 + F.col("df"))) + 1.0
-    weighted = counts.join(F.broadcast(terms), "term").withColumn("__w", (1.0 + F.ln("tf")) * idf)
-    # at most max_terms rows per key
-    length = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(Window.partitionBy(key)))
-    return weighted.select(key, "term", (F.col("__w") / length).alias("weight"))
+    if has_repeats(df, key):
+        counts = cut_lineage(term_counts(df, key, text))
+        terms = most_frequent(counts, max_terms, min_df).select("term", "df")
+        weighted = counts.join(F.broadcast(terms), "term").withColumn("__w", (1.0 + F.ln("tf")) * idf)
+        # at most max_terms rows per key
+        length = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(Window.partitionBy(key)))
+        return weighted.select(key, "term", (F.col("__w") / length).alias("weight"))
+    rows = vocabulary(df, text, max_terms, min_df).select("term", idf.alias("idf")).collect()
+    model = TfidfModel([r["term"] for r in rows], [r["idf"] for r in rows])
+    weighted = model.with_weights(df.select(key, text), text, "__s", "__v").select(key, F.explode(F.arrays_zip("__s", "__v")).alias("__t"))
+    names = F.split(F.lit(" \n".join(model.terms)), " \n")  # one literal; no term holds a line end
+    return weighted.select(key, F.get(names, F.col("__t.__s")).alias("term"), F.col("__t.__v").alias("weight"))
 
 
 @dataclass(frozen=True)
@@ -80,19 +119,75 @@ class TfidfModel:
     terms: list[str]
     idf: list[float]
 
-    def transform(self, df: DataFrame, text: str, slots: str, values: str) -> DataFrame:
-        """Term numbers, rising, and their weights of unit length as two arrays, by array functions only."""
-        if not self.terms:
-            raise ValueError("empty vocabulary")
-        counts = CountVectorizerModel.from_vocabulary(self.terms, inputCol="__terms", outputCol="__counts")
-        ids, times = unpacked(F.col("__counts"))
-        idf = F.split(F.lit(",".join(map(repr, self.idf))), ",").cast("array<double>")
-        raw = F.zip_with(ids, times, lambda i, n: (1.0 + F.ln(n)) * F.get(idf, i))
-        df = counts.transform(with_terms(df, text)).withColumns({slots: ids, "__raw": raw})
+    def raw_weights(self, text: Column) -> Column:
+        """A struct of two arrays, ``slots`` and ``raw``: term numbers, rising, and their weights before division by the row's length."""
+        find = TermFinder.of(self.terms)
+        idf = np.array(self.idf, dtype=float)
+
+        @F.arrow_udf("slots array<int>, raw array<double>")
+        def weighted(words: pa.Array) -> pa.Array:
+            slots, raw, counts = [np.empty(0, int)], [np.empty(0)], [np.zeros(1, int)]
+            for low, high, row, word, names in numbered_words(words):
+                row, term, times = find(row, word, names)
+                slots.append(term)
+                raw.append((1.0 + np.log(times)) * idf[term])
+                counts.append(np.bincount(row, minlength=high - low))
+            ends = pa.array(np.cumsum(np.concatenate(counts)), pa.int32())
+            arrays = [pa.array(np.concatenate(slots), pa.int32()), pa.array(np.concatenate(raw), pa.float64())]
+            return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, a) for a in arrays], ["slots", "raw"])
+
+        return weighted(tokens(text))
+
+    def with_weights(self, df: DataFrame, text: str, slots: str, values: str) -> DataFrame:
+        """Term numbers, rising, and their weights of unit length as two arrays; only the words of a text leave the JVM."""
+        df = df.withColumn("__found", self.raw_weights(F.col(text)))
+        df = df.withColumns({slots: F.col("__found.slots"), "__raw": F.col("__found.raw")})
         df = df.withColumn("__length", F.sqrt(F.aggregate("__raw", F.lit(0.0), lambda a, w: a + w * w)))
         # as an argument the length is computed once a row; the optimizer would draw it into the function of a transform, once a term
         lengths = F.array_repeat("__length", F.size("__raw"))
-        return df.withColumn(values, F.zip_with("__raw", lengths, lambda w, n: w / n)).drop("__terms", "__counts", "__raw", "__length")
+        return df.withColumn(values, F.zip_with("__raw", lengths, lambda w, n: w / n)).drop("__found", "__raw", "__length")
+
+    def transform(self, df: DataFrame, text: str, slots: str, values: str) -> DataFrame:
+        """``with_weights`` of a vocabulary that has terms."""
+        if not self.terms:
+            raise ValueError("empty vocabulary")
+        return self.with_weights(df, text, slots, values)
+
+
+@dataclass(frozen=True)
+class TermFinder:
+    """Finds words and word pairs of a vocabulary among numbered words."""
+
+    words: list[str]
+    single: np.ndarray  # term of each word, -1: none
+    pairs: np.ndarray  # rising, first word times the number of words plus the second
+    paired: np.ndarray  # term of each pair
+    size: int
+
+    @classmethod
+    def of(cls, terms: Sequence[str]) -> TermFinder:
+        parts = [t.split(" ") for t in terms]  # no word holds a blank
+        words = sorted({w for part in parts for w in part})
+        number = {w: i for i, w in enumerate(words)}
+        single = np.full(len(words) + 1, -1)
+        pairs = sorted((number[p[0]] * len(words) + number[p[1]], t) for t, p in enumerate(parts) if len(p) == 2)
+        for t, part in enumerate(parts):
+            if len(part) == 1:
+                single[number[part[0]]] = t
+        table = np.array([*pairs, (np.iinfo(np.int64).max, -1)], dtype=np.int64)
+        return cls(words, single, table[:, 0], table[:, 1], len(parts))
+
+    def __call__(self, row: np.ndarray, word: np.ndarray, names: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, term, times), rising by row and term."""
+        known = pc.fill_null(pc.index_in(names, value_set=pa.array(self.words, pa.string())), -1).to_numpy()
+        word = known[word] if len(names) else word
+        beside = np.flatnonzero((row[1:] == row[:-1]) & (word[1:] >= 0) & (word[:-1] >= 0))
+        pair = word[beside].astype(np.int64) * len(self.words) + word[beside + 1]
+        at = np.searchsorted(self.pairs, pair)
+        terms = np.concatenate([self.single[word], np.where(self.pairs[at] == pair, self.paired[at], -1)])
+        rows = np.concatenate([row, row[beside]])
+        both, times = np.unique(rows[terms >= 0] * max(self.size, 1) + terms[terms >= 0], return_counts=True)
+        return (*np.divmod(both, max(self.size, 1)), times)
 
 
 def fit_tfidf(df: DataFrame, text: str, max_terms: int = MAX_TERMS, min_df: int = 1) -> TfidfModel:

@@ -2,6 +2,7 @@ import re
 import weakref
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -278,3 +279,62 @@ def test_stacked_fit_holds_one_matrix_at_a_time(listings, monkeypatch):
     size = frame.fit_encoder(listings, roles).size
     written, parts = moments.written_moments(rows, size, frame.LOG_TARGET, 3), moments.moments(rows, size, frame.LOG_TARGET, 3)
     assert np.allclose(written.without(1).sums, (parts[0] + parts[2]).sums) and np.allclose(written.total().sums, (parts[0] + parts[1] + parts[2]).sums)
+
+
+def plain_weights(rows, max_terms=5000, min_df=1):
+    """Weights by key of (key, text) rows, counted one by one."""
+    counts = {}
+    for key, text in rows:
+        words = re.findall(r"\w{2,}", (text or "").lower())
+        mine = counts.setdefault(key, {})
+        for term in [*words, *map(" ".join, zip(words, words[1:]))]:
+            mine[term] = mine.get(term, 0) + 1
+    df, total = {}, {}
+    for mine in counts.values():
+        for term, n in mine.items():
+            df[term], total[term] = df.get(term, 0) + 1, total.get(term, 0) + n
+    kept = sorted((t for t in df if df[t] >= min_df), key=lambda t: (-total[t], t.encode()))[:max_terms]
+    idf = {t: np.log((1 + len(rows)) / (1 + df[t])) + 1 for t in kept}
+    out = {}
+    for key, mine in counts.items():
+        raw = {t: (1 + np.log(n)) * idf[t] for t, n in mine.items() if t in idf}
+        out |= {(key, t): w / np.sqrt(sum(x * x for x in raw.values())) for t, w in raw.items()}
+    return out
+
+
+TEXTS = ["red car red car red", "a", None, "", "Über straße über straße 42", "car red. car, car", "blue car\nred x car"]
+
+
+@pytest.mark.parametrize("keys", [range(7), [1, None, 1, None, 2, 3, 2], [None, 1, 2, 3, 4, 5, 6]])
+@pytest.mark.parametrize(("max_terms", "min_df"), [(5000, 1), (4, 2), (3, 1)])
+def test_text_weights_equal_plain_counts(spark, keys, max_terms, min_df):
+    """Single keys, one of them missing, and keys that several rows share."""
+    rows = list(zip(keys, TEXTS))
+    got = tfidf.tfidf_weights(spark.createDataFrame(rows, "k int, t string"), "k", "t", max_terms, min_df).collect()
+    expected = plain_weights(rows, max_terms, min_df)
+    assert {(r["k"], r["term"]) for r in got} == set(expected) and len(got) == len(expected)
+    assert all(abs(r["weight"] - expected[r["k"], r["term"]]) < 1e-12 for r in got)
+
+
+def test_text_weights_of_single_keys_shuffle_no_counts(spark):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "k int, t string")
+    plan = tfidf.tfidf_weights(df, "k", "t", min_df=1)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_term_sums_do_not_depend_on_slices(monkeypatch):
+    words = pa.array([re.findall(r"\w{2,}", t or "") for t in TEXTS * 3], pa.list_(pa.string()))
+
+    def summed(column, at_once):
+        monkeypatch.setattr(tfidf, "WORDS_AT_ONCE", at_once)
+        out = {}
+        for part in tfidf.term_sums([pa.RecordBatch.from_arrays([column], ["words"])]):
+            for r in part.to_pylist():
+                old = out.get(r["term"], (0, 0))
+                out[r["term"]] = (old[0] + r["df"], old[1] + r["total"])
+        return out
+
+    whole = summed(words, 1000)
+    assert whole["red car"] == (9, 12) and whole["car car"] == (3, 3) and whole["red"] == (9, 15)
+    assert summed(words, 1) == summed(words, 6) == whole
+    assert summed(words.slice(7), 6) == {t: (d * 2 // 3, n * 2 // 3) for t, (d, n) in whole.items()}
