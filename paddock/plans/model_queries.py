@@ -16,7 +16,7 @@ from paddock.operators.features import ColumnRoles, feature_frame
 from paddock.operators.gold import TARGET
 from paddock.plans import fixtures as fx
 from paddock.plans.queries import KEY, Query, gold_table, pick, rounded, silver_table, split_sides
-from paddock.session import cut_lineage
+from paddock.session import compiled_methods, cut_lineage
 
 PREP_COLUMNS = ("Mileage_km", "Year of construction", "owners_known", "price_in_eur")
 ONEHOT_COLUMNS = ("Series", "Transmission", "Drive", "Car location", "Interior color")
@@ -25,7 +25,9 @@ ONEHOT_COLUMNS = ("Series", "Transmission", "Drive", "Car location", "Interior c
 def prepared(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, ColumnRoles]:
     """Training rows, test rows and columns; the frame is written once for the query."""
     table, roles = feature_frame(gold_table(spark, d))
-    return (*frame.holdout(cut_lineage(table)), roles)
+    with compiled_methods(spark):
+        table = cut_lineage(table)
+    return (*frame.holdout(table), roles)
 
 
 def predictions(predict: Callable[[DataFrame], DataFrame], train: DataFrame, test: DataFrame) -> DataFrame:

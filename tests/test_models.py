@@ -10,6 +10,8 @@ from paddock.functions.stats import hash_bucket
 from paddock.models import benchmark, frame, linear, moments, tfidf, trees, tuning
 from paddock.operators.features import ColumnRoles
 from paddock.operators.gold import TARGET
+from paddock.plans import model_queries
+from paddock.session import METHOD_LIMIT, compiled_methods
 
 ROLES = ColumnRoles(TARGET, ("Mileage_km", "listing_score"), ("Series",), ())
 
@@ -338,3 +340,14 @@ def test_term_sums_do_not_depend_on_slices(monkeypatch):
     assert whole["red car"] == (9, 12) and whole["car car"] == (3, 3) and whole["red"] == (9, 15)
     assert summed(words, 1) == summed(words, 6) == whole
     assert summed(words.slice(7), 6) == {t: (d * 2 // 3, n * 2 // 3) for t, (d, n) in whole.items()}
+
+
+def test_the_frame_is_written_with_compiled_methods(spark, monkeypatch):
+    """Methods beyond what the JVM compiles were interpreted; the session's limit comes back, after an error as well."""
+    before, seen = spark.conf.get(METHOD_LIMIT), []
+    monkeypatch.setattr(model_queries, "cut_lineage", lambda df: seen.append(spark.conf.get(METHOD_LIMIT)) or df)
+    model_queries.prepared(spark, "/root/testdata/sf0.001")
+    assert seen == ["8000"] and spark.conf.get(METHOD_LIMIT) == before
+    with pytest.raises(KeyError), compiled_methods(spark):
+        raise KeyError
+    assert spark.conf.get(METHOD_LIMIT) == before
