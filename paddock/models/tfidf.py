@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,34 +41,47 @@ def most_frequent(counts: DataFrame, max_terms: int, min_df: int) -> DataFrame:
     return totals.where(F.col("df") >= min_df).orderBy(F.col("total").desc(), "term").limit(max_terms)
 
 
-def numbered_words(texts: pa.ListArray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, pa.Array]]:
-    """Some texts at a time, so that a batch of long ones needs no more memory: the first and the end, for each word its text, counted from
-    the first, and its number among the distinct words, and these."""
-    ends = texts.offsets.to_numpy()
-    low = 0
-    while low < len(texts):
-        high = max(int(np.searchsorted(ends, ends[low] + WORDS_AT_ONCE, "right")) - 1, low + 1)
-        coded = texts.values.slice(ends[low], ends[high] - ends[low]).dictionary_encode()
-        row = np.repeat(np.arange(high - low), np.diff(ends[low : high + 1]))
-        yield low, high, row, coded.indices.to_numpy().astype(np.int64), coded.dictionary
-        low = high
-
-
-def term_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, df, total) of some texts at a time. Terms are numbers; only the distinct ones are spelled out."""
-    for batch in batches:
-        for low, high, row, word, names in numbered_words(batch.column(0)):
-            size, beside = len(names), np.flatnonzero(row[1:] == row[:-1])
-            terms = np.concatenate([word, size + word[beside] * size + word[beside + 1]])
-            coded = pa.array(terms).dictionary_encode()  # by hashing; a sort takes longer
-            numbers, term = coded.dictionary.to_numpy(), coded.indices.to_numpy().astype(np.int64)
-            once = pa.array(term * (high - low) + np.concatenate([row, row[beside]])).unique().to_numpy() // (high - low)
-            singles, pairs = np.flatnonzero(numbers < size), np.flatnonzero(numbers >= size)
-            first, second = np.divmod(numbers[pairs] - size, max(size, 1))
-            joined = pc.binary_join_element_wise(names.take(pa.array(first)), names.take(pa.array(second)), " ")
-            spelled, order = pa.concat_arrays([names.take(pa.array(numbers[singles])), joined]), np.concatenate([singles, pairs])
-            df, total = (np.bincount(x, minlength=len(numbers))[order] for x in (once, term))
-            yield pa.RecordBatch.from_arrays([spelled, pa.array(df, pa.int64()), pa.array(total, pa.int64())], ["term", "df", "total"])
+def word_numbering():
+    """A function that goes through a list of texts' words, some texts at a time, so that a batch of long ones needs no more memory.
+
+    It gives the first text and the end, for each word its text, counted from the first, and its number among the distinct words, and these.
+    Like the other functions for tasks here it is made within a function and so travels whole: executors may not have this package.
+    """
+    most = WORDS_AT_ONCE
+
+    def numbered(texts: pa.ListArray):
+        ends = texts.offsets.to_numpy()
+        low = 0
+        while low < len(texts):
+            high = max(int(np.searchsorted(ends, ends[low] + most, "right")) - 1, low + 1)
+            coded = texts.values.slice(ends[low], ends[high] - ends[low]).dictionary_encode()
+            row = np.repeat(np.arange(high - low), np.diff(ends[low : high + 1]))
+            yield low, high, row, coded.indices.to_numpy().astype(np.int64), coded.dictionary
+            low = high
+
+    return numbered
+
+
+def term_sums():
+    """A function that gives (term, df, total) of some texts at a time. Terms are numbers; only the distinct ones are spelled out."""
+    numbered = word_numbering()
+
+    def sums(batches):
+        for batch in batches:
+            for low, high, row, word, names in numbered(batch.column(0)):
+                size, beside = len(names), np.flatnonzero(row[1:] == row[:-1])
+                terms = np.concatenate([word, size + word[beside] * size + word[beside + 1]])
+                coded = pa.array(terms).dictionary_encode()  # by hashing; a sort takes longer
+                numbers, term = coded.dictionary.to_numpy(), coded.indices.to_numpy().astype(np.int64)
+                once = pa.array(term * (high - low) + np.concatenate([row, row[beside]])).unique().to_numpy() // (high - low)
+                singles, pairs = np.flatnonzero(numbers < size), np.flatnonzero(numbers >= size)
+                first, second = np.divmod(numbers[pairs] - size, max(size, 1))
+                joined = pc.binary_join_element_wise(names.take(pa.array(first)), names.take(pa.array(second)), " ")
+                spelled, order = pa.concat_arrays([names.take(pa.array(numbers[singles])), joined]), np.concatenate([singles, pairs])
+                df, total = (np.bincount(x, minlength=len(numbers))[order] for x in (once, term))
+                yield pa.RecordBatch.from_arrays([spelled, pa.array(df, pa.int64()), pa.array(total, pa.int64())], ["term", "df", "total"])
+
+    return sums
 
 
 def vocabulary(df: DataFrame, text: str, max_terms: int = MAX_TERMS, min_df: int = MIN_DF) -> DataFrame:
@@ -77,7 +90,7 @@ def vocabulary(df: DataFrame, text: str, max_terms: int = MAX_TERMS, min_df: int
     Tasks sum both frequencies over many texts before anything is shuffled, so one shuffle by term gives both.
     At most ``max_terms`` rows, whatever the corpus holds.
     """
-    sums = df.select(tokens(F.col(text)).alias("words")).mapInArrow(term_sums, "term string, df long, total long")
+    sums = df.select(tokens(F.col(text)).alias("words")).mapInArrow(term_sums(), "term string, df long, total long")
     totals = sums.groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
     return totals.where(F.col("df") >= min_df).orderBy(F.col("total").desc(), "term").limit(max_terms)
 
@@ -119,15 +132,13 @@ class TfidfModel:
     terms: list[str]
     idf: list[float]
 
-    def raw_weights(self, text: Column) -> Column:
-        """A struct of two arrays, ``slots`` and ``raw``: term numbers, rising, and their weights before division by the row's length."""
-        find = TermFinder.of(self.terms)
-        idf = np.array(self.idf, dtype=float)
+    def weighing(self):
+        """A function from texts' words to structs of two arrays: term numbers, rising, and their weights before division by the row's length."""
+        numbered, find, idf = word_numbering(), term_finder(self.terms), np.array(self.idf, dtype=float)
 
-        @F.arrow_udf("slots array<int>, raw array<double>")
         def weighted(words: pa.Array) -> pa.Array:
             slots, raw, counts = [np.empty(0, int)], [np.empty(0)], [np.zeros(1, int)]
-            for low, high, row, word, names in numbered_words(words):
+            for low, high, row, word, names in numbered(words):
                 row, term, times = find(row, word, names)
                 slots.append(term)
                 raw.append((1.0 + np.log(times)) * idf[term])
@@ -136,11 +147,11 @@ class TfidfModel:
             arrays = [pa.array(np.concatenate(slots), pa.int32()), pa.array(np.concatenate(raw), pa.float64())]
             return pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, a) for a in arrays], ["slots", "raw"])
 
-        return weighted(tokens(text))
+        return weighted
 
     def with_weights(self, df: DataFrame, text: str, slots: str, values: str) -> DataFrame:
         """Term numbers, rising, and their weights of unit length as two arrays; only the words of a text leave the JVM."""
-        df = df.withColumn("__found", self.raw_weights(F.col(text)))
+        df = df.withColumn("__found", F.arrow_udf(self.weighing(), "slots array<int>, raw array<double>")(tokens(F.col(text))))
         df = df.withColumns({slots: F.col("__found.slots"), "__raw": F.col("__found.raw")})
         df = df.withColumn("__length", F.sqrt(F.aggregate("__raw", F.lit(0.0), lambda a, w: a + w * w)))
         # as an argument the length is computed once a row; the optimizer would draw it into the function of a transform, once a term
@@ -154,40 +165,30 @@ class TfidfModel:
         return self.with_weights(df, text, slots, values)
 
 
-@dataclass(frozen=True)
-class TermFinder:
-    """Finds words and word pairs of a vocabulary among numbered words."""
-
-    words: list[str]
-    single: np.ndarray  # term of each word, -1: none
-    pairs: np.ndarray  # rising, first word times the number of words plus the second
-    paired: np.ndarray  # term of each pair
-    size: int
-
-    @classmethod
-    def of(cls, terms: Sequence[str]) -> TermFinder:
-        parts = [t.split(" ") for t in terms]  # no word holds a blank
-        words = sorted({w for part in parts for w in part})
-        number = {w: i for i, w in enumerate(words)}
-        single = np.full(len(words) + 1, -1)
-        pairs = sorted((number[p[0]] * len(words) + number[p[1]], t) for t, p in enumerate(parts) if len(p) == 2)
-        for t, part in enumerate(parts):
-            if len(part) == 1:
-                single[number[part[0]]] = t
-        table = np.array([*pairs, (np.iinfo(np.int64).max, -1)], dtype=np.int64)
-        return cls(words, single, table[:, 0], table[:, 1], len(parts))
-
-    def __call__(self, row: np.ndarray, word: np.ndarray, names: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, term, times), rising by row and term."""
-        known = pc.fill_null(pc.index_in(names, value_set=pa.array(self.words, pa.string())), -1).to_numpy()
-        word = known[word] if len(names) else word
+def term_finder(terms: Sequence[str]):
+    """A function that finds the words and word pairs of a vocabulary among numbered words: (row, term, times), rising by row and term."""
+    parts = [t.split(" ") for t in terms]  # no word holds a blank
+    words = sorted({w for part in parts for w in part})
+    number, size = {w: i for i, w in enumerate(words)}, max(len(parts), 1)
+    single = np.full(len(words) + 1, -1)  # term of each word; the last is for words that are in no term
+    for t, part in enumerate(parts):
+        if len(part) == 1:
+            single[number[part[0]]] = t
+    pairs = sorted((number[p[0]] * len(words) + number[p[1]], t) for t, p in enumerate(parts) if len(p) == 2)
+    table = np.array([*pairs, (np.iinfo(np.int64).max, -1)], dtype=np.int64)
+
+    def find(row, word, names):
+        known = pc.fill_null(pc.index_in(names, value_set=pa.array(words, pa.string())), -1).to_numpy()
+        word = known[word].astype(np.int64)
         beside = np.flatnonzero((row[1:] == row[:-1]) & (word[1:] >= 0) & (word[:-1] >= 0))
-        pair = word[beside].astype(np.int64) * len(self.words) + word[beside + 1]
-        at = np.searchsorted(self.pairs, pair)
-        terms = np.concatenate([self.single[word], np.where(self.pairs[at] == pair, self.paired[at], -1)])
+        pair = word[beside] * len(words) + word[beside + 1]
+        at = np.searchsorted(table[:, 0], pair)
+        found = np.concatenate([single[word], np.where(table[at, 0] == pair, table[at, 1], -1)])
         rows = np.concatenate([row, row[beside]])
-        both, times = np.unique(rows[terms >= 0] * max(self.size, 1) + terms[terms >= 0], return_counts=True)
-        return (*np.divmod(both, max(self.size, 1)), times)
+        both, times = np.unique(rows[found >= 0] * size + found[found >= 0], return_counts=True)
+        return (*np.divmod(both, size), times)
+
+    return find
 
 
 def fit_tfidf(df: DataFrame, text: str, max_terms: int = MAX_TERMS, min_df: int = 1) -> TfidfModel:

@@ -1,9 +1,12 @@
 import re
+import subprocess
+import sys
 import weakref
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from paddock.functions.stats import hash_bucket
@@ -330,7 +333,7 @@ def test_term_sums_do_not_depend_on_slices(monkeypatch):
     def summed(column, at_once):
         monkeypatch.setattr(tfidf, "WORDS_AT_ONCE", at_once)
         out = {}
-        for part in tfidf.term_sums([pa.RecordBatch.from_arrays([column], ["words"])]):
+        for part in tfidf.term_sums()([pa.RecordBatch.from_arrays([column], ["words"])]):
             for r in part.to_pylist():
                 old = out.get(r["term"], (0, 0))
                 out[r["term"]] = (old[0] + r["df"], old[1] + r["total"])
@@ -342,6 +345,17 @@ def test_term_sums_do_not_depend_on_slices(monkeypatch):
     assert summed(words.slice(7), 6) == {t: (d * 2 // 3, n * 2 // 3) for t, (d, n) in whole.items()}
 
 
+def test_functions_for_tasks_need_no_package(tmp_path):
+    """Executors may not have this package: what is sent to them loads and runs without it."""
+    run = (
+        "import pickle, sys, pyarrow as pa; sums, weighted = pickle.load(sys.stdin.buffer); words = pa.array([['ab', 'cd'], []])\n"
+        "print(next(sums([pa.RecordBatch.from_arrays([words], ['w'])])).num_rows, len(weighted(words)), 'paddock' in sys.modules)"
+    )
+    sent = cloudpickle.dumps((tfidf.term_sums(), tfidf.TfidfModel(["ab cd", "cd"], [1.0, 1.0]).weighing()))
+    done = subprocess.run([sys.executable, "-c", run], input=sent, capture_output=True, cwd=tmp_path, env={"PATH": ""}, timeout=60)
+    assert done.stdout.split() == [b"3", b"2", b"False"], done.stderr.decode()[-500:]
+
+
 def test_the_frame_is_written_with_compiled_methods(spark, monkeypatch):
     """Methods beyond what the JVM compiles were interpreted; the session's limit comes back, after an error as well."""
     before, seen = spark.conf.get(METHOD_LIMIT), []
