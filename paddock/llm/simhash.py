@@ -32,6 +32,10 @@ WIDE_TILE = 8192
 VERIFIED = 2048  # texts of a group whose shingles are compared together, on average at most
 QUARTERS, SIDE = 4, 17  # a quarter has 0 to 16 bits set
 _ROWS = 256  # rows of a tile compared at once
+RARE = 500  # a shingle that one text in so many has is common
+SHORT_RUN = 32  # texts with one shingle that are compared pair by pair
+BUCKET = 1 << 19  # shingles of a bucket, on average at most
+PIECE = 1 << 20  # shingles packed at once
 
 
 def shingles_of(text: bytes, size: int) -> list[bytes]:
@@ -65,9 +69,66 @@ def fingerprints(df: DataFrame, text: Column, keep: dict[str, Column], size: int
     return scanned(df, lambda texts: {"fp": [int.from_bytes(fingerprint(x, size), "big", signed=True) for x in texts]}, text, "fp long", keep)
 
 
-def wide_fingerprints(df: DataFrame, text: Column, keep: dict[str, Column], size: int, seeds: tuple[int, ...]) -> DataFrame:
-    """The columns of ``keep`` and the fingerprint of each text's set of shingles as bytes ``fp``, 8 for each seed."""
-    return scanned(df, lambda texts: {"fp": [fingerprint(x, size, seeds, True) for x in texts]}, text, "fp binary", keep)
+def common_shingles(df: DataFrame, text: Column, size: int) -> list[int]:
+    """Hashes of the shingles that stand in about one text of ``RARE`` or more; ``RARE`` times a text's shingles of them at most.
+
+    Tasks count a batch of texts at a time and hand on what stands in three texts of it and in one of ``RARE``. The list
+    only orders shingles, so that those of many texts are looked up last: no result depends on what it misses.
+    """
+    rare, few, piece = RARE, 3, PIECE
+
+    def count(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def counted(sets):
+            values, times = np.unique(np.concatenate(sets), return_counts=True)
+            often = times >= max(few, len(sets) / rare)
+            # the last row only counts texts
+            values, times = np.append(values[often], np.uint64(0)).view(np.int64), np.append(times[often], 0)
+            texts = np.append(np.zeros(len(values) - 1, np.int64), len(sets))
+            return pa.RecordBatch.from_arrays([pa.array(values), pa.array(times, pa.int64()), pa.array(texts)], names=["shingle", "times", "texts"])
+
+        sets, held = [], 0
+        for batch in batches:
+            for x in batch.column(0).unique():
+                sets.append(shingle_set(x.as_py(), size))
+                held += len(sets[-1])
+                if held >= piece:
+                    yield counted(sets)
+                    sets, held = [], 0
+        if sets:
+            yield counted(sets)
+
+    found = df.select(utf8(text).alias("data")).mapInArrow(count, "shingle long, times long, texts long")
+    found = cut_lineage(found.groupBy("shingle").agg(F.sum("times").alias("times"), F.sum("texts").alias("texts")))
+    texts = found.agg(F.sum("texts")).first()[0] or 0
+    return [r["shingle"] for r in found.where(F.col("times") >= max(few, texts / rare)).select("shingle").collect()]
+
+
+def wide_fingerprints(df: DataFrame, text: Column, keep: dict[str, Column], size: int, seeds: tuple[int, ...], common: list[int], likeness: float) -> DataFrame:
+    """The columns of ``keep``, the fingerprint of each text's set of shingles as bytes ``fp``, 8 for each seed, and ``first``: the shingles
+    of which two sets of ``likeness`` share one at least.
+
+    Sets of n shingles that agree in a share j of their union have j times n in common, so all but that many, and one more, meet whatever
+    the order. The order is that of the hashes, with ``common`` ones last.
+    """
+
+    def scan(texts):
+        import numpy as np
+
+        last, firsts = np.sort(np.array(common, np.int64).view(np.uint64)), []
+        for x in texts:
+            own = shingle_set(x, size)
+            n = len(own) - ceil(likeness * len(own) - 1e-9) + 1
+            if len(last):
+                often = last[np.minimum(np.searchsorted(last, own), len(last) - 1)] == own
+                if often[:n].any():
+                    own = np.concatenate([own[~often], own[often]])
+            firsts.append(own[:n].tobytes())
+        return {"fp": [fingerprint(x, size, seeds, True) for x in texts], "first": firsts}
+
+    return scanned(df, scan, text, "fp binary, first binary", keep)
 
 
 def hits(left, right, radius: int):
@@ -137,7 +198,8 @@ def links(classes: DataFrame, radius: int = RADIUS) -> DataFrame:
 def wide_links(classes: DataFrame, radius: int, width: int) -> DataFrame:
     """As ``links``, for fingerprints of any width and radii of many bits.
 
-    Such a radius leaves few tile pairs to skip, so tiles are large and go by the count of all bits.
+    Such a radius leaves few tile pairs to skip, so tiles are large and go by the count of all bits. Work grows with the square of the
+    fingerprints; ``shared_links`` has no such growth but needs the shingles.
     """
     # the bits of a byte string: of its hexadecimal digits, each counted by its value
     digits = F.hex("fp")
@@ -176,6 +238,105 @@ def wide_links(classes: DataFrame, radius: int, width: int) -> DataFrame:
     return spread.mapInArrow(compare, "a binary, b binary").distinct()
 
 
+def joined(words, radius: int):
+    """For each fingerprint the first one that it is connected to by pairs within the radius; a row of unsigned 64-bit integers for each.
+
+    Breadth first, as in ``alike``: near copies of one text are compared once each.
+    """
+    import numpy as np
+
+    root, left = np.arange(len(words)), np.arange(len(words))
+    rest = words
+    while len(left) > 1:
+        first, left, rest = left[0], left[1:], rest[1:]
+        waiting = [first]
+        while waiting and len(left):
+            near = np.bitwise_count(rest ^ words[waiting.pop()]).sum(axis=1, dtype=np.int32) <= radius
+            if near.any():
+                found = left[near]
+                root[found] = first
+                waiting.extend(found.tolist())
+                left, rest = left[~near], rest[~near]
+    return root
+
+
+def run_links(shingles, words, radius: int):
+    """Index pairs that connect, among fingerprints with an equal shingle, those within the radius as all such pairs do.
+
+    ``shingles`` rise; short runs of equal ones are compared all at once, a pair of places at a time.
+    """
+    import numpy as np
+
+    starts = np.flatnonzero(np.diff(shingles) != 0) + 1
+    starts, ends = np.insert(starts, 0, 0), np.append(starts, len(shingles))
+    counts = ends - starts
+    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for start, end in zip(starts[counts > SHORT_RUN], ends[counts > SHORT_RUN]):
+        root = joined(words[start:end], radius)
+        linked = np.flatnonzero(root != np.arange(end - start))
+        a.append(linked + start)
+        b.append(root[linked] + start)
+    last = np.repeat(np.where(counts > SHORT_RUN, starts, ends), counts) - 1  # no pair starts in a long run
+    left = np.flatnonzero(last > np.arange(len(shingles)))
+    apart = 1
+    while len(left):
+        near = np.bitwise_count(words[left] ^ words[left + apart]).sum(axis=1, dtype=np.int32) <= radius
+        a.append(left[near])
+        b.append(left[near] + apart)
+        apart += 1
+        left = left[last[left] >= left + apart]
+    return np.concatenate(a), np.concatenate(b)
+
+
+def shared_links(marked: DataFrame, mark: str, radius: int, width: int) -> DataFrame:
+    """Links (a, b) that connect the fingerprints of texts as all pairs do that share a shingle of ``first`` and lie within the radius.
+
+    Shingles travel with their text's fingerprint, packed by bucket; a bucket holds a bounded number on average. What is compared
+    grows with the texts that share a rare shingle, not with all pairs.
+    """
+    total = marked.agg(F.sum(F.length("first") / 8)).first()[0] or 0
+    parts = max(int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total // BUCKET) + 1)
+    piece, wide = PIECE, width // 8
+
+    def pack(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        seen = set()  # copies in this task
+        for batch in batches:
+            marks = batch.column(0).to_pylist()
+            new = [i for i, m in enumerate(marks) if not (m in seen or seen.add(m))]
+            sizes = np.array([len(batch.column(2)[i].as_buffer()) // 8 for i in new], np.int64)
+            block = np.cumsum(sizes) // piece
+            for k in np.unique(block):
+                rows = [new[i] for i in np.flatnonzero(block == k)]
+                shingles = np.frombuffer(b"".join(batch.column(2)[i].as_py() for i in rows), "<u8")
+                prints = np.frombuffer(b"".join(batch.column(1)[i].as_py() for i in rows), "<u8").reshape(len(rows), wide)
+                entries = np.column_stack([shingles, np.repeat(prints, sizes[block == k], axis=0)])
+                bucket = (shingles % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                entries, bucket = entries[order], bucket[order]
+                starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+                data = [entries[s:e].tobytes() for s, e in zip(starts, np.append(starts[1:], len(bucket)))]
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[starts], pa.int64()), pa.array(data, pa.binary())], names=["bucket", "data"])
+
+    def compare(frame):
+        import numpy as np
+        import pandas as pd
+
+        entries = np.frombuffer(b"".join(frame["data"]), "<u8").reshape(-1, wide + 1)
+        entries = entries[np.lexsort((entries[:, 1], entries[:, 0]))]
+        entries = entries[np.insert((entries[1:] != entries[:-1]).any(axis=1), 0, True)]  # copies of other tasks
+        words = np.ascontiguousarray(entries[:, 1:])
+        a, b = run_links(entries[:, 0], words, radius)
+        pairs = np.unique(np.column_stack([words[a], words[b]]), axis=0) if len(a) else np.empty((0, 2 * wide), "<u8")
+        pairs = pairs[(pairs[:, :wide] != pairs[:, wide:]).any(axis=1)]
+        return pd.DataFrame({"a": [p.tobytes() for p in pairs[:, :wide]], "b": [p.tobytes() for p in pairs[:, wide:]]})
+
+    packed = marked.select(mark, "fp", "first").mapInArrow(pack, "bucket long, data binary")
+    return packed.groupBy("bucket").applyInPandas(compare, "a binary, b binary").distinct()
+
+
 def grouped(marked: DataFrame, id_column: str, link) -> DataFrame:
     """Group of each fingerprint: (fp, root, component_id), component_id the smallest id of the group's rows."""
     classes = cut_lineage(marked.groupBy("fp").agg(F.min(f"`{id_column}`").alias("least")))
@@ -288,8 +449,9 @@ def one_of_each_group(df: DataFrame, id_column: str, text: str, size: int = 5, s
     smallest text hash, of equal rows one). Texts are linked if their sets of shingles have a Jaccard likeness of at
     least ``likeness``. Columns stay as they are. Texts without a word are one group, null ones included.
 
-    Fingerprints only find candidates: two sets of likeness j differ in a share arccos(2j / (1 + j)) / pi of the bits at most, on
-    average; the radius lies 4.3 deviations above. Every link is verified by the shingles.
+    Candidates share one of their first shingles, as sets of that likeness must, and have near fingerprints: two sets of likeness j differ
+    in a share arccos(2j / (1 + j)) / pi of the bits at most, on average; the radius lies 4.3 deviations above. Every link is verified by
+    the shingles.
     """
     mark, place = fresh("text_hash", df), fresh("place_in_group", df)
     width = 8 * len(seeds)
@@ -297,8 +459,10 @@ def one_of_each_group(df: DataFrame, id_column: str, text: str, size: int = 5, s
     radius = ceil(8 * width * share + 4.3 * sqrt(8 * width * share * (1 - share)) - 0.5)
     hashed = df.withColumn(mark, F.xxhash64(utf8(text)))
     keep = {id_column: F.col(f"`{id_column}`"), mark: F.col(mark)}
-    marked = cut_lineage(wide_fingerprints(hashed, F.col(f"`{text}`"), keep, size, seeds))
-    candidates = grouped(marked, id_column, lambda classes: wide_links(classes, radius, width)).select("fp", "root")
+    common = common_shingles(df, F.col(f"`{text}`"), size)
+    marked = cut_lineage(wide_fingerprints(hashed, F.col(f"`{text}`"), keep, size, seeds, common, likeness))
+    linked = shared_links(marked, mark, radius, width)
+    candidates = grouped(marked, id_column, lambda classes: linked).select("fp", "root")
     candidates = marked.select(F.col(mark).alias("node"), "fp").distinct().join(candidates, "fp").select("node", "root")
     groups = verified(hashed, mark, text, candidates, size, likeness)
     # structs compare field by field; a null id comes last
