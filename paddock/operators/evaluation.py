@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
+from paddock.functions.digests import md5_of_keys
 from paddock.functions.ranking import first_n_per_key
 from paddock.functions.stats import exact_quantiles, join_groups, one_row
 
@@ -205,17 +207,134 @@ def bootstrap_mean_ci(
     return exact_quantiles(means, F.col("mean"), {"ci_low": alpha / 2, "ci_high": 1 - alpha / 2})
 
 
-# Shares of a Poisson(1) weight of at most 0, 1, ... as 8 hex digits, which order like their numbers; beyond 12 the share is one.
-POISSON_LIMITS = [f"{math.floor(2**32 * p):08x}" for p in accumulate(math.exp(-1) / math.factorial(k) for k in range(13))]
+# Shares of a Poisson(1) weight of at most 0, 1, ... as 32-bit numbers, like 8 hex digits of a hash; beyond 12 the share is one.
+POISSON_LIMITS = [math.floor(2**32 * p) for p in accumulate(math.exp(-1) / math.factorial(k) for k in range(13))]
 PER_DIGEST = 4
+KEYS_AT_ONCE, GROUPS_AT_ONCE = 16_384, 500
 
 
-def _poisson(hashed: Column) -> Column:
-    """Weight of mean and variance one from 8 hex digits of a hash."""
-    out = F.when(hashed < POISSON_LIMITS[0], F.lit(0))
-    for k, limit in enumerate(POISSON_LIMITS[1:], 1):
-        out = out.when(hashed < limit, F.lit(k))
-    return out.otherwise(F.lit(len(POISSON_LIMITS)))
+def resample_sums(iterations: int, seed: int, schema: T.StructType) -> Callable:
+    """Sums of all resamples over a task's keys, per group: the group's columns, and for each resample the weighted sum and the weighted count.
+
+    A key's weight in four resamples is of mean and variance one, from the 32 hex digits of a digest. At most ``GROUPS_AT_ONCE`` groups and
+    ``KEYS_AT_ONCE`` keys, or one batch, are held. The function travels whole: executors may not have this package.
+    """
+    digests, limits, per, most_keys, most_groups = md5_of_keys(), list(POISSON_LIMITS), PER_DIGEST, KEYS_AT_ONCE, GROUPS_AT_ONCE
+    prefixes = [f"{seed}|{d}|".encode() for d in range(-(-iterations // per))]
+    unsure = 255
+
+    def numbered(columns, n: int):
+        """For each row the number of its group, and a row of each group."""
+        import numpy as np
+        import pyarrow as pa
+
+        found = np.zeros(n, np.int64)
+        for column in columns:
+            try:
+                coded = column.dictionary_encode(null_encoding="encode")
+            except pa.ArrowNotImplementedError:  # nested
+                coded = pa.array([repr(x) for x in column.to_pylist()]).dictionary_encode()
+            found = np.unique(found * (len(coded.dictionary) + 1) + coded.indices.to_numpy(), return_inverse=True)[1]
+        _, first, number = np.unique(found, return_index=True, return_inverse=True)
+        return number, first
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        target = to_arrow_schema(schema)
+        width = len(target) - 2
+        # the weight by the first 16 of the 32 bits, as they lie in memory, where these decide
+        sixteen = np.arange(1 << 16, dtype=np.uint32)
+        lowest = ((sixteen & 255) << 24) | ((sixteen >> 8) << 16)
+        edges = np.array(limits, np.uint32)
+        table = np.searchsorted(edges, lowest, "right").astype(np.uint8)
+        table[table != np.searchsorted(edges, lowest | 0xFFFF, "right")] = unsure
+
+        def weights(words, out):
+            for row, word in zip(out, words):
+                found = table[word.view("<u2")[::2]]
+                doubt = np.flatnonzero(found == unsure)
+                if len(doubt):
+                    found[doubt] = np.searchsorted(edges, word[doubt].byteswap(), "right")
+                row[:] = found
+
+        held: dict[str, int] = {}
+        named, sums = [], []
+
+        def emitted():
+            arrays = [pa.concat_arrays([n[i] for n in named]).cast(target.field(i).type) for i in range(width)]
+            both = np.stack(sums)[:, :iterations]
+            arrays += [pa.array(list(np.ascontiguousarray(both[:, :, i])), target.field(width + i).type) for i in (0, 1)]
+            return pa.RecordBatch.from_arrays(arrays, schema=target)
+
+        def add(part):
+            texts, own = part.column(0).to_pylist(), part.column(1)
+            rows = np.repeat(np.arange(len(own)), np.diff(own.offsets.to_numpy()))
+            fields = own.flatten().flatten()
+            v, n = fields[-2].to_numpy(), fields[-1].to_numpy().astype(float)
+            number, first = numbered(fields[:-2], len(v))
+            for low in range(0, len(first), most_groups):
+                here = np.flatnonzero((number >= low) & (number < low + most_groups))
+                used, at = np.unique(rows[here], return_inverse=True)
+                found = summed([texts[k] for k in used], at, number[here] - low, v[here], n[here])
+                for row, group_sums in zip(first[low : low + most_groups], found):
+                    group = [f.slice(row, 1) for f in fields[:-2]]
+                    name = repr([x[0].as_py() for x in group])
+                    if name not in held:
+                        held[name] = len(named)
+                        named.append(group)
+                        sums.append(group_sums)
+                    else:
+                        sums[held[name]] = sums[held[name]] + group_sums
+                if len(named) >= most_groups:
+                    yield emitted()
+                    held.clear(), named.clear(), sums.clear()
+
+        def summed(texts, rows, number, v, n):
+            """Sums of all resamples by group, of values ``v`` and counts ``n`` that the keys numbered ``rows`` have in the groups ``number``."""
+            groups = int(number.max()) + 1
+            dense = groups * len(texts) <= 8 * len(v)  # else a key stands in few of the groups
+            if dense:
+                values = np.zeros((len(texts), 2 * groups))
+                np.add.at(values, (rows, 2 * number), v)
+                np.add.at(values, (rows, 2 * number + 1), n)
+            found = np.zeros((groups, len(prefixes) * per, 2))
+            data, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(x) for x in texts])
+            for d, keys, words in digests(data, ends, prefixes):
+                weight = np.empty((per, len(keys)))
+                weights(words, weight)
+                if dense:
+                    found[:, d * per : (d + 1) * per] += (weight @ values[keys]).reshape(per, groups, 2).swapaxes(0, 1)
+                    continue
+                place = np.full(len(texts), -1)
+                place[keys] = np.arange(len(keys))
+                here = np.flatnonzero(place[rows] >= 0)
+                for i in range(per):
+                    w = weight[i][place[rows[here]]]
+                    found[:, d * per + i, 0] += np.bincount(number[here], w * v[here], groups)
+                    found[:, d * per + i, 1] += np.bincount(number[here], w * n[here], groups)
+            return found
+
+        def flush():
+            for part in pa.Table.from_batches(waiting).combine_chunks().to_batches():
+                yield from add(part)
+
+        waiting, count = [], 0
+        for batch in batches:
+            if len(batch):
+                waiting.append(batch)
+                count += len(batch)
+            if count >= most_keys:
+                yield from flush()
+                waiting, count = [], 0
+        if waiting:
+            yield from flush()
+        if named:
+            yield emitted()
+
+    return run
 
 
 def bootstrap_mean_ci_rows(
@@ -235,31 +354,21 @@ def bootstrap_mean_ci_rows(
     text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in key])
     rows = df.select(*names, v.alias("__v"), text.alias("__key")).where(v.isNotNull() & (F.abs(v) < float("inf")))
     groups = [f"__g{i}" for i in range(len(by))]
-    # an equal key is digested once, for all its rows and groups; as groups of a shuffle, keys are spread over all tasks however few files hold them
+    # an equal key is digested once, for all its rows and groups; keys are spread over all tasks however few files or bytes hold them
     held = F.struct(*groups, F.col("__v"), F.col("__n"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = (
         rows.groupBy("__key", *groups).agg(F.sum("__v").alias("__v"), F.count(F.lit(1)).alias("__n"))
-        .groupBy("__key").agg(F.collect_list(held).alias("__held"))
-    )
-    digests = keys.select("__key", "__held", F.explode(F.sequence(F.lit(0), F.lit((iterations - 1) // PER_DIGEST))).alias("__d"))
-    digests = digests.select("__held", "__d", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("__d").cast("string"), "__key")).alias("__md5"))
-    digests = digests.select("__held", "__d", *[F.substring("__md5", 8 * i + 1, 8).alias(f"__h{i}") for i in range(PER_DIGEST)])
-    weights = digests.select("__held", "__d", *[_poisson(F.col(f"__h{i}")).alias(f"__w{i}") for i in range(PER_DIGEST)])
-    sums = (
-        weights.select(F.inline("__held"), "__d", *[f"__w{i}" for i in range(PER_DIGEST)])
-        .groupBy(*groups, "__d")
-        .agg(
-            *[F.sum(F.col(f"__w{i}") * F.col("__v")).alias(f"__s{i}") for i in range(PER_DIGEST)],
-            *[F.sum(F.col(f"__w{i}") * F.col("__n")).alias(f"__n{i}") for i in range(PER_DIGEST)],
-        )
-    )
-    resamples = F.array(
-        *[
-            F.struct((F.col("__d") * PER_DIGEST + i).alias("b"), F.try_divide(f"__s{i}", f"__n{i}").alias("mean"))
-            for i in range(PER_DIGEST)
-        ]
+        .repartition(parts, "__key").groupBy("__key").agg(F.collect_list(held).alias("__held"))
     )
-    means = sums.select(*[F.col(g).alias(c) for g, c in zip(groups, by)], F.inline(resamples)).where(F.col("b") < iterations)
+    names = rows.select(*groups).schema.fields
+    added = T._parse_datatype_string("__s array<double>, __n array<double>")
+    schema = T.StructType([*names, *added.fields])
+    packed = keys.select(F.col("__key").cast("binary"), "__held").mapInArrow(resample_sums(iterations, seed, schema), schema)
+    resamples = F.arrays_zip(F.sequence(F.lit(0), F.lit(iterations - 1)).alias("b"), F.col("__s").alias("s"), F.col("__n").alias("n"))
+    each = packed.select(*groups, F.explode(resamples).alias("__r")).select(*groups, "__r.b", "__r.s", "__r.n")
+    sums = each.groupBy(*groups, "b").agg(F.sum("s").alias("__s"), F.sum("n").alias("__n"))
+    means = sums.select(*[F.col(g).alias(c) for g, c in zip(groups, by)], F.try_divide("__s", "__n").alias("mean"))
     bounds = exact_quantiles(means, F.col("mean"), {"ci_low": alpha / 2, "ci_high": 1 - alpha / 2}, by)
     finite = v.isNotNull() & (F.abs(v) < float("inf"))
     if not by:
