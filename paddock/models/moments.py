@@ -4,9 +4,9 @@ One pass over the rows gives every product sum of two features, of a feature and
 fold a symmetric matrix with two more slots than features, a constant one and the target. Fits, penalty paths and
 cross-validation work on these matrices; a fold's training part is the total without the fold. No fit reads the rows again.
 
-The matrix is summed by blocks of its rows: a task holds one block (``BLOCK_BYTES``), reads its partition row by row in
-sparse form, and hands the block's rows on to be added up. The number of tasks follows the work, so that small tables
-do not send many nearly empty matrices.
+A fold's matrix is summed by blocks of its rows: a task holds one block (``BLOCK_BYTES``), reads its part of the fold's rows one by one in
+sparse form, and hands the block's rows on to be added up. What is handed on is one matrix for each task of a fold, so there are no more
+of them than cores, all folds together, whatever the partitions, and no more than the work asks for.
 """
 
 from __future__ import annotations
@@ -122,21 +122,25 @@ def written_moments(rows: DataFrame, size: int, target: str, folds: int = 1) ->
     work = data.agg(F.sum(F.size(SLOTS).cast("double") ** 2).alias("w"), F.count(F.lit(1)).alias("n")).first()
     if not work["n"]:
         raise ValueError("no rows to fit")
-    tasks = max(1, min(data.rdd.getNumPartitions(), int(work["w"] / (folds * width * width)) + 1))
-    height = max(1, BLOCK_BYTES // (8 * folds * width))
-    parts = [data.coalesce(tasks).mapInArrow(block_sums(low, min(low + height, width), width, folds), "f int, i int, part array<double>") for low in range(0, width, height)]
+    cores = -(-rows.sparkSession.sparkContext.defaultParallelism // folds)
+    tasks = max(1, min(data.rdd.getNumPartitions(), cores, int(work["w"] / (folds * width * width)) + 1))
+    height = max(1, BLOCK_BYTES // (8 * width))
+    parts = [
+        (data.where(F.col("f") == f) if folds > 1 else data).coalesce(tasks).mapInArrow(block_sums(f, low, min(low + height, width), width), "f int, i int, part array<double>")
+        for f in range(folds) for low in range(0, width, height)
+    ]
     summed = reduce(DataFrame.union, parts).groupBy("f", "i").agg(Summarizer.sum(array_to_vector("part")).alias("part"))
     summed = cut_lineage(summed.select("f", "i", F.unwrap_udt("part").alias("v")).select("f", "i", *[F.col(f"v.{c}").alias(c) for c in ("type", "size", "indices", "values")]))
     return WrittenSums(summed, width, folds)
 
 
-def block_sums(low: int, high: int, width: int, folds: int):
-    """Rows low to high of the upper triangle, from the diagonal on, summed over a partition."""
+def block_sums(fold: int, low: int, high: int, width: int):
+    """Rows low to high of the upper triangle, from the diagonal on, summed over a partition of the fold's rows."""
 
     def run(batches):
-        sums = np.zeros(folds * (high - low) * width)
+        sums = np.zeros((high - low) * width)
         for batch in batches:
-            fold, y = batch.column(0).to_numpy(), batch.column(3).to_numpy()
+            y = batch.column(3).to_numpy()
             counts = np.diff(batch.column(1).offsets.to_numpy())
             ends = np.cumsum(counts)
             slots = np.insert(batch.column(1).flatten().to_numpy(), np.repeat(ends, 2), np.tile([width - 2, width - 1], len(ends))).astype(np.int64)
@@ -145,7 +149,7 @@ def block_sums(low: int, high: int, width: int, folds: int):
             entries = np.flatnonzero((slots >= low) & (slots < high))
             row = np.repeat(np.arange(len(counts)), counts)[entries]
             times = np.cumsum(counts)[row] - entries  # this entry and those to its right in the row
-            place = (fold[row].astype(np.int64) * (high - low) + slots[entries] - low) * width
+            place = (slots[entries] - low) * width
             # entries with as many to their right are a table of pairs
             order = np.argsort(times, kind="stable")
             starts = np.flatnonzero(np.diff(times[order], prepend=0))
@@ -156,10 +160,10 @@ def block_sums(low: int, high: int, width: int, folds: int):
                     e = order[at : min(at + step, stop)]
                     pair = entries[e][:, None] + np.arange(t)
                     np.add.at(sums, (place[e][:, None] + slots[pair]).ravel(), (values[entries[e]][:, None] * values[pair]).ravel())
-        sums = sums.reshape(folds, high - low, width)
-        for f, i in zip(*np.nonzero(sums.any(axis=2))):
-            part = pa.array([sums[f, i, low + i :]], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), pa.array([low + i], pa.int32()), part], ["f", "i", "part"])
+        sums = sums.reshape(high - low, width)
+        for i in np.flatnonzero(sums.any(axis=1)):
+            part = pa.array([sums[i, low + i :]], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array([fold], pa.int32()), pa.array([low + i], pa.int32()), part], ["f", "i", "part"])
 
     return run
 
